@@ -1,0 +1,5 @@
+"""Empty on purpose: every input is a bounded batch that is re-read on refresh.
+
+There is no stream, watermark or late-data rule to rebuild, so no streaming
+operator is offered (see README, "Left out").
+"""
