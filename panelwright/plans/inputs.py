@@ -255,3 +255,24 @@ cells AS (
   SELECT p.point, p.lat, p.lon, cell_lat, cell_lon
   FROM points p JOIN cell_lats USING (point) JOIN cell_lons USING (point)
 )"""
+
+ROW_PLACE = "CAST(row_number() OVER (PARTITION BY e ORDER BY y) AS DOUBLE)"
+
+
+def gap_fill(source: str, entity: str, order: str, columns: list[str], at: str, digits: int = 4) -> str:
+    """SQL table expressions ending in ``filled``: linear gap fill of ``source``."""
+    sides = ", ".join(
+        f"last_value(CASE WHEN {c} IS NOT NULL THEN x END IGNORE NULLS) OVER back AS xb_{c}, "
+        f"last_value({c} IGNORE NULLS) OVER back AS vb_{c}, "
+        f"first_value(CASE WHEN {c} IS NOT NULL THEN x END IGNORE NULLS) OVER ahead AS xa_{c}, "
+        f"first_value({c} IGNORE NULLS) OVER ahead AS va_{c}" for c in columns)
+    out = ", ".join(
+        f"round_even(CASE WHEN {c} IS NOT NULL THEN {c} WHEN vb_{c} IS NULL THEN va_{c} "
+        f"WHEN va_{c} IS NULL THEN vb_{c} "
+        f"ELSE vb_{c} + (va_{c} - vb_{c}) * (x - xb_{c}) / (xa_{c} - xb_{c}) END, {digits}) AS {c}" for c in columns)
+    return f"""
+placed AS (SELECT *, {at} AS x FROM {source}),
+sides AS (SELECT *, {sides} FROM placed
+  WINDOW back AS (PARTITION BY {entity} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         ahead AS (PARTITION BY {entity} ORDER BY {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+filled AS (SELECT {entity}, {order}, {out} FROM sides)"""

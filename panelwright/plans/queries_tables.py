@@ -189,24 +189,10 @@ def pivot_mean(spark, sf):
 
 
 def _interpolation_sql(at: str) -> str:
-    sides = ", ".join(
-        f"last_value(CASE WHEN {c} IS NOT NULL THEN x END IGNORE NULLS) OVER back AS xb_{c}, "
-        f"last_value({c} IGNORE NULLS) OVER back AS vb_{c}, "
-        f"first_value(CASE WHEN {c} IS NOT NULL THEN x END IGNORE NULLS) OVER ahead AS xa_{c}, "
-        f"first_value({c} IGNORE NULLS) OVER ahead AS va_{c}" for c in _P)
-    out = ", ".join(
-        f"round_even(CASE WHEN {c} IS NOT NULL THEN {c} WHEN vb_{c} IS NULL THEN va_{c} "
-        f"WHEN va_{c} IS NULL THEN vb_{c} "
-        f"ELSE vb_{c} + (va_{c} - vb_{c}) * (x - xb_{c}) / (xa_{c} - xb_{c}) END, 4) AS {c}" for c in _P)
-    return f"""WITH {I.SPARSE},
-placed AS (SELECT *, {at} AS x FROM sparse),
-sides AS (SELECT *, {sides} FROM placed
-  WINDOW back AS (PARTITION BY e ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-         ahead AS (PARTITION BY e ORDER BY y ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT e, y, {out} FROM sides"""
-
-
-@query("interpolate_position", _interpolation_sql("CAST(row_number() OVER (PARTITION BY e ORDER BY y) AS DOUBLE)"))
+    return "WITH " + I.SPARSE + "," + I.gap_fill("sparse", "e", "y", _P, at) + " SELECT * FROM filled"
+
+
+@query("interpolate_position", _interpolation_sql(I.ROW_PLACE))
 def interpolate_position(spark, sf):
     """One row per entity and year, so the window groups are small by construction."""
     filled = fill_linear(I.annual_sparse(spark, sf), ["e"], "y", _P, bounded=True)

@@ -8,12 +8,20 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import existing
-from ..functions.scalars import missing_if_nan
+from ..functions.scalars import NUMBER_TEXT, missing_if_nan, to_number
 from ..operators.aggregates import extent
 
 LATIN1 = "ISO-8859-1"
+ORDINAL = "_ord"
+
+# Cell texts that mean "missing" in a CSV file.
+MISSING_TEXT = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def _open(name: str, path: str, read) -> DataFrame:
@@ -33,20 +41,46 @@ def read_text_table(
     encoding: str = "UTF-8",
     schema: str | None = None,
     by_position: Sequence[str] | None = None,
+    ordinal: bool = False,
 ) -> DataFrame:
     """CSV with a header row.
 
     Without a schema every column is text, to be coerced where it is used; no
     pass over the data is spent on guessing types. ``by_position`` renames the
-    leading columns, whatever the header says.
+    leading columns, whatever the header says. ``ordinal`` adds the row's place
+    in the input (file, block, row), which "first in file" needs (T7).
     """
     reader = spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
     if schema:
         reader = reader.schema(schema)
     df = _open(name, path, reader.csv)
+    named = list(df.columns)
     if by_position:
-        df = df.toDF(*by_position, *df.columns[len(by_position):])
-    return df
+        named[: len(by_position)] = by_position
+    cells = []
+    for field, alias in zip(df.schema.fields, named):
+        cell = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            cell = F.when(~cell.isin(*MISSING_TEXT), cell)
+        cells.append(cell.alias(alias))
+    if ordinal:
+        cells.append(F.struct(
+            "_metadata.file_path", "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("row")).alias(ORDINAL))
+    return df.select(*cells)
+
+
+def type_numbers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Text columns that hold only numbers become doubles.
+
+    Without ``columns`` one pass over all text columns decides, as reading types
+    from the whole file would; a given list costs no pass.
+    """
+    if columns is None:
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        seen = df.agg(*[F.bool_and(F.col(c).rlike(NUMBER_TEXT)).alias(c) for c in text]).first()
+        columns = [c for c in text if seen[c] is not False]
+    return df.withColumns({c: to_number(c) for c in columns})
 
 
 def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
