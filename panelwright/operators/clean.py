@@ -62,14 +62,22 @@ def drop_fill_values(df: DataFrame, value: str, side: str | None = None) -> Data
 
 
 def fill_two_pass(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
-    """Missing takes the group's median, then the median of the filled column."""
+    """Missing takes the group's median, then the median of the filled column.
+
+    The second pass over the data is made only for columns that still have gaps:
+    those with a group that has no value at all, or every column if some row has
+    no group.
+    """
     columns = list(columns)
     within = materialise(medians(df, columns, [group]).withColumnsRenamed({c: f"_m_{c}" for c in columns}))
     joined = lookup_join(df, within, [group], "left")
     first = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in columns})
-    overall = scalar_medians(first, columns)
-    filled = {c: F.coalesce(F.col(c), F.lit(overall[c])) for c in columns if overall[c] is not None}
-    return first.withColumns(filled).select(*df.columns)
+    empty = within.agg(*[F.bool_or(F.col(f"_m_{c}").isNull()).alias(c) for c in columns]).first()
+    ungrouped = not df.filter(F.col(group).isNull()).isEmpty()
+    gaps = [c for c in columns if ungrouped or empty[c] is not False]
+    overall = scalar_medians(first, gaps) if gaps else {}
+    filled = {c: F.coalesce(F.col(c), F.lit(overall[c])) for c in gaps if overall[c] is not None}
+    return (first.withColumns(filled) if filled else first).select(*df.columns)
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:

@@ -11,7 +11,6 @@ from .clean import drop_fill_values
 from .joins import lookup_join
 
 INFINITY = float("inf")
-AXIS_BROADCAST_ROWS = 500_000  # fixed-width rows of about 80 bytes
 
 
 def axis_gaps(axis: DataFrame, coordinate: str, index: str | None = None) -> DataFrame:
@@ -64,7 +63,7 @@ def nearest_on_axis(
     x = F.col(at).cast("double")
     keyed = points.withColumn("_bucket", bucket(x))
     matched = keyed.join(
-        F.broadcast(spread) if spread.count() <= AXIS_BROADCAST_ROWS else spread,
+        spread,
         (F.col("_bucket") == F.col("_gap_bucket")) & (x >= F.col("_from")) & (x < F.col("_to")),
         "left",
     )

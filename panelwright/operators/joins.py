@@ -6,46 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 << 20
 
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a relation from its own data: fixed widths plus measured text."""
-    fixed, text = 16, []
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            text.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
-            fixed += 24
-        elif isinstance(field.dataType, T.ArrayType):
-            text.append(F.coalesce(F.size(F.col(field.name)), F.lit(0)) * 8)
-            fixed += 24
-        else:
-            fixed += 16
-    row = F.lit(fixed)
-    for t in text:
-        row = row + t
-    return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def lookup_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str] | str,
-    how: str = "left",
-    budget: int = BROADCAST_BYTES,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
     """Join a large side to a usually small one that is a file or materialised.
 
-    The lookup is broadcast only when its measured size is within ``budget``.
-    Beyond it the join shuffles, and adaptive execution splits the partitions of
-    a hot key (``spark.sql.adaptive.skewJoin.enabled``), copies included.
+    The size of such a lookup is known, so it is broadcast only below
+    ``spark.sql.autoBroadcastJoinThreshold``. Beyond that the join shuffles, and
+    adaptive execution splits the partitions of a hot key
+    (``spark.sql.adaptive.skewJoin.enabled``), copies included.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    if measured_bytes(lookup) <= budget:
-        lookup = F.broadcast(lookup)
-    return fact.join(lookup, keys, how)
+    return fact.join(lookup, [on] if isinstance(on, str) else list(on), how)
 
 
 def duplicate_keys(lookup: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import lay_out
 
 ROW_IN_PARTITION = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
@@ -22,7 +22,7 @@ def with_positions(df: DataFrame, order: Sequence[str], name: str = "pos") -> Da
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = materialise(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
+    laid = lay_out(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
     placed = laid.select(
         "*",
         F.spark_partition_id().alias("_part"),
@@ -32,10 +32,10 @@ def with_positions(df: DataFrame, order: Sequence[str], name: str = "pos") -> Da
     for row in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():
         starts.append((row["_part"], total))
         total += row["n"]
+    # one local row per partition: bounded by the partition count, not by the data
     offsets = spark.createDataFrame(starts, "_part int, _start long")
-    # one row per partition: bounded by the partition count, not by the data
     return (
-        placed.join(F.broadcast(offsets), "_part")
+        placed.join(offsets, "_part")
         .withColumn(name, F.col("_start") + F.col("_place"))
         .drop("_part", "_place", "_start")
     )

@@ -12,7 +12,7 @@ from ..functions.columns import numeric_columns
 from ..functions.scalars import missing_if_nan, round_even
 from ..session import materialise
 from .joins import lookup_join
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, table_quantiles
 
 KERNEL_REACH = 39.0  # exp(-x*x/2) is exactly 0.0 in double precision beyond this
 
@@ -24,20 +24,15 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int =
     """
     columns = list(columns or numeric_columns(df))
     data = df.select(*[missing_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    moments = data.agg(*[
-        F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                 F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")).alias(f"_s{i}")
-        for i, c in enumerate(columns)
-    ]).select(F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(columns))])))
-    quartiles = exact_quantiles(data, columns, [0.25, 0.5, 0.75]).select("column", "q")
-    both = moments.join(quartiles, "column", "left")  # one row per column on either side
-    q = F.col("q")
-    return both.select(
-        "column", "count",
-        *[round_even(c, digits).alias(n) for n, c in {
-            "mean": F.col("mean"), "std": F.col("std"), "min": F.col("min"),
-            "p25": q[0], "p50": q[1], "p75": q[2], "max": F.col("max")}.items()],
-    )
+    quartiles = table_quantiles(data, columns, [0.25, 0.5, 0.75])
+    rows = []
+    for i, c in enumerate(columns):
+        p25, p50, p75 = (F.lit(x).cast("double") for x in quartiles[c])
+        figures = {"mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c),
+                   "p25": p25, "p50": p50, "p75": p75, "max": F.max(c)}
+        rows.append(F.struct(F.lit(c).alias("column"), F.count(c).alias("count"),
+                             *[round_even(v, digits).alias(n) for n, v in figures.items()]).alias(f"_s{i}"))
+    return data.agg(*rows).select(F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(columns))])))
 
 
 def null_profile(df: DataFrame, digits: int = 2) -> DataFrame:

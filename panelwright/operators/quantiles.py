@@ -15,12 +15,7 @@ ACCURACY = 20_000
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = ACCURACY,
-    slack: float | None = None,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int = ACCURACY
 ) -> DataFrame:
     """Linear-interpolation quantiles (T5) per group and column.
 
@@ -28,116 +23,125 @@ def exact_quantiles(
     Rows with a missing group key are left out (T13).
 
     The built-in exact percentile keeps every distinct value of a group in one
-    buffer. Here a mergeable sketch first brackets each wanted rank; one more
-    pass with map-side combine then counts whatever lies between brackets (one
-    row per gap) and keeps single values only inside them, about
-    ``5 * n / accuracy`` per quantile. The rank is looked up in that remainder,
-    so the answer is exact. Should a bracket miss its rank, it is widened and
-    the pass repeated, up to the full range.
+    buffer. Here three map-side combined passes bound what a task holds:
+
+    1. a mergeable sketch brackets each wanted rank within ``slack * n`` rows
+       (small groups: by their minimum and maximum);
+    2. the values below each bracket are counted;
+    3. only the values inside brackets, ``2 * slack * n`` per quantile, are
+       grouped and ranked, which gives the exact answer.
+
+    Should a bracket miss its rank, the search is repeated with wider ones, up
+    to the full range.
     """
+    slack = 4.0 / accuracy
+    while True:
+        found = materialise(_search(df, columns, probs, by, accuracy, slack))
+        if slack == 1.0 or found.filter(F.exists("q", lambda x: x.isNull())).isEmpty():
+            return found
+        slack = min(1.0, slack * 100)
+
+
+def table_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY
+) -> dict[str, list[float | None]]:
+    """The same over whole columns; the few numbers come back as plain values."""
+    slack = 4.0 / accuracy
+    while True:
+        rows = _search(df, columns, probs, (), accuracy, slack).collect()  # one row per column
+        if slack == 1.0 or not any(x is None for r in rows for x in r["q"]):
+            found = {r["column"]: list(r["q"]) for r in rows}
+            return {c: found.get(c, [None] * len(probs)) for c in columns}
+        slack = min(1.0, slack * 100)
+
+
+def _search(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int, slack: float
+) -> DataFrame:
     by, columns, probs = list(by), list(columns), list(probs)
-    slack = 2.5 / accuracy if slack is None else slack
-    lows = [max(0.0, p - slack) for p in probs]
-    highs = [min(1.0, p + slack) for p in probs]
-    order = sorted(range(len(probs)), key=lambda i: probs[i])
-
+    share = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    ids = range(len(columns))
     data = df.select(*by, *[missing_if_nan(F.col(c).cast("double")).alias(f"_v{i}")
                             for i, c in enumerate(columns)])
-    sketches = [F.percentile_approx(f"_v{i}", [lows[j] for j in order] + [highs[j] for j in order],
-                                    accuracy).alias(f"_b{i}") for i in range(len(columns))]
+    sketches = [_bracket(f"_v{i}", share, accuracy).alias(f"_b{i}") for i in ids]
     if by:
         data = data.na.drop(subset=by)
         brackets = materialise(data.groupBy(*by).agg(*sketches))
         data = lookup_join(data, brackets, by, "inner")
-        bracket = [F.col(f"_b{i}") for i in range(len(columns))]
+        bracket = [F.col(f"_b{i}") for i in ids]
     else:
         row = data.agg(*sketches).first()  # a few numbers per column
-        bracket = [F.array(*[F.lit(x).cast("double") for x in (row[i] or [None] * 2 * len(probs))])
-                   for i in range(len(columns))]
-
-    cells = F.array(*[_placed(i, F.col(f"_v{i}"), bracket[i], len(probs)) for i in range(len(columns))])
-    counted = (
-        data.select(*by, F.inline(cells))
-        .filter("_v is not null")
-        .groupBy(*by, "_c", "_zone", "_key")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    )
-    group = Window.partitionBy(*by, "_c")
-    running = group.orderBy("_zone", "_key").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counted.withColumn("_upto", F.sum("_rows").over(running))
-        .withColumn("_n", F.sum("_rows").over(group.rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing)))
-        .withColumn("_from", F.col("_upto") - F.col("_rows"))
-    )
+        bracket = [F.struct(*[_numbers(row[i][part]).alias(part) for part in ("low", "high")]) for i in ids]
+
+    ranks = range(len(probs))
+    below = data.groupBy(*by).agg(*[
+        F.struct(
+            F.lit(i).alias("_c"), F.count(f"_v{i}").alias("n"), F.any_value(bracket[i]["low"]).alias("low"),
+            F.any_value(bracket[i]["high"]).alias("high"),
+            F.array(*[F.count_if(F.col(f"_v{i}") < bracket[i]["low"][k]) for k in ranks]).alias("below"),
+        ).alias(f"_f{i}") for i in ids])
+    facts = below.select(*by, F.inline(F.array(*[F.col(f"_f{i}") for i in ids])))
+
+    def inside(v: Column, low: Column, high: Column) -> Column:
+        hit = v.between(low[0], high[0])
+        for k in ranks[1:]:
+            hit = hit | v.between(low[k], high[k])
+        return hit
+
+    cells = F.array_compact(F.array(*[
+        F.when(inside(F.col(f"_v{i}"), bracket[i]["low"], bracket[i]["high"]),
+               F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v"))) for i in ids]))
+    kept = data.select(*by, F.inline(cells)).groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = kept.join(facts, [*by, "_c"])
+    running = Window.partitionBy(*by, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     picks = []
     for k, p in enumerate(probs):
-        place = (F.col("_n") - 1) * F.lit(float(p))
-        picks += [F.max(_value_at(F.floor(place))).alias(f"_lo{k}"),
-                  F.max(_value_at(F.ceil(place))).alias(f"_hi{k}"),
-                  F.max(place - F.floor(place)).alias(f"_f{k}")]
-    found = ranked.groupBy(*by, "_c").agg(F.max("_n").alias("n"), *picks)
+        place = (F.col("n") - 1) * F.lit(float(p))
+        ranked = ranked.withColumn(f"_upto{k}", F.col("below")[k] + F.sum(
+            F.when(F.col("_v") >= F.col("low")[k], F.col("_rows")).otherwise(0)).over(running))
+        for name, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            here = (
+                F.col("_v").between(F.col("low")[k], F.col("high")[k])
+                & (F.col(f"_upto{k}") - F.col("_rows") <= rank) & (rank < F.col(f"_upto{k}"))
+            )
+            picks.append(F.max(F.when(here, F.col("_v"))).alias(f"_{name}{k}"))
+        picks.append(F.max(place - F.floor(place)).alias(f"_f{k}"))
+    found = ranked.groupBy(*by, "_c").agg(F.max("n").alias("n"), *picks)
     names = F.array(*[F.lit(c) for c in columns])
     result = found.select(
         *by,
         F.element_at(names, F.col("_c") + 1).alias("column"),
         "n",
         F.array(*[F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * F.col(f"_f{k}")
-                  for k in range(len(probs))]).alias("q"),
+                  for k in ranks]).alias("q"),
     )
-    if by:
-        result = materialise(result)
-        missed = not result.filter(F.exists("q", lambda x: x.isNull())).isEmpty()
-    else:
-        rows = result.collect()  # one row per column
-        missed = any(x is None for r in rows for x in r["q"])
-        result = df.sparkSession.createDataFrame(rows, result.schema)
-    if missed and slack < 1.0:
-        return exact_quantiles(df, columns, probs, by, accuracy, min(1.0, slack * 100))
     return result
 
 
-def _placed(i: int, v: Column, bracket: Column, m: int) -> Column:
-    """Zone of a value: 2j in the gap before bracket j, 2j+1 inside it (key kept)."""
-    passed = F.lit(0)
-    for j in range(m):
-        passed = passed + F.when(v > bracket[m + j], 1).otherwise(0)
-    inside = F.lit(False)
-    for j in range(m):
-        inside = F.when(passed == j, v >= bracket[j]).otherwise(inside)
+def _bracket(column: str, share: Sequence[float], accuracy: int) -> Column:
+    """Bounds around each wanted rank; the whole range where that is few values."""
+    m = len(share) // 2
+    bounds = F.percentile_approx(column, list(share), accuracy)
+    few = F.count(column) <= accuracy // 2
     return F.struct(
-        F.lit(i).alias("_c"),
-        (passed * 2 + F.when(inside, 1).otherwise(0)).alias("_zone"),
-        F.when(inside, v).alias("_key"),
-        v.alias("_v"),
+        F.when(few, F.array_repeat(F.min(column), m)).otherwise(F.slice(bounds, 1, m)).alias("low"),
+        F.when(few, F.array_repeat(F.max(column), m)).otherwise(F.slice(bounds, m + 1, m)).alias("high"),
     )
 
 
-def _value_at(rank: Column) -> Column:
-    """The value holding ``rank`` if this row knows it: a kept value, or a gap's first or last."""
-    here = (F.col("_from") <= rank) & (rank < F.col("_upto"))
-    return F.when(
-        here,
-        F.when(F.col("_key").isNotNull(), F.col("_key"))
-        .when(rank == F.col("_from"), F.col("_min"))
-        .when(rank == F.col("_upto") - 1, F.col("_max")),
-    )
+def _numbers(values: Sequence[float] | None) -> Column:
+    if values is None:
+        return F.lit(None).cast("array<double>")
+    return F.array(*[F.lit(x).cast("double") for x in values])
 
 
-def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """A3, wide: one row per group (or one row), one median column per input column."""
+def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """A3, wide: one row per group, one median column per input column."""
     long = exact_quantiles(df, columns, [0.5], by)
     picks = [F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(c) for c in columns]
     return long.groupBy(*by).agg(*picks)
 
 
 def scalar_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """A3, whole table: a few numbers that later expressions carry as literals."""
-    found = {r["column"]: r["q"][0] for r in exact_quantiles(df, columns, [0.5]).collect()}
-    return {c: found.get(c) for c in columns}
-
-
-def scalar_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float]:
-    """A4: quantiles of one column as plain numbers."""
-    row = exact_quantiles(df, [column], probs).first()
-    return list(row["q"]) if row else [None] * len(probs)
+    """A3 over whole columns."""
+    return {c: q[0] for c, q in table_quantiles(df, columns, [0.5]).items()}

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
+from ..functions.columns import numeric_columns
 from ..operators.aggregates import NOT_INDICATORS, mean_of_numeric
 from ..operators.clean import clean_indicators, fill_two_pass
 from ..operators.grid import extract_series
 from ..operators.joins import left_join_suffixed, map_values
-from ..operators.quantiles import scalar_quantiles
+from ..operators.quantiles import table_quantiles
 from ..operators.reshape import pivot_first
 from ..operators.series import fill_linear, series_features
 from ..session import materialise
@@ -31,8 +32,13 @@ def static_indicators(
     indicator_cols: Sequence[str] | None = None,
     score_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Clean, impute and average the static indicators per country."""
+    """Clean, impute and average the static indicators per country.
+
+    Parsing text is the costly part, so the typed rows are stored once; the
+    passes of the imputation read them back.
+    """
     named = clean_indicators(raw, renames, "country", indicator_cols, score_cols)
+    named = materialise(named.select("country", "country_code", *numeric_columns(named)))
     if indicator_cols is None:
         indicator_cols = [c for c in named.columns if "_score" in c or "_raw" in c]
     filled = fill_two_pass(named, "country", indicator_cols)
@@ -111,7 +117,7 @@ def add_score(panel: DataFrame) -> DataFrame:
     """Composite score over the components that exist, its class, and the season."""
     scored = panel
     if "tws_anomaly_cm" in panel.columns:
-        low, high = scalar_quantiles(panel, "tws_anomaly_cm", [0.01, 0.99])
+        low, high = table_quantiles(panel, ["tws_anomaly_cm"], [0.01, 0.99])["tws_anomaly_cm"]
         scored = scored.withColumn("tws_score_norm", X.inverted_scale("tws_anomaly_cm", F.lit(low), F.lit(high)))
     return (
         scored.withColumn("drought_composite_score", X.weighted_score(L.SCORE_WEIGHTS, scored.columns))

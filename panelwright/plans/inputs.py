@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import band, clip, inverted_scale, season, weighted_score
 from ..operators.joins import lookup_join
-from ..operators.quantiles import scalar_quantiles
+from ..operators.quantiles import table_quantiles
 from ..operators.reshape import pivot_first
-from ..session import materialise
+from ..session import materialise, spread
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -75,7 +75,7 @@ def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     The panel is computed once; the percentile bounds are two numbers taken from it.
     """
     panel = materialise(monthly_panel(spark, sf_dir))
-    low, high = scalar_quantiles(panel, "v", [0.01, 0.99])
+    low, high = table_quantiles(panel, ["v"], [0.01, 0.99])["v"]
     joined = lookup_join(panel, materialise(static_scores(spark, sf_dir)), "e", "left")
     normed = joined.withColumn("v_norm", inverted_scale("v", F.lit(low), F.lit(high)))
     return normed.select(
@@ -155,8 +155,8 @@ sparse AS (
 
 def dirty_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sub-entity indicator rows with text scores, sentinels, bad text and gaps."""
-    line = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_discount", "l_quantity", "l_tax", "l_extendedprice")
+    line = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_discount", "l_quantity", "l_tax", "l_extendedprice"))
     key = F.col("l_orderkey")
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("e"))

@@ -122,7 +122,7 @@ FROM pass1
 def two_pass_median_fill(spark, sf):
     """W8, A3, T26."""
     cleaned = clean.clean_indicators(I.dirty_indicators(spark, sf), {}, "e").drop("plain")
-    filled = clean.fill_two_pass(cleaned, "e", ["ind_score", "ind_raw"])
+    filled = clean.fill_two_pass(materialise(cleaned), "e", ["ind_score", "ind_raw"])
     return filled.withColumns({c: X.round_even(c, 6) for c in ("ind_score", "ind_raw")})
 
 

@@ -19,6 +19,7 @@ def local_session(cores: str | int = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -47,10 +48,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once into the shared checkpoint folder and cut the lineage.
+    """Compute once into a table in the shared folder and read it back.
 
     Used where a result feeds several later plans: it is neither recomputed nor
-    lost with an executor, and a sampled or sketched value stays one value.
+    lost with an executor, a sketched value stays one value, and the optimizer
+    knows its size, so it broadcasts the table exactly when that is small.
     """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def lay_out(df: DataFrame) -> DataFrame:
+    """Checkpoint partitions as they are, keeping their numbers and row order."""
     shared_root(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input that arrives in fewer splits than there are cores one per core.
+
+    Meant for a plain scan ahead of costly expressions. A scan with enough
+    splits, as any large one has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
