@@ -7,7 +7,8 @@ gridded measurements                -> one row per entity and time step
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,19 +97,25 @@ def monthly_anomalies(
     )
 
 
+def build_sources(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Build and store independent sources side by side, so that their jobs share the cluster."""
+    with ThreadPoolExecutor(len(builders)) as pool:
+        return list(pool.map(lambda build: materialise(build()), builders))
+
+
 def consolidate(
     static: DataFrame, annual: DataFrame, monthly: DataFrame, require_unique: bool = False
 ) -> DataFrame:
-    """Join the three sources and add score, class and season.
+    """Join the three sources, stored or files, and add score, class and season.
 
     ``require_unique`` refuses a static or annual table whose join key repeats
     (T11); by default such keys multiply rows, as a plain left join does.
     """
-    static = materialise(static.drop("country", "source", "lat", "lon"))
+    static = static.drop("country", "source", "lat", "lon")
     joined = left_join_suffixed(monthly, static, ["country_code"], "_aq", require_unique)
     joined = joined.withColumn("year", X.year_of_text("date"))
     if "year" in annual.columns:
-        annual = materialise(annual.drop("country", "source"))
+        annual = annual.drop("country", "source")
         joined = left_join_suffixed(joined, annual, ["country_code", "year"], "_aqua", require_unique)
     return add_score(materialise(joined))
 

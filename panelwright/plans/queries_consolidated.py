@@ -9,7 +9,7 @@ from ..operators.aggregates import frequency, top_groups
 from ..operators.clean import round_numeric
 from ..sources.tables import ORDINAL
 from . import inputs as I
-from .consolidate import annual_indicators, consolidate, monthly_anomalies, static_indicators
+from .consolidate import annual_indicators, build_sources, consolidate, monthly_anomalies, static_indicators
 from .registry import query
 
 KEYWORDS = [("1-urg", "u_val"), ("2-HIGH", "h_val"), ("medium", "m_val"), ("low", "l_val")]
@@ -45,12 +45,12 @@ def _points(spark, sf):
 
 def consolidated(spark, sf):
     grid = I.grid_cells(spark, sf).withColumnsRenamed({"t": "time", "value": "lwe_thickness"})
-    return consolidate(
-        static_indicators(_static_source(spark, sf)),
-        annual_indicators(_annual_source(spark, sf), _codes(spark, sf), KEYWORDS),
-        monthly_anomalies(grid, _points(spark, sf)),
-        require_unique=True,
+    static, annual, monthly = build_sources(
+        lambda: static_indicators(_static_source(spark, sf)),
+        lambda: annual_indicators(_annual_source(spark, sf), _codes(spark, sf), KEYWORDS),
+        lambda: monthly_anomalies(grid, _points(spark, sf)),
     )
+    return consolidate(static, annual, monthly, require_unique=True)
 
 
 _MEDIANS = ", ".join(f"coalesce({c}, median({c}) OVER (PARTITION BY e)) AS {c}" for c in ("bws", "drr", "gtd"))
