@@ -140,7 +140,7 @@ def name_by_rank(df: DataFrame, group: str, value: str, names: Sequence[str], in
         [(r[group], name) for r, name in zip(ranked, names)],
         df.select(group, F.lit("").alias(into)).schema,
     )
-    return lookup_join(df, named, group, "left")
+    return lookup_join(df, F.broadcast(named), group, "left")  # at most len(names) rows
 
 
 def members(df: DataFrame, group: str, member: str) -> DataFrame:

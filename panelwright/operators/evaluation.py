@@ -53,12 +53,13 @@ def class_scores(df: DataFrame, label: str, prediction: str, classes: Sequence[s
 
 
 def regression_scores(df: DataFrame, actual: str, predicted: str, digits: int = 4) -> DataFrame:
-    """RMSE, MAE and R2 in one pass."""
+    """RMSE, MAE and R2 in one pass; R2 is missing where the actual values do not vary."""
     gap = F.col(actual) - F.col(predicted)
     return df.agg(
         round_even(F.sqrt(F.avg(gap * gap)), digits).alias("RMSE"),
         round_even(F.avg(F.abs(gap)), digits).alias("MAE"),
-        round_even(F.lit(1.0) - F.try_divide(F.avg(gap * gap), F.var_pop(actual)), digits).alias("R2"),
+        round_even(F.when(F.min(actual) < F.max(actual),
+                          F.lit(1.0) - F.try_divide(F.avg(gap * gap), F.var_pop(actual))), digits).alias("R2"),
     )
 
 

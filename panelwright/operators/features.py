@@ -28,11 +28,17 @@ def median_stage(fit_on: DataFrame, features: Sequence[str]) -> SQLTransformer:
 
 def standard_scale(fit_on: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
     """M5: mean and population deviation per feature, missing as 0; a constant has scale 1."""
+    values = {f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features}
     row = fit_on.agg(*[
-        F.struct(F.avg(F.coalesce(F.col(f).cast("double"), F.lit(0.0))).alias("m"),
-                 F.stddev_pop(F.coalesce(F.col(f).cast("double"), F.lit(0.0))).alias("s")).alias(f)
-        for f in features]).first()
-    return {f: (row[f]["m"] or 0.0, row[f]["s"] or 1.0) for f in features}
+        F.struct(F.avg(v).alias("mean"), F.min(v).alias("low"),
+                 F.when(F.min(v) < F.max(v), F.stddev_pop(v)).alias("deviation")).alias(f)
+        for f, v in values.items()]).first()
+    fitted = {}
+    for f in features:
+        constant = row[f]["deviation"] is None
+        centre = row[f]["low"] if constant else row[f]["mean"]
+        fitted[f] = (centre or 0.0, row[f]["deviation"] or 1.0)
+    return fitted
 
 
 def scale_stage(fit_on: DataFrame, features: Sequence[str]) -> SQLTransformer:

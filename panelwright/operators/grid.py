@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_even
 from ..session import materialise
 from .clean import drop_fill_values
 from .joins import lookup_join
+from .series import TASK_ROWS, row_frames
 
 INFINITY = float("inf")
 
 
-def axis_gaps(axis: DataFrame, coordinate: str, index: str | None = None) -> DataFrame:
-    """Half-open gaps between neighbouring values of one grid axis.
+def axis_values(axis: DataFrame, coordinate: str, index: str | None = None) -> DataFrame:
+    """Distinct coordinates of one grid axis, stored.
 
-    The axis is the distinct coordinates of one grid dimension, a few thousand
-    values however many time steps or cells the grid has. ``index`` is the
-    position that breaks ties; without it the lower coordinate wins.
+    ``_rank`` breaks ties: the axis index if there is one, else the lower coordinate.
     """
-    rank = F.min(F.col(index).cast("double")) if index else F.min(F.col(coordinate).cast("double"))
-    values = (
-        axis.filter(F.col(coordinate).isNotNull())
-        .groupBy(F.col(coordinate).cast("double").alias("_at")).agg(rank.alias("_rank"))
-    )
-    w = Window.orderBy("_at")
+    rank = F.min(F.col(index or coordinate).cast("double"))
+    at = F.col(coordinate).cast("double").alias("_at")
+    return materialise(axis.filter(F.col(coordinate).isNotNull()).groupBy(at).agg(rank.alias("_rank")))
+
+
+def axis_gaps(values: DataFrame, bounded: bool) -> DataFrame:
+    """Half-open gaps between neighbouring axis values; the ends reach to infinity."""
     here = F.struct(F.col("_at").alias("at"), F.col("_rank").alias("rank"))
-    following = F.lead(here).over(w)
-    gaps = values.select(here.alias("_lo"), following.alias("_hi"), F.row_number().over(w).alias("_i"))
-    # the first value also serves everything below it
-    return gaps.select(
-        F.when(F.col("_i") == 1, F.lit(-INFINITY)).otherwise(F.col("_lo.at")).alias("_from"),
+    sides = row_frames(values, [], "_at", {
+        "_first": lambda w: F.lag("_at", 1).over(w).isNull(),
+        "_hi": lambda w: F.lead(here, 1).over(w),
+    }, before=1, after=1, bounded=bounded)
+    return sides.select(
+        F.when(F.col("_first"), F.lit(-INFINITY)).otherwise(F.col("_at")).alias("_from"),
         F.coalesce(F.col("_hi.at"), F.lit(INFINITY)).alias("_to"),
-        "_lo", "_hi",
+        here.alias("_lo"), "_hi",
     )
 
 
@@ -45,10 +46,8 @@ def nearest_on_axis(
     Both sides are bucketed by one cell width, so the match is an equi-join on
     the bucket plus a range filter; each point meets exactly one gap.
     """
-    gaps = materialise(axis_gaps(axis, coordinate, index))
-    shape = gaps.agg(
-        F.min("_lo.at").alias("low"), F.max("_lo.at").alias("high"), F.count(F.lit(1)).alias("n")
-    ).first()
+    values = axis_values(axis, coordinate, index)
+    shape = values.agg(F.min("_at").alias("low"), F.max("_at").alias("high"), F.count(F.lit(1)).alias("n")).first()
     if not shape["n"]:
         return points.withColumn(into, F.lit(None).cast("double"))
     width = (shape["high"] - shape["low"]) / shape["n"] or 1.0
@@ -57,6 +56,7 @@ def nearest_on_axis(
         inside = F.least(F.greatest(x, F.lit(shape["low"])), F.lit(shape["high"]))
         return F.floor((inside - F.lit(shape["low"])) / F.lit(width))
 
+    gaps = axis_gaps(values, shape["n"] <= TASK_ROWS)
     spread = materialise(gaps.select(
         "*", F.explode(F.sequence(bucket(F.col("_from")), bucket(F.col("_to")))).alias("_gap_bucket")
     ))

@@ -32,8 +32,8 @@ def with_positions(df: DataFrame, order: Sequence[str], name: str = "pos") -> Da
     for row in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():
         starts.append((row["_part"], total))
         total += row["n"]
-    # one local row per partition: bounded by the partition count, not by the data
-    offsets = spark.createDataFrame(starts, "_part int, _start long")
+    # one row per partition: bounded by the partition count, not by the data
+    offsets = F.broadcast(spark.createDataFrame(starts, "_part int, _start long"))
     return (
         placed.join(offsets, "_part")
         .withColumn(name, F.col("_start") + F.col("_place"))

@@ -52,10 +52,15 @@ def null_profile(df: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def _correlation(a: str, b: str) -> Column:
-    """Pairwise-complete Pearson; missing for a constant column, never an error."""
+    """Pairwise-complete Pearson; missing for a constant column, never an error.
+
+    Constants are told by their range: merged partial deviations of a constant
+    need not be exactly zero.
+    """
     x = F.when(F.col(b).isNotNull(), F.col(a))
     y = F.when(F.col(a).isNotNull(), F.col(b))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 3, lower: bool = False) -> DataFrame:

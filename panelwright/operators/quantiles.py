@@ -11,7 +11,7 @@ from ..functions.scalars import missing_if_nan
 from ..session import materialise
 from .joins import lookup_join
 
-ACCURACY = 20_000
+ACCURACY = 50_000
 
 
 def exact_quantiles(

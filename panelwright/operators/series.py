@@ -68,16 +68,29 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def _layout(
-    df: DataFrame, entity: list[str], time: str, before: int, after: int, bounded: bool, block_rows: int
-) -> tuple[DataFrame, WindowSpec, bool]:
-    """Rows with ``_pos``, the window that orders them, and whether it is safe for whole entities."""
+    df: DataFrame, entity: list[str], time: str, bounded: bool, block_rows: int
+) -> tuple[DataFrame, bool]:
+    """Rows with their place ``_pos``, and whether whole entities fit a task."""
     if bounded or largest_group(df, entity) <= block_rows:
         w = Window.partitionBy(*entity).orderBy(time)
-        return df.withColumn("_pos", F.row_number().over(w).cast("long")), w, True
+        return df.withColumn("_pos", F.row_number().over(w).cast("long")), True
+    return with_positions(df, [*entity, time], "_pos"), False
+
+
+def _framed(
+    placed: DataFrame, entity: list[str], time: str, features: dict[str, Frame], before: int, after: int,
+    whole: bool, block_rows: int,
+) -> DataFrame:
+    """Placed rows with the features, per whole entity or per block with copied edges."""
+    if whole:
+        w = Window.partitionBy(*entity).orderBy(time)
+        return placed.select("*", *[make(w).alias(name) for name, make in features.items()])
     if block_rows <= max(before, after):
         raise ValueError("block_rows must exceed the frame size")
-    blocks = _with_edge_copies(with_positions(df, [*entity, time], "_pos"), before, after, block_rows)
-    return blocks, Window.partitionBy(*entity, "_block").orderBy("_pos"), False
+    w = Window.partitionBy(*entity, "_block").orderBy("_pos")
+    blocks = _with_edge_copies(placed, before, after, block_rows)
+    framed = blocks.select("*", *[make(w).alias(name) for name, make in features.items()])
+    return framed.filter("_own").drop("_own", "_block")
 
 
 def row_frames(
@@ -94,9 +107,8 @@ def row_frames(
 
     ``(entity, time)`` must identify a row.
     """
-    rows, w, whole = _layout(df, list(entity), time, before, after, bounded, block_rows)
-    out = rows.select("*", *[make(w).alias(name) for name, make in features.items()])
-    return (out if whole else out.filter("_own")).select(*df.columns, *features)
+    placed, whole = _layout(df, list(entity), time, bounded, block_rows)
+    return _framed(placed, list(entity), time, features, before, after, whole, block_rows).select(*df.columns, *features)
 
 
 def _with_edge_copies(df: DataFrame, before: int, after: int, block_rows: int) -> DataFrame:
@@ -119,18 +131,20 @@ def entity_stats(
     entity: Sequence[str],
     stats: dict[str, Column],
     bounded: bool = False,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add statistics of the whole entity to its rows.
 
     Bounded input uses a window next to the other features. Otherwise the
-    statistics are aggregated with map-side combine and joined back, which keeps
-    a hot entity out of any single task.
+    statistics of ``source`` (default: the same rows) are aggregated with
+    map-side combine and joined back, which keeps a hot entity out of any single
+    task.
     """
     entity = list(entity)
     if bounded:
         we = Window.partitionBy(*entity)
         return df.select("*", *[agg.over(we).alias(name) for name, agg in stats.items()])
-    table = materialise(df.groupBy(*entity).agg(*[a.alias(n) for n, a in stats.items()]))
+    table = materialise((df if source is None else source).groupBy(*entity).agg(*[a.alias(n) for n, a in stats.items()]))
     return lookup_join(df, table, entity, "left")
 
 
@@ -159,7 +173,7 @@ def with_trend(
     bounded: bool = False, block_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Least-squares slope against row position, times 12, on every row."""
-    rows, _, whole = _layout(df, list(entity), time, 0, 0, bounded, block_rows)
+    rows, whole = _layout(df, list(entity), time, bounded, block_rows)
     stats = entity_stats(rows, entity, trend_slope(value, "_pos"), whole)
     return stats.select(*df.columns, trend_per_year().alias(name))
 
@@ -172,7 +186,7 @@ def with_fitted_line(
 
     The fitted values do not depend on where positions start.
     """
-    rows, _, whole = _layout(df, list(entity), time, 0, 0, bounded, block_rows)
+    rows, whole = _layout(df, list(entity), time, bounded, block_rows)
     x, y = F.col("_pos").cast("double"), F.coalesce(F.col(value), F.lit(0.0))
     stats = entity_stats(rows, entity, {
         "_n": F.count(F.lit(1)),
@@ -190,14 +204,13 @@ def series_features(
     """W1, W3-W6 for one value column, rounded to 4 digits, on one shared layout."""
     frames = {f"{prefix}_{k}month_avg": trailing_mean(value, k) for k in windows}
     frames[f"{prefix}_rate_of_change"] = step_change(value)
-    rows, w, whole = _layout(df, list(entity), time, max(windows), 0, bounded, block_rows)
-    rows = rows.select("*", *[make(w).alias(name) for name, make in frames.items()])
-    rows = entity_stats(rows if whole else rows.filter("_own"), entity, {
+    placed, whole = _layout(df, list(entity), time, bounded, block_rows)
+    rows = entity_stats(_framed(placed, list(entity), time, frames, max(windows), 0, whole, block_rows), entity, {
         "_first": F.min_by(value, time),
         "_mean": F.avg(value),
         "_std": F.stddev_samp(value),
         **trend_slope(value, "_pos"),
-    }, whole)
+    }, whole, placed)
     return rows.select(
         *df.columns,
         *[round_even(name).alias(name) for name in frames],

@@ -136,11 +136,13 @@ def train_regressors(
     return Trained(fitted, scores, E.best_model(scores, "RMSE", False), features, train, test)
 
 
-def train_all(panel: DataFrame, model_folder: str, log_folder: str, tune: bool = True) -> tuple[Trained, Trained]:
+def train_all(
+    panel: DataFrame, model_folder: str, log_folder: str, tune: bool = True, params: dict[str, dict] | None = None
+) -> tuple[Trained, Trained]:
     """Both training tasks; all models are saved and the run is logged."""
     panel = materialise(panel)
-    classes = train_classifiers(panel, tune=tune)
-    values = train_regressors(lagged_panel(panel), tune=tune)
+    classes = train_classifiers(panel, tune=tune, params=params)
+    values = train_regressors(lagged_panel(panel), tune=tune, params=params)
     for name, model in classes.models.items():
         save_model(model, model_folder, "drought_classifier", name)
     for name, model in values.models.items():

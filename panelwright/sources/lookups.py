@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Keyword -> clean variable name, tried in this order.
 VARIABLE_KEYWORDS = [
@@ -122,14 +123,19 @@ NAME_TO_CODE = {
 }
 
 
+def _fixed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of this file: a few dozen rows, whatever the data, so always broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def entity_points(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ENTITY_POINTS, "country_code string, country string, lat double, lon double")
+    return _fixed(spark, ENTITY_POINTS, "country_code string, country string, lat double, lon double")
 
 
 def name_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(NAME_TO_CODE.items()), "name string, code string")
+    return _fixed(spark, list(NAME_TO_CODE.items()), "name string, code string")
 
 
 def keyword_list(spark: SparkSession) -> DataFrame:
     rows = [(i, word, name) for i, (word, name) in enumerate(VARIABLE_KEYWORDS)]
-    return spark.createDataFrame(rows, "priority int, keyword string, clean_name string")
+    return _fixed(spark, rows, "priority int, keyword string, clean_name string")

@@ -119,6 +119,19 @@ def test_regressor_run_with_search(spark, panel):
         T.train_regressors(lagged.limit(0))
 
 
+def test_train_all_saves_and_logs(spark, panel, tmp_path):
+    small = {"RandomForest": {"numTrees": 3, "maxDepth": 3}, "XGBoost": {"maxIter": 2, "maxDepth": 2},
+             "Ridge": {"alpha": 1.0}, "XGBoost_Reg": {"maxIter": 2, "maxDepth": 2}}
+    classes, values = T.train_all(panel, str(tmp_path / "models"), str(tmp_path / "runs"), False, small)
+    assert sorted(p.name for p in (tmp_path / "models").iterdir()) == [
+        "drought_classifier_randomforest", "drought_classifier_xgboost", "stress_predictor_ridge", "stress_predictor_xgboost_reg"]
+    run = spark.read.json(str(tmp_path / "runs")).first()
+    assert run["data_rows"] == panel.count() and run["regression"]["Ridge"]["RMSE"] == values.scores["Ridge"]["RMSE"]
+    cases = M.scenarios(classes.models["RandomForest"], spark.createDataFrame([("a", 4.0)], "id string, water_stress_score double"))
+    got = M.class_probabilities(classes.models["RandomForest"], cases, ["id"]).first()
+    assert got["predicted"] in ("Low", "Moderate", "High", "Extreme")
+
+
 def test_forest_search_picks_the_better_point(panel):
     train = panel.filter("year < 2018")
     model = M.fit_classifier(train, ["drought_composite_score"], "drought_risk_class", KEY, "forest",

@@ -87,6 +87,15 @@ def test_correlation(spark):
     assert sorted((r["a"], r["b"]) for r in lower.collect()) == [("b", "a"), ("c", "a"), ("c", "b")]
 
 
+def test_constants_over_many_partitions(spark):
+    df = spark.range(1000).select(F.lit(0.1).alias("c"), F.rand(1).alias("x"), (F.col("id") * 0.1).alias("y")).repartition(8)
+    got = {(r["a"], r["b"]): r["r"] for r in P.correlation_matrix(df, ["c", "x", "y"]).collect()}
+    assert got[("c", "x")] is None and got[("c", "c")] is None and got[("x", "x")] == 1.0
+    from panelwright.operators.features import standard_scale
+
+    assert standard_scale(df, ["c"])["c"] == (0.1, 1.0)
+
+
 def test_histogram(spark):
     df = spark.createDataFrame([(float(x),) for x in (0, 1, 2, 5, 5)], "v double")
     got = P.histogram(df, "v", 5).orderBy("bin").collect()
