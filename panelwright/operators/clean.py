@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import numeric_columns
 from ..functions.scalars import (
@@ -50,9 +51,9 @@ def blank_sentinel_everywhere(df: DataFrame, value: float = SENTINEL) -> DataFra
 
 
 def round_numeric(df: DataFrame, digits: int = 4) -> DataFrame:
-    """P13 over all numeric columns."""
-    numeric = set(numeric_columns(df))
-    return df.select(*[round_even(c, digits).alias(c) if c in numeric else F.col(c) for c in df.columns])
+    """P13 over all fractional columns; whole numbers stay as they are."""
+    fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, T.FractionalType)}
+    return df.select(*[round_even(c, digits).alias(c) if c in fractional else F.col(c) for c in df.columns])
 
 
 def drop_fill_values(df: DataFrame, value: str, side: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import band, clip, inverted_scale, season, weighted_score
+from ..functions.scalars import band, clip, inverted_scale, round_even, season, weighted_score
 from ..operators.joins import lookup_join
 from ..operators.quantiles import table_quantiles
 from ..operators.reshape import pivot_first
@@ -55,7 +55,7 @@ def static_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("e"))
         .agg(F.avg("s_acctbal").alias("a"))
-        .select("e", clip(F.bround(F.col("a") / F.lit(2000.0), 4), 0.0, 5.0).alias("stress_score"))
+        .select("e", clip(round_even(F.col("a") / F.lit(2000.0)), 0.0, 5.0).alias("stress_score"))
     )
 
 

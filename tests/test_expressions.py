@@ -1,5 +1,6 @@
 """Hand-checked values of the column expressions and cleaning operators."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +34,9 @@ def test_sentinels(spark):
 
 def test_rounding_is_half_even(spark):
     assert column(spark, [2.5, 3.5], X.round_even("v", 0)) == [2.0, 4.0]
+    rng = np.random.default_rng(4)
+    values = [float(x) for x in rng.integers(-(10 ** 9), 10 ** 9, 20_000) / 800]
+    assert column(spark, values, X.round_even("v")) == list(np.round(values, 4))
 
 
 def test_validity_limits(spark):
