@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import lay_out
+from ..session import materialise
 
 ROW_IN_PARTITION = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
@@ -16,17 +16,18 @@ def with_positions(df: DataFrame, order: Sequence[str], name: str = "pos") -> Da
     """Add ``name`` = 0, 1, 2, ... over ``order``, whose columns must identify a row.
 
     Rows are range partitioned by sampled bounds, so a hot entity spreads over
-    many tasks. The sorted layout is checkpointed; a row's number is then the
-    count of rows in earlier partitions plus its place in its own. Only one
-    count per partition reaches the driver.
+    many tasks, and sorted. Each row is stored with its partition and its place
+    in it; its number is then the count of rows in earlier partitions plus that
+    place. Only one count per partition reaches the driver.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = lay_out(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
-    placed = laid.select(
-        "*",
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION)).alias("_place"),
+    placed = materialise(
+        df.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
+            "*",
+            F.spark_partition_id().alias("_part"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION)).alias("_place"),
+        )
     )
     starts, total = [], 0
     for row in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():

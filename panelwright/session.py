@@ -60,12 +60,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lay_out(df: DataFrame) -> DataFrame:
-    """Checkpoint partitions as they are, keeping their numbers and row order."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give an input that arrives in fewer splits than there are cores one per core.
 
