@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -42,6 +42,33 @@ def with_positions(df: DataFrame, order: Sequence[str], name: str = "pos") -> Da
     )
 
 
+def running_totals(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], values: dict[str, Column], small_groups: bool
+) -> DataFrame:
+    """Add inclusive running sums over ``order`` inside each group.
+
+    ``(group, order)`` must identify a row. Unless groups are known to be small, a
+    group is range partitioned: sums run inside its slices, and each slice starts
+    from the total of the slices before it.
+    """
+    group = list(group)
+    if small_groups:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(v).over(w).alias(n) for n, v in values.items()])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = materialise(
+        df.repartitionByRange(parts, *group, *order).select(
+            "*", F.spark_partition_id().alias("_slice"), *[v.alias(n) for n, v in values.items()]))
+    slices = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sliced.groupBy(*group, "_slice").agg(*[F.sum(n).alias(n) for n in values])
+    starts = materialise(totals.select(
+        *group, "_slice", *[F.coalesce(F.sum(n).over(slices), F.lit(0)).alias(f"{n}_start") for n in values]))
+    w = Window.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = sliced.select(*df.columns, "_slice", *[F.sum(n).over(w).alias(n) for n in values])
+    return inside.join(starts, [*group, "_slice"]).select(
+        *df.columns, *[(F.col(n) + F.col(f"{n}_start")).alias(n) for n in values])
+
+
 def contiguous_folds(df: DataFrame, order: Sequence[str], k: int, name: str = "fold") -> DataFrame:
     """``k`` contiguous folds over ``order``; the first ones take the surplus rows."""
     numbered = with_positions(df, order, "_pos")

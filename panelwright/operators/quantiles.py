@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import missing_if_nan
 from ..session import materialise
 from .joins import lookup_join
+from .positions import running_totals
 
 ACCURACY = 50_000
+TASK_ROWS = 2_000_000
 
 
 def exact_quantiles(
@@ -29,7 +31,8 @@ def exact_quantiles(
        (small groups: by their minimum and maximum);
     2. the values below each bracket are counted;
     3. only the values inside brackets, ``2 * slack * n`` per quantile, are
-       grouped and ranked, which gives the exact answer.
+       grouped and ranked, which gives the exact answer. If even these could be
+       too many for a task, they are ranked slice by slice.
 
     Should a bracket miss its rank, the search is repeated with wider ones, up
     to the full range.
@@ -67,10 +70,12 @@ def _search(
     if by:
         data = data.na.drop(subset=by)
         brackets = materialise(data.groupBy(*by).agg(*sketches))
+        largest = brackets.agg(F.max(F.greatest(F.lit(0), *[F.col(f"_b{i}.n") for i in ids]))).first()[0] or 0
         data = lookup_join(data, brackets, by, "inner")
         bracket = [F.col(f"_b{i}") for i in ids]
     else:
         row = data.agg(*sketches).first()  # a few numbers per column
+        largest = max(row[i]["n"] for i in ids)
         bracket = [F.struct(*[_numbers(row[i][part]).alias(part) for part in ("low", "high")]) for i in ids]
 
     ranks = range(len(probs))
@@ -93,12 +98,14 @@ def _search(
                F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v"))) for i in ids]))
     kept = data.select(*by, F.inline(cells)).groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_rows"))
     ranked = kept.join(facts, [*by, "_c"])
-    running = Window.partitionBy(*by, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside_rows = max(accuracy // 2, 3 * slack * largest * len(probs))
+    ranked = running_totals(ranked, [*by, "_c"], ["_v"], {
+        f"_upto{k}": F.when(F.col("_v") >= F.col("low")[k], F.col("_rows")).otherwise(0) for k in ranks
+    }, inside_rows <= TASK_ROWS)
+    ranked = ranked.withColumns({f"_upto{k}": F.col("below")[k] + F.col(f"_upto{k}") for k in ranks})
     picks = []
     for k, p in enumerate(probs):
         place = (F.col("n") - 1) * F.lit(float(p))
-        ranked = ranked.withColumn(f"_upto{k}", F.col("below")[k] + F.sum(
-            F.when(F.col("_v") >= F.col("low")[k], F.col("_rows")).otherwise(0)).over(running))
         for name, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             here = (
                 F.col("_v").between(F.col("low")[k], F.col("high")[k])
@@ -124,6 +131,7 @@ def _bracket(column: str, share: Sequence[float], accuracy: int) -> Column:
     bounds = F.percentile_approx(column, list(share), accuracy)
     few = F.count(column) <= accuracy // 2
     return F.struct(
+        F.count(column).alias("n"),
         F.when(few, F.array_repeat(F.min(column), m)).otherwise(F.slice(bounds, 1, m)).alias("low"),
         F.when(few, F.array_repeat(F.max(column), m)).otherwise(F.slice(bounds, m + 1, m)).alias("high"),
     )

@@ -34,9 +34,10 @@ def wanted(rows, g, i):
     return len(found), list(np.quantile(found, PROBS))
 
 
-@pytest.mark.parametrize("accuracy", [20_000, 200, 20])
-def test_grouped_quantiles_are_exact(values, accuracy):
+@pytest.mark.parametrize("accuracy,task_rows", [(20_000, 10 ** 6), (200, 10 ** 6), (20, 10 ** 6), (200, 50), (20, 50)])
+def test_grouped_quantiles_are_exact(values, accuracy, task_rows, monkeypatch):
     rows, df = values
+    monkeypatch.setattr(Q, "TASK_ROWS", task_rows)
     got = {(r["g"], r["column"]): r for r in Q.exact_quantiles(df, ["x", "k"], PROBS, ["g"], accuracy).collect()}
     assert ("none", "x") not in got and not any(k[0] is None for k in got)
     for g in ("hot", "b", "c", "d"):
@@ -46,9 +47,10 @@ def test_grouped_quantiles_are_exact(values, accuracy):
             assert got[(g, c)]["q"] == pytest.approx(q, abs=1e-9)
 
 
-@pytest.mark.parametrize("accuracy", [20_000, 50])
-def test_table_quantiles_are_exact(values, accuracy):
+@pytest.mark.parametrize("accuracy,task_rows", [(20_000, 10 ** 6), (50, 10 ** 6), (50, 20)])
+def test_table_quantiles_are_exact(values, accuracy, task_rows, monkeypatch):
     rows, df = values
+    monkeypatch.setattr(Q, "TASK_ROWS", task_rows)
     found = [r[1] for r in rows if r[1] is not None and not math.isnan(r[1])]
     got = Q.table_quantiles(df, ["x"], PROBS, accuracy)["x"]
     assert got == pytest.approx(list(np.quantile(found, PROBS)), abs=1e-9)
