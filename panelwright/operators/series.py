@@ -257,28 +257,28 @@ def fill_linear(
     """
     entity, columns = list(entity), list(columns)
     if bounded or largest_group(df, entity) <= block_rows:
-        w = Window.partitionBy(*entity).orderBy(time)
-        placed = df.withColumn("_at", F.row_number().over(w).cast("double"))
-        part = list(entity)
+        placed = df.withColumn("_at", F.row_number().over(Window.partitionBy(*entity).orderBy(time)).cast("double"))
+        part, order = list(entity), time
         carried = None
     else:
         placed = with_positions(df, [*entity, time], "_pos")
         placed = placed.withColumn("_at", F.col("_pos").cast("double"))
         placed = placed.withColumn("_block", F.floor(F.col("_pos") / F.lit(block_rows)))
-        part = [*entity, "_block"]
-        w = Window.partitionBy(*part).orderBy("_pos")
+        part, order = [*entity, "_block"], "_pos"
         carried = True
     if by == "time":
         placed = placed.withColumn("_at", F.col(time).cast("double"))
 
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("_at").alias("x"),
                                                      F.col(c).cast("double").alias("y"))) for c in columns}
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # looking ahead is a running frame in descending order: a frame that ends at
+    # the last row would be walked again for every row
+    back = Window.partitionBy(*part).orderBy(F.asc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*part).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
     sides = placed.select(
         "*",
         *[F.last(known[c], ignorenulls=True).over(back).alias(f"_p{i}") for i, c in enumerate(columns)],
-        *[F.first(known[c], ignorenulls=True).over(ahead).alias(f"_n{i}") for i, c in enumerate(columns)],
+        *[F.last(known[c], ignorenulls=True).over(ahead).alias(f"_n{i}") for i, c in enumerate(columns)],
     )
     if carried:
         sides = _carry_over_blocks(sides, placed, entity, columns, known)
@@ -308,13 +308,13 @@ def _carry_over_blocks(
         *[F.min_by(known[c], F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_s{i}")
           for i, c in enumerate(columns)],
     )
-    blocks = Window.partitionBy(*entity).orderBy("_block")
-    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
-    later = blocks.rowsBetween(1, Window.unboundedFollowing)
+    blocks = Window.partitionBy(*entity)
+    earlier = blocks.orderBy(F.asc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    later = blocks.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     carry = materialise(ends.select(
         *entity, "_block",
         *[F.last(f"_e{i}", ignorenulls=True).over(earlier).alias(f"_cp{i}") for i in range(len(columns))],
-        *[F.first(f"_s{i}", ignorenulls=True).over(later).alias(f"_cn{i}") for i in range(len(columns))],
+        *[F.last(f"_s{i}", ignorenulls=True).over(later).alias(f"_cn{i}") for i in range(len(columns))],
     ))
     both = lookup_join(sides, carry, [*entity, "_block"], "left")
     return both.withColumns({
