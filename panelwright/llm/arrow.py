@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Called once per task; gives a function from the texts of a batch (null: "") to the new columns.
 Maker = Callable[[], Callable[[list[str]], list]]
@@ -18,9 +19,9 @@ def map_texts(df: DataFrame, id_cols: list[str], text_col: str, new: str, make:
 
     ``make`` runs once per task, so what it sets up serves all batches of the task and no other.
     """
-    fields = T._parse_datatype_string(new) if hasattr(T, "_parse_datatype_string") else None
-    schema = T.StructType([*[df.schema[c] for c in id_cols], *fields.fields])
-    names = [f.name for f in schema.fields]
+    schema = T.StructType([*[df.schema[c] for c in id_cols], *T.StructType.fromDDL(new).fields])
+    names = schema.names
+    kinds = [to_arrow_type(f.dataType) for f in schema.fields[len(id_cols):]]
     k = len(id_cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -29,7 +30,8 @@ def map_texts(df: DataFrame, id_cols: list[str], text_col: str, new: str, make:
             if not batch.num_rows:
                 continue
             out = work([t or "" for t in batch.column(k).to_pylist()])
-            columns = [batch.column(i) for i in range(k)] + [x if isinstance(x, pa.Array) else pa.array(x) for x in out]
+            columns = [batch.column(i) for i in range(k)] + [
+                x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(out, kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.select(*[F.col(c) for c in id_cols], F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_counts, decontaminate, pieces
+from . import bpe_counts, decontaminate, pieces, toxicity
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 SQL_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -49,3 +49,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sentencepiece")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, lexicon, ["doc_id"])
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_matches", "matches")
