@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_counts, decontaminate, pieces, toxicity
+from . import bpe_counts, decontaminate, langid, pieces, toxicity
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 SQL_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -58,3 +58,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, lexicon, ["doc_id"])
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_matches", "matches")
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.learn(docs))
+    return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
