@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_counts, decontaminate, langid, pieces, toxicity
+from . import bottomk, bpe_counts, decontaminate, langid, pieces, toxicity
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 SQL_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -65,3 +65,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.learn(docs))
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = bottomk.edited_pairs(table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", bottomk.as_text(F.col("sketch")).alias("fingerprint"),
+        bottomk.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        bottomk.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        bottomk.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
