@@ -14,7 +14,25 @@ from pyspark.sql.pandas.types import to_arrow_type
 Maker = Callable[[], Callable[[list[str]], list]]
 
 
-def map_texts(df: DataFrame, id_cols: list[str], text_col: str, new: str, make: Maker) -> DataFrame:
+#: Texts are handed over in runs of about this many characters, so that what is made of them stays small.
+AT_ONCE = 4_000_000
+
+
+def runs_of(texts: list[str], most: int = AT_ONCE) -> Iterator[slice]:
+    """Slices of consecutive texts with at most ``most`` characters, or one longer text."""
+    begin = total = 0
+    for i, text in enumerate(texts):
+        if total and total + len(text) > most:
+            yield slice(begin, i)
+            begin, total = i, 0
+        total += len(text)
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
+def map_texts(
+    df: DataFrame, id_cols: list[str], text_col: str, new: str, make: Maker, at_once: int = AT_ONCE,
+) -> DataFrame:
     """``id_cols`` of every row beside the columns ``new`` (a DDL string) computed from its whole text.
 
     ``make`` runs once per task, so what it sets up serves all batches of the task and no other.
@@ -29,9 +47,11 @@ def map_texts(df: DataFrame, id_cols: list[str], text_col: str, new: str, make:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out = work([t or "" for t in batch.column(k).to_pylist()])
-            columns = [batch.column(i) for i in range(k)] + [
-                x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(out, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            texts = [t or "" for t in batch.column(k).to_pylist()]
+            for part in runs_of(texts, at_once):
+                old = batch.slice(part.start, part.stop - part.start)
+                out = work(texts[part])
+                columns = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(out, kinds)]
+                yield pa.RecordBatch.from_arrays([*old.columns[:k], *columns], names=names)
 
     return df.select(*[F.col(c) for c in id_cols], F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)

@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame
 from .arrow import map_texts
 
 SPACE = "▁"
-MEMORY, LONG = 800_000, 64
+MEMORY, LONG = 400_000, 64
 #: Entries of the table that remembers which neighbours are possible (a power of two).
 PAIRS = 1 << 20
 #: Distinct cuts are indexed in blocks of about this many characters.
-BLOCK = 2_000_000
+BLOCK = 600_000
 
 
 def merge_all(symbols: list[str], score: dict[str, float]) -> list[str]:
