@@ -9,7 +9,8 @@ of comparison adapts to the region. Orders are range-partitioned and sorted, so
 Every node is compared with the ``REACH`` nodes before it by 2-bit signatures. A likely pair is a candidate unless two
 stronger candidates connect it already, so groups of copies give a number of candidates in proportion to their size.
 Candidates are confirmed on the full sets. Confirmed links are the edges of the components; a candidate inside a component
-that is already connected needs no check.
+that is already connected needs no check. In a dense region a node's link may lie out of reach, while those within reach
+just fail; so a node that nearly links to a group is compared with all of the group.
 
 A pair of similarity s shares the first d values of a tree with probability s^d, and is missed if no tree brings it within
 reach: at s = 0.8 and d = 3 with probability 0.488^20, below one in a million.
@@ -38,6 +39,8 @@ TREES, DEPTH, REACH = 20, 8, 16
 ESTIMATED, LIKELY, STRONG = 128, 0.62, 0.93
 #: Trees whose candidates are confirmed first.
 FIRST = 3
+#: A compared pair this many percent short of a link has its node compared with the whole group of the other.
+NEARLY = 10
 BROADCAST_BYTES = 32 << 20
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -227,14 +230,41 @@ def small(df: DataFrame, width: int, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if df.count() * width <= most else df
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets have ``100 * intersection >= percent * union``."""
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` with the numbers of their sets' common elements ``i`` and of all elements ``u``."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    measured = both.select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
-    return measured.where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent).select("a", "b")
+    counted = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
+    return counted.select("a", "b", "i", (F.col("t") - F.col("i")).alias("u"))
+
+
+def at_least(percent: int):
+    return F.col("i") * 100 >= F.col("u") * percent
+
+
+def open_links(failed: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between a node and a group that its neighbours in the group's dense region do not show.
+
+    ``failed(a, b)`` are compared pairs that nearly link two groups. Reach is limited, so another member of the group may
+    be closer: the node in the smaller of the two groups is compared with every member of the larger one.
+    """
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("k"))
+    end = lambda side: (rooted.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+                        .join(sizes.select(F.col("root").alias(f"r{side}"), F.col("k").alias(f"k{side}")), f"r{side}"))
+    ends = failed.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
+        "a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"),
+        F.coalesce("ka", F.lit(1)).alias("ka"), F.coalesce("kb", F.lit(1)).alias("kb")).where("ra <> rb")
+    a_asks = (F.col("ka") < F.col("kb")) | ((F.col("ka") == F.col("kb")) & (F.col("ra") < F.col("rb")))
+    asks = ends.where("ka + kb > 2").select(
+        F.when(a_asks, F.col("a")).otherwise(F.col("b")).alias("node"),
+        F.when(a_asks, F.col("rb")).otherwise(F.col("ra")).alias("root")).distinct()
+    asked = asks.join(sets, "node").select("root", F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    members = rooted.join(sets, "node").select("root", F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    n, m = F.size("sa"), F.size("sb")
+    both = members.join(asked, "root").where((n * 100 >= m * percent) & (m * 100 >= n * percent))
+    counted = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (n + m).alias("t"))
+    return counted.withColumn("u", F.col("t") - F.col("i")).where(at_least(percent)).select("a", "b")
 
 
 def classes(
@@ -267,12 +297,14 @@ def classes(
         return work
 
     sets = materialise(map_texts(wanted, [], "text", "node binary, shingles array<bigint>", make).dropDuplicates(["node"]))
-    links = materialise(confirm(found.where(F.col("tree") < FIRST), sets, percent))
-    rooted = materialise(components(links))
+    first = materialise(compare(found.where(F.col("tree") < FIRST), sets))
+    rooted = materialise(components(first.where(at_least(percent)).select("a", "b")))
     end = lambda side: rooted.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
     rest = found.where(F.col("tree") >= FIRST).join(end("a"), "a", "left").join(end("b"), "b", "left")
-    rest = rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-    more = materialise(confirm(rest, sets, percent))
+    rest = materialise(compare(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")), sets))
+    rooted = materialise(components(rooted.select("node", "root").union(rest.where(at_least(percent)).select("a", "b"))))
+    near = first.union(rest).where(~at_least(percent) & at_least(percent - NEARLY)).select("a", "b")
+    more = materialise(open_links(near, rooted, sets, percent))
     rooted = materialise(components(rooted.select("node", "root").union(more)))
     members = signed.select("id", "th", "n", "node").join(rooted, "node", "left").select(
         "id", "th", "n", F.coalesce("root", "node").alias("root"))
