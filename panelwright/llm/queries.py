@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, bpe_counts, decontaminate, forest, langid, pieces, toxicity
+from . import bottomk, bpe_counts, decontaminate, forest, langid, pieces, surrogates, toxicity
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 SQL_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -82,3 +82,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = forest.classes(table(spark, sf_dir, "documents"), size=2, percent=80)
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
                         F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+@query("op3_pii_surrogates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, key="op3")
