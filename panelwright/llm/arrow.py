@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -54,4 +55,6 @@ def map_texts(
                 columns = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(out, kinds)]
                 yield pa.RecordBatch.from_arrays([*old.columns[:k], *columns], names=names)
 
-    return df.select(*[F.col(c) for c in id_cols], F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
+    hidden = f"_text_{uuid.uuid4().hex}"
+    text = F.col(f"`{text_col}`").cast("string").alias(hidden)
+    return df.select(*[F.col(f"`{c}`") for c in id_cols], text).mapInArrow(run, schema)

@@ -42,6 +42,12 @@ def item_windows(benchmark: DataFrame, size: int, item_col: str = "item_id", tex
     return at.select(F.xxhash64(gram).alias("h"), "k", F.array_join(gram, " ").alias("gram"), "item").distinct()
 
 
+def places(n: Column, k: int) -> Column:
+    """``(p, k)`` for every window of ``k`` words in a text of ``n``."""
+    starts = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda p: F.struct(p.alias("p"), F.lit(k).alias("k")))
+
+
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES,
@@ -61,9 +67,7 @@ def find_hits(
     # one array entry per window, and position -1 once per document, which carries its word count
     spans = F.array(F.struct(F.lit(-1).alias("p"), F.lit(0).alias("k")))
     if lengths:
-        spans = F.concat(spans, F.flatten(F.array(*[
-            F.transform(F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>")),
-                        lambda p, k=k: F.struct(p.alias("p"), F.lit(k).alias("k"))) for k in lengths])))
+        spans = F.concat(spans, F.flatten(F.array(*[places(n, k) for k in lengths])))
     if len(lengths) == 1:  # the usual case: plain positions, without an array of pairs
         only = lengths[0]
         rows = text.select("id", "th", "w", F.explode(F.sequence(F.lit(-1), F.greatest(n - only, F.lit(-1)))).alias("p"))
