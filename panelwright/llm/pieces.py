@@ -4,10 +4,10 @@ The model is a BPE piece model with byte fallback: characters are merged into ev
 A sequence of pieces is that result exactly if every two neighbours are (Berglund and van der Merwe, "Formalizing BPE
 tokenization"), so the last piece of every prefix is unique and one pass from left to right finds it:
 
-1. the batch's texts are cut before each run of spaces, as no piece has a space behind another character, and between
-   a letter and a sign that no piece has behind a letter, so nothing merges across a cut. Each distinct cut is worked
-   on once;
-2. the distinct cuts are joined into one text, whose suffixes are sorted by as many characters as the longest piece has;
+1. the batch's texts are cut before each run of spaces, as no piece has a space behind another character, and a first
+   word of letters is parted from a sign that no piece has behind a letter, so nothing merges across. Each distinct part
+   is worked on once;
+2. the distinct parts are joined into one text, whose suffixes are sorted by as many characters as the longest piece has;
 3. every piece is searched in the suffix array by bisection, all pieces at once, which gives its range of occurrences;
 4. these edges are sorted by the position at which they end, and relaxed in that order: an edge is taken if the piece
    before it may stand in front of it.
@@ -41,6 +41,7 @@ MEMORY, LONG = 400_000, 64
 PAIRS = 1 << 20
 #: Distinct cuts are indexed in blocks of about this many characters.
 BLOCK = 600_000
+RUNS = re.compile(" *[^ ]+| +")
 
 
 def merge_all(symbols: list[str], score: dict[str, float]) -> list[str]:
@@ -82,7 +83,7 @@ class Pieces:
     pair_keys: np.ndarray
     pair_rank: np.ndarray
     usable: np.ndarray
-    cuts: str
+    parts: str
     runs: dict[int, list[int]] = field(default_factory=dict)
 
     @classmethod
@@ -111,10 +112,10 @@ class Pieces:
         letters = sorted(c for c in {c for p in others for c in p} if c.isalpha() and ord(c) < 0x250)
         behind = {b for p in others for a, b in zip(p, p[1:]) if a in set(letters)}
         signs = sorted({p for p in score if len(p) == 1 and not p.isalpha() and p != SPACE} - behind)
-        cuts = " *[^ ]+| +"
-        if signs:
+        parts = ".+"
+        if signs and letters:
             group = lambda cs: "[" + "".join(map(re.escape, cs)) + "]"
-            cuts = f" *{group(letters)}+(?={group(signs)})|" + cuts
+            parts = f"{SPACE}?{group(letters)}+(?={group(signs)})|.+"
         chars = sorted({c for p in others for c in p} | {p for p in score if len(p) == 1})
         others.sort(key=lambda p: -score[p])
         symbols = chars + others
@@ -137,7 +138,7 @@ class Pieces:
         keys = np.array(sorted(pairs), dtype=np.int64)
         ids = np.array([lib.piece_to_id(p) if p in score else -1 for p in symbols], dtype=np.int32)
         return cls(names, score, {c: i for i, c in enumerate(chars)}, symbols, ids, byte_ids, rank, left, right, keys,
-                   np.array([pairs[k] for k in keys.tolist()], dtype=np.int64), usable, cuts)
+                   np.array([pairs[k] for k in keys.tolist()], dtype=np.int64), usable, parts)
 
 
 class _Below(dict):
@@ -159,8 +160,9 @@ class Encoder:
 
     def __init__(self, pieces: Pieces):
         self.p = pieces
-        self.cut = re.compile(pieces.cuts).findall
+        self.part = re.compile(pieces.parts, re.DOTALL).findall
         self.known: dict[str, list[int]] = {}
+        self.part_ids: dict[str, list[int]] = {}
         self.pair_key = np.full(PAIRS, -1, dtype=np.int64)
         self.pair_ok = np.zeros(PAIRS, dtype=bool)
         self.unknown = len(pieces.symbols)  # a character that no piece has
@@ -315,15 +317,15 @@ class Encoder:
         order = np.argsort(places, kind="stable")
         owners, found, places = owners[order], found[order], places[order]
         ids = np.where(found < self.unknown, self.p.ids[np.minimum(found, self.unknown - 1)], -1).tolist()
-        for k in np.flatnonzero(np.array(ids) < 0).tolist():
+        odd = set()  # words with characters that are spelt in bytes
+        for k in np.flatnonzero(found == self.unknown).tolist() + np.flatnonzero(
+                (found < self.unknown) & (self.p.ids[np.minimum(found, self.unknown - 1)] < 0)).tolist():
             ids[k] = [self.p.byte_ids[x] for x in chr(points[places[k]]).encode()]
+            odd.add(int(owners[k]))
         ends = np.searchsorted(owners, np.arange(len(words)), side="right").tolist()
-        out, at = [], 0
-        for end in ends:
-            part = ids[at:end]
-            out.append(list(chain.from_iterable(x if isinstance(x, list) else (x,) for x in part))
-                       if any(isinstance(x, list) for x in part) else part)
-            at = end
+        out = [ids[a:b] for a, b in zip([0, *ends], ends)]
+        for w in odd:
+            out[w] = list(chain.from_iterable(x if isinstance(x, list) else (x,) for x in out[w]))
         return out
 
     def _run(self, n: int) -> list[int]:
@@ -336,31 +338,49 @@ class Encoder:
             self.p.runs[n] = made
         return self.p.runs[n]
 
-    def _learn(self, cuts: list[str]) -> dict[str, list[int]]:
-        """Identifiers of distinct cuts, block by block."""
-        out, block, size = {}, [], 0
-        for k, cut in enumerate(cuts):
-            block.append(cut)
-            size += len(cut)
-            if size >= BLOCK or k == len(cuts) - 1:
-                spaces = [len(c) - len(c.lstrip(" ")) for c in block]
-                words = [SPACE * (m > 0) + c[m:] for c, m in zip(block, spaces)]
-                lone = self.p.char_of[SPACE]
-                alone = int(self.p.ids[lone])
-                found = self._encode_words(words)
-                for c, m, ids in zip(block, spaces, found):
-                    if m > 1:
-                        ids = self._run(m) + ids[1:] if ids[0] == alone else self._run(m - 1) + ids
-                    out[c] = ids
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Learn distinct parts, block by block."""
+        block, size = [], 0
+        for k, part in enumerate(parts):
+            block.append(part)
+            size += len(part)
+            if size >= BLOCK or k == len(parts) - 1:
+                self.part_ids.update(zip(block, self._encode_words(block)))
                 block, size = [], 0
+
+    def _learn(self, cuts: list[str]) -> dict[str, list[int]]:
+        """Identifiers of distinct cuts, each given without its first space."""
+        spaces = [1 + len(c) - len(c.lstrip(" ")) for c in cuts]
+        parts = [self.part(SPACE + c[m - 1:]) for c, m in zip(cuts, spaces)]
+        needed = set(chain.from_iterable(parts))
+        if len(self.part_ids) + len(needed) > MEMORY:
+            self.part_ids = {p: ids for p in needed if (ids := self.part_ids.get(p)) is not None}
+        self._encode_parts([p for p in needed if p not in self.part_ids])
+        alone = int(self.p.ids[self.p.char_of[SPACE]])
+        out = {}
+        for c, m, ps in zip(cuts, spaces, parts):
+            ids = self.part_ids[ps[0]] if len(ps) == 1 else list(chain.from_iterable(map(self.part_ids.__getitem__, ps)))
+            if m > 1:  # spaces merge last: with the sign before the word if that has stayed alone
+                ids = self._run(m) + ids[1:] if ids[0] == alone else self._run(m - 1) + ids
+            out[c] = ids
+        for p in needed:
+            if len(p) > LONG:
+                del self.part_ids[p]
         return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        cuts = [self.cut(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+        """Identifiers of each text. Cuts are kept without the space that each of them starts with."""
+        cuts = []
+        for t in texts:
+            t = t.replace(SPACE, " ")
+            if "  " in t or t[:1] == " " or t[-1:] == " ":
+                cuts.append([c[1:] for c in RUNS.findall(" " + t)])
+            else:
+                cuts.append(t.split(" ") if t else [])
         known = self.known
-        missing = list({c for cs in cuts for c in cs if c not in known})
+        missing = set(chain.from_iterable(cuts)).difference(known)
         if missing:
-            fresh = self._learn(missing)
+            fresh = self._learn(list(missing))
             if len(known) + len(fresh) > MEMORY:
                 rest = {c: known[c] for cs in cuts for c in cs if c in known}
                 known.clear()
