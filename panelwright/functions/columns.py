@@ -20,8 +20,10 @@ def columns_with(df: DataFrame, *parts: str) -> list[str]:
     return [c for c in df.columns if any(p in c for p in parts)]
 
 
-def topic_columns(df: DataFrame, topics: Sequence[str], at_least: int = 3, fallback: int = 10) -> list[str]:
-    """Numeric columns about the topics; the first numeric ones if too few match."""
+def topic_columns(
+    df: DataFrame, topics: Sequence[str], at_least: int = 3, fallback: int | None = None
+) -> list[str]:
+    """Numeric columns about the topics; all numeric ones, or the first ``fallback``, if too few match."""
     numeric = numeric_columns(df)
     hits = [c for c in numeric if any(t in c.lower() for t in topics)]
     return hits if len(hits) >= at_least else numeric[:fallback]

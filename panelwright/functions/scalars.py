@@ -168,8 +168,9 @@ def month_cos(month: Column | str) -> Column:
 
 
 def parse_month(col: Column | str) -> Column:
-    """First day of a ``YYYY-MM`` text; bad text is missing."""
-    return F.try_to_timestamp(_c(col), F.lit("yyyy-MM")).cast("date")
+    """Date of a ``YYYY-MM`` (its first day), ``YYYY-MM-DD`` or timestamp text, whose zone is dropped; bad text is missing."""
+    day = F.regexp_extract(_c(col), r"^\s*(\d{4}-\d{2}(?:-\d{2})?)(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$", 1)
+    return F.coalesce(F.try_to_timestamp(day, F.lit("yyyy-MM-dd")), F.try_to_timestamp(day, F.lit("yyyy-MM"))).cast("date")
 
 
 def month_text(col: Column | str) -> Column:

@@ -53,7 +53,8 @@ def share_of_total(df: DataFrame, column: str) -> DataFrame:
     """
     counts = materialise(frequency(df, column))
     total = counts.agg(F.sum("count").alias("total")).scalar()
-    return counts.withColumn("percent", F.col("count") * F.lit(100.0) / total)
+    shares = counts.withColumn("percent", F.col("count") * F.lit(100.0) / total)
+    return shares.orderBy(F.desc("count"), column)  # a stored table has no order
 
 
 def cross_tab(df: DataFrame, entity: str, category: str, classes: Sequence[str]) -> DataFrame:
@@ -132,10 +133,13 @@ def cluster_profile(df: DataFrame, cluster: str, features: Sequence[str]) -> Dat
 def name_by_rank(df: DataFrame, group: str, value: str, names: Sequence[str], into: str) -> DataFrame:
     """Groups get the listed names in ascending order of their mean value.
 
-    There are as many groups as names, so the ranked table is a handful of rows.
+    There may be as many groups as names, so the ranked table is a handful of
+    rows; more groups are an error.
     """
     means = df.groupBy(group).agg(F.avg(value).alias("_mean"))
-    ranked = means.orderBy(F.asc_nulls_last("_mean"), group).limit(len(names)).collect()
+    ranked = means.orderBy(F.asc_nulls_last("_mean"), group).limit(len(names) + 1).collect()
+    if len(ranked) > len(names):
+        raise ValueError(f"more groups than the {len(names)} names")
     named = df.sparkSession.createDataFrame(
         [(r[group], name) for r, name in zip(ranked, names)],
         df.select(group, F.lit("").alias(into)).schema,
@@ -148,18 +152,14 @@ def members(df: DataFrame, group: str, member: str) -> DataFrame:
     return df.select(group, member).na.drop().distinct()
 
 
-def member_text(df: DataFrame, group: str, member: str, at_most: int = 100_000) -> DataFrame:
-    """Comma-joined members per group, for a report.
+def member_text(df: DataFrame, group: str, member: str, groups: Sequence) -> DataFrame:
+    """Comma-joined members of the listed groups, for a report.
 
-    A text of members only makes sense while it can be read; larger groups are
-    refused and belong to ``members``.
+    A text of members only makes sense while it can be read, so the caller names
+    the groups; ``members`` has every group at one row per member.
     """
-    pairs = materialise(members(df, group, member))
-    largest = pairs.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-    if largest > at_most:
-        raise ValueError(f"a group has {largest} members; use members() for one row each")
-    joined = F.array_join(F.sort_array(F.collect_list(member)), ", ")
-    return pairs.groupBy(group).agg(joined.alias("members"))
+    listed = members(df.filter(F.col(group).isin(list(groups))), group, member)
+    return listed.groupBy(group).agg(F.array_join(F.sort_array(F.collect_list(member)), ", ").alias("members"))
 
 
 def marker_table(df: DataFrame, keys: Sequence[str], value: str, lat: str, lon: str) -> DataFrame:

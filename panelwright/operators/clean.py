@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import numeric_columns
 from ..functions.scalars import (
-    SENTINEL, blank_equal, blank_fill, blank_from, clip, is_valid_measure, round_even, to_number,
+    SENTINEL, blank_equal, blank_fill, blank_from, clip, is_valid_measure, missing_if_nan, round_even, to_number,
 )
 from .joins import lookup_join
 from .quantiles import medians, scalar_medians
@@ -66,16 +66,19 @@ def fill_two_pass(df: DataFrame, group: str, columns: Sequence[str]) -> DataFram
     """Missing takes the group's median, then the median of the filled column.
 
     The second pass over the data is made only for columns that still have gaps:
-    those with a group that has no value at all, or every column if some row has
-    no group.
+    those with a group that has no value at all, or with a missing value in a row
+    without a group. Counts per group show which.
     """
     columns = list(columns)
     within = materialise(medians(df, columns, [group]).withColumnsRenamed({c: f"_m_{c}" for c in columns}))
     joined = lookup_join(df, within, [group], "left")
     first = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in columns})
-    empty = within.agg(*[F.bool_or(F.col(f"_m_{c}").isNull()).alias(c) for c in columns]).first()
-    ungrouped = not df.filter(F.col(group).isNull()).isEmpty()
-    gaps = [c for c in columns if ungrouped or empty[c] is not False]
+    counts = df.groupBy(F.col(group).alias("_group")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(missing_if_nan(F.col(c).cast("double"))).alias(f"_n_{c}") for c in columns])
+    empty = counts.agg(*[F.bool_or(F.when(F.col("_group").isNull(), F.col(f"_n_{c}") < F.col("_rows")).otherwise(
+        F.col(f"_n_{c}") == 0)).alias(c) for c in columns]).first()
+    gaps = [c for c in columns if empty[c]]
     overall = scalar_medians(first, gaps) if gaps else {}
     filled = {c: F.coalesce(F.col(c), F.lit(overall[c])) for c in gaps if overall[c] is not None}
     return (first.withColumns(filled) if filled else first).select(*df.columns)

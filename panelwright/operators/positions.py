@@ -97,7 +97,13 @@ def stratified_folds(
 def stratified_split(
     df: DataFrame, label: str, key: Sequence[str], test_share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """M4 fallback: mark an even ``test_share`` of every class as test rows."""
-    step = round(1 / test_share)
-    dealt = stratified_folds(df, label, key, step, seed, "_deal")
-    return dealt.withColumn("is_test", F.col("_deal") == step - 1).drop("_deal")
+    """M4 fallback: mark ``test_share`` of every class as test rows, spread evenly over a seeded order.
+
+    Rows are numbered class by class; a row is taken whenever the share reaches
+    the next whole number, so a class differs from its share by less than one row.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *key))
+    numbered = with_positions(hashed, [label, "_hash", *key], "_pos")
+    share, pos = F.lit(float(test_share)), F.col("_pos")
+    taken = F.floor((pos + 1) * share) > F.floor(pos * share)
+    return numbered.withColumn("is_test", taken).drop("_pos", "_hash")

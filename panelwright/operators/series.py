@@ -253,7 +253,8 @@ def fill_linear(
 ) -> DataFrame:
     """Linear gap fill per entity; ends take the nearest value, empty stays empty.
 
-    ``by="position"`` spaces rows evenly (T17), ``by="time"`` uses the numeric time.
+    ``by="position"`` spaces rows evenly (T17), ``by="time"`` uses the time: days of a
+    date, microseconds of a timestamp, or the number itself.
     """
     entity, columns = list(entity), list(columns)
     if bounded or largest_group(df, entity) <= block_rows:
@@ -267,7 +268,9 @@ def fill_linear(
         part, order = [*entity, "_block"], "_pos"
         carried = True
     if by == "time":
-        placed = placed.withColumn("_at", F.col(time).cast("double"))
+        kind = dict(df.dtypes)[time]
+        at = {"date": F.unix_date, "timestamp": F.unix_micros}.get(kind, lambda number: number)(F.col(time))
+        placed = placed.withColumn("_at", at.cast("double"))
 
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("_at").alias("x"),
                                                      F.col(c).cast("double").alias("y"))) for c in columns}

@@ -130,11 +130,13 @@ annual_long AS (
 
 
 def annual_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The annual table pivoted wide, with a third of its cells present."""
+    """The annual table pivoted wide, a third of its cells blanked; one variable of one nation is blank throughout."""
     first = annual_long(spark, sf_dir).groupBy("e", "y", "variable").agg(
         F.min_by("value", "ord").alias("value"), F.min("ord").alias("ord"))
-    kept = first.filter((F.col("e") * 7 + F.col("y") * 3 + F.length("variable")) % 3 == 0)
-    return pivot_first(kept, ["e", "y"], "variable", "value", PRIORITIES, "ord").toDF(
+    here = ((F.col("e") * 7 + F.col("y") * 5 + F.length("variable")) % 3 != 1) & (
+        (F.col("e") != 3) | (F.col("variable") != "5-LOW"))
+    gappy = first.withColumn("value", F.when(here, F.col("value")))
+    return pivot_first(gappy, ["e", "y"], "variable", "value", PRIORITIES, "ord").toDF(
         "e", "y", *[f"p{i}" for i in range(1, 6)])
 
 
@@ -143,13 +145,14 @@ _CELLS = ",\n         ".join(
 
 SPARSE = ANNUAL + """,
 sparse_long AS (
-  SELECT e, y, variable, min_by(value, ord) AS value, min(ord) AS ord FROM annual_long
-  WHERE (e * 7 + y * 3 + length(variable)) % 3 = 0
-  GROUP BY 1, 2, 3
+  SELECT e, y, variable, min(ord) AS ord,
+         CASE WHEN (e * 7 + y * 5 + length(variable)) % 3 <> 1 AND (e <> 3 OR variable <> '5-LOW')
+              THEN min_by(value, ord) END AS value
+  FROM annual_long GROUP BY 1, 2, 3
 ),
 sparse AS (
   SELECT e, y, """ + _CELLS + """
-  FROM sparse_long GROUP BY 1, 2
+  FROM sparse_long WHERE value IS NOT NULL GROUP BY 1, 2
 )"""
 
 

@@ -24,15 +24,17 @@ def _static_source(spark, sf):
 
 
 def _annual_source(spark, sf):
-    long = I.annual_long(spark, sf).filter((F.col("e") * 7 + F.col("y") * 3 + F.length("variable")) % 3 == 0)
+    long = I.annual_long(spark, sf)
+    here = (F.col("e") * 7 + F.col("y") * 5 + F.length("variable")) % 3 != 1
     return long.select(
         "variable", F.concat(F.lit("N"), "e").alias("country"), F.col("y").cast("string").alias("year"),
-        F.col("value").cast("string").alias("value"), F.col("ord").alias(ORDINAL))
+        F.when(here, F.col("value").cast("string")).otherwise("..").alias("value"), F.col("ord").alias(ORDINAL))
 
 
 def _codes(spark, sf):
-    nation = I.table(spark, sf, "nation").filter("n_nationkey <> 3")
-    return nation.select(F.concat(F.lit("N"), "n_nationkey").alias("name"),
+    nation = I.table(spark, sf, "nation")
+    name = F.when(F.col("n_nationkey") == 3, "unlisted").otherwise(F.concat(F.lit("N"), "n_nationkey"))
+    return nation.select(name.alias("name"),
                          F.concat(F.lit("C"), "n_nationkey").alias("code"))
 
 
@@ -74,7 +76,7 @@ an1 AS (
   SELECT e, y, ord, value, CASE WHEN contains(lower(variable), '1-urg') THEN 'u_val'
          WHEN contains(lower(variable), '2-high') THEN 'h_val' WHEN contains(lower(variable), 'medium') THEN 'm_val'
          WHEN contains(lower(variable), 'low') THEN 'l_val' END AS cv
-  FROM annual_long WHERE (e * 7 + y * 3 + length(variable)) % 3 = 0 AND e <> 3
+  FROM annual_long WHERE (e * 7 + y * 5 + length(variable)) % 3 <> 1 AND e <> 3
 ),
 an2 AS (SELECT e, y, {_FIRSTS} FROM an1 WHERE cv IS NOT NULL GROUP BY 1, 2),
 """ + I.gap_fill("an2", "e", "y", _VARIABLES, I.ROW_PLACE, 6) + "," + I.GRID + """,

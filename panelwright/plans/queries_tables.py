@@ -126,6 +126,19 @@ def two_pass_median_fill(spark, sf):
     return filled.withColumns({c: X.round_even(c, 6) for c in ("ind_score", "ind_raw")})
 
 
+@query("two_pass_empty_entity", "WITH " + I.CLEAN + """,
+holes AS (SELECT e, price, CASE WHEN e % 5 <> 3 THEN ind_raw END AS ind_raw FROM clean),
+pass1 AS (SELECT e, price, coalesce(ind_raw, median(ind_raw) OVER (PARTITION BY e)) AS ind_raw FROM holes)
+SELECT e, price, round_even(coalesce(ind_raw, (SELECT median(ind_raw) FROM pass1)), 6) AS ind_raw FROM pass1
+""")
+def two_pass_empty_entity(spark, sf):
+    """Entities without any value take the median of the filled column."""
+    cleaned = clean.clean_indicators(I.dirty_indicators(spark, sf), {}, "e").select("e", "price", "ind_raw")
+    holes = cleaned.withColumn("ind_raw", F.when(F.col("e") % 5 != 3, F.col("ind_raw")))
+    filled = clean.fill_two_pass(materialise(holes), "e", ["ind_raw"])
+    return filled.withColumn("ind_raw", X.round_even("ind_raw", 6))
+
+
 @query("group_mean_all_numeric", """
 SELECT l_returnflag, l_linestatus, round_even(avg(l_quantity), 4) AS l_quantity,
        round_even(avg(l_extendedprice), 4) AS l_extendedprice, round_even(avg(l_discount), 4) AS l_discount,
@@ -138,32 +151,33 @@ def group_mean_all_numeric(spark, sf):
     return mean_of_numeric(line, ["l_returnflag", "l_linestatus"], ["l_orderkey", "l_partkey", "l_suppkey"])
 
 
-PART_KEYWORDS = [("brushed", "finish"), ("PLATED", "coat"), ("burnished steel", "alloy"), ("tin", "tin"),
-                 ("STEEL", "steel")]
+# "small bolt" is shadowed by "small"; many parts match nothing
+PART_KEYWORDS = [("small", "little"), ("WIDGET", "widget"), ("small bolt", "never"), ("Promo", "offer"), ("gear", "gear")]
 
 
 @query("keyword_classify", """
 SELECT name, count(*) AS parts, count(DISTINCT p_type) AS types FROM (
-  SELECT p_type, CASE WHEN contains(lower(p_type), 'brushed') THEN 'finish'
-              WHEN contains(lower(p_type), 'plated') THEN 'coat'
-              WHEN contains(lower(p_type), 'burnished steel') THEN 'alloy'
-              WHEN contains(lower(p_type), 'tin') THEN 'tin'
-              WHEN contains(lower(p_type), 'steel') THEN 'steel' END AS name FROM part)
+  SELECT p_type, CASE WHEN contains(lower(p_name || ' ' || p_type), 'small') THEN 'little'
+              WHEN contains(lower(p_name || ' ' || p_type), 'widget') THEN 'widget'
+              WHEN contains(lower(p_name || ' ' || p_type), 'small bolt') THEN 'never'
+              WHEN contains(lower(p_name || ' ' || p_type), 'promo') THEN 'offer'
+              WHEN contains(lower(p_name || ' ' || p_type), 'gear') THEN 'gear' END AS name FROM part)
 WHERE name IS NOT NULL GROUP BY 1
 """)
 def keyword_classify(spark, sf):
     """X1, P19, A5."""
-    part = I.table(spark, sf, "part").select("p_type", X.first_keyword("p_type", PART_KEYWORDS).alias("name"))
+    text = F.concat_ws(" ", "p_name", "p_type")
+    part = I.table(spark, sf, "part").select("p_type", X.first_keyword(text, PART_KEYWORDS).alias("name"))
     return part.filter(F.col("name").isNotNull()).groupBy("name").agg(
         F.count(F.lit(1)).alias("parts"), F.count_distinct("p_type").alias("types"))
 
 
 @query("regex_filter", """
-SELECT p_partkey, p_type FROM part WHERE regexp_matches(p_type, 'steel|BRASS|tin$', 'i')
+SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'Gear|^RED|bo.t$', 'i')
 """)
 def regex_filter(spark, sf):
     """P18."""
-    return I.table(spark, sf, "part").filter(X.matches("p_type", "steel|BRASS|tin$")).select("p_partkey", "p_type")
+    return I.table(spark, sf, "part").filter(X.matches("p_name", "Gear|^RED|bo.t$")).select("p_partkey", "p_name")
 
 
 _FIRST = ", ".join(f"min_by(value, ord) FILTER (WHERE variable = '{p}') AS p{i}"
@@ -244,11 +258,12 @@ def spatial(spark, sf):
 
 @query("left_join_static", "WITH " + I.PANEL + "," + I.STATIC + """
 SELECT p.e, strftime(p.t, '%Y-%m') AS month, p.v, s.v AS v_st, s.stress_score
-FROM panel p LEFT JOIN (SELECT e, stress_score, e * 2 AS v FROM static WHERE e <> 3) s ON p.e = s.e
+FROM panel p LEFT JOIN (SELECT CASE WHEN e <> 3 THEN e END AS e, stress_score, e * 2 AS v FROM static) s ON p.e = s.e
 """)
 def left_join_static(spark, sf):
     """Clashing column gets a suffix, entities without a row stay."""
-    static = materialise(I.static_scores(spark, sf).filter("e <> 3").withColumn("v", F.col("e") * 2))
+    static = I.static_scores(spark, sf).withColumn("v", F.col("e") * 2)
+    static = materialise(static.withColumn("e", F.when(F.col("e") != 3, F.col("e"))))
     joined = joins.left_join_suffixed(I.monthly_panel(spark, sf), static, ["e"], "_st", require_unique=True)
     return joined.select("e", X.month_text("t").alias("month"), "v", "v_st", "stress_score")
 

@@ -344,7 +344,7 @@ SELECT CAST(n_regionkey % 3 AS INTEGER) AS cluster, string_agg(n_name, ', ' ORDE
 def cluster_members(spark, sf):
     """A24."""
     nation = I.table(spark, sf, "nation").withColumn("cluster", (F.col("n_regionkey") % 3).cast("int"))
-    return A.member_text(nation, "cluster", "n_name")
+    return A.member_text(nation, "cluster", "n_name", [0, 1, 2])
 
 
 @query("cluster_member_rows", """

@@ -42,7 +42,7 @@ REGRESSOR_FEATURES = [
     "sdg642_water_stress_pct", "total_renewable_water_km3",
     "precipitation_mm",
 ]
-FOREST, BOOSTED, RIDGE, BOOSTED_REG = "RandomForest", "XGBoost", "Ridge", "XGBoost_Reg"  # names in the score tables
+FOREST, BOOSTED, RIDGE, BOOSTED_REG = "RandomForest", "GBT", "Ridge", "GBT_Reg"  # names in the score tables
 
 
 @dataclass

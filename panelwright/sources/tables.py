@@ -42,15 +42,19 @@ def read_text_table(
     schema: str | None = None,
     by_position: Sequence[str] | None = None,
     ordinal: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header row.
 
+    ``multi_line`` reads cells with line breaks; such a file is one split.
+
     Without a schema every column is text, to be coerced where it is used; no
     pass over the data is spent on guessing types. ``by_position`` renames the
     leading columns, whatever the header says. ``ordinal`` adds the row's place
     in the input (file, block, row), which "first in file" needs (T7).
     """
     reader = spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
+    reader = reader.option("multiLine", multi_line)
     if schema:
         reader = reader.schema(schema)
     df = _open(name, path, reader.csv)

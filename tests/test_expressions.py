@@ -99,6 +99,7 @@ def test_column_choice(spark):
     assert C.numeric_columns(df, ["year"]) == ["water_score", "tws", "z"]
     assert C.topic_columns(df, ["water", "tws"]) == ["year", "water_score", "tws", "z"]  # fewer than 3 hits
     assert C.topic_columns(df, ["water", "tws"], at_least=2) == ["water_score", "tws"]
+    assert C.topic_columns(df, ["tws"], fallback=2) == ["year", "water_score"]
     assert C.feature_columns(df, ["tws", "none"], ["year"]) == ["tws"]
     assert C.feature_columns(df, ["none"], ["year"]) == ["water_score", "tws", "z"]
     assert C.existing(df, ["z", "q", "name"]) == ["z", "name"]
@@ -113,11 +114,14 @@ def test_clean_indicators_pattern_is_applied_after_renaming(spark):
 
 
 def test_two_pass_fill_uses_the_filled_column(spark):
-    df = spark.createDataFrame(
-        [("a", 1.0), ("a", None), ("a", None), ("b", 10.0), ("c", None), (None, None)], "e string, v double")
-    got = clean.fill_two_pass(df, "e", ["v"]).collect()
-    want = [("a", 1.0), ("a", 1.0), ("a", 1.0), ("b", 10.0), ("c", 1.0), (None, 1.0)]
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    rows = [("a", 1.0), ("a", None), ("a", None), ("b", 10.0), ("c", None)]
+    want = [("a", 1.0), ("a", 1.0), ("a", 1.0), ("b", 10.0), ("c", 1.0)]
+    for more, filled in (([], []), ([(None, None)], [(None, 1.0)]), ([(None, 2.0)], [(None, 2.0)])):
+        df = spark.createDataFrame(rows + more, "e string, v double")
+        got = clean.fill_two_pass(df, "e", ["v"]).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want + filled))
+    nothing = spark.createDataFrame([("a", None), (None, None)], "e string, v double")
+    assert [r["v"] for r in clean.fill_two_pass(nothing, "e", ["v"]).collect()] == [None, None]
 
 
 def test_pivots(spark):

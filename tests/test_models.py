@@ -75,9 +75,9 @@ def test_sample_ignores_partitions(panel):
 
 def test_classifier_run(spark, panel, tmp_path):
     trained = T.train_classifiers(
-        panel, tune=False, params={"RandomForest": {"numTrees": 15, "maxDepth": 6}, "XGBoost": {"maxIter": 4, "maxDepth": 3}},
+        panel, tune=False, params={"RandomForest": {"numTrees": 15, "maxDepth": 6}, "GBT": {"maxIter": 4, "maxDepth": 3}},
         reference_mode=True)
-    assert set(trained.models) == {"RandomForest", "XGBoost"}
+    assert set(trained.models) == {"RandomForest", "GBT"}
     assert all(s["f1_weighted"] > 0.85 and s["accuracy"] > 0.85 for s in trained.scores.values())
     assert trained.best == max(trained.scores, key=lambda n: trained.scores[n]["f1_weighted"])
     assert "drought_composite_score" in trained.features
@@ -110,8 +110,8 @@ def test_regressor_run_with_search(spark, panel):
     trained = T.train_regressors(lagged, kinds={"Ridge": "ridge"})
     assert trained.features == sorted(trained.features) and "month_sin" in trained.features
     assert trained.scores["Ridge"]["R2"] > 0.6 and trained.best == "Ridge"
-    boosted = T.train_regressors(lagged, tune=False, kinds={"XGBoost_Reg": "boosted"}, params={"XGBoost_Reg": {"maxIter": 5}})
-    assert boosted.scores["XGBoost_Reg"]["RMSE"] < 1.0
+    boosted = T.train_regressors(lagged, tune=False, kinds={"GBT_Reg": "boosted"}, params={"GBT_Reg": {"maxIter": 5}})
+    assert boosted.scores["GBT_Reg"]["RMSE"] < 1.0
     cases = spark.createDataFrame([("a", 2.0, 9.0), ("b", 2.0, -90.0)], "id string, drought_composite_score_lag1 double, x double")
     got = M.forecast(trained.models["Ridge"], cases, ["id"]).collect()
     assert len(got) == 2 and all(0.0 <= r["forecast"] <= 5.0 and r["forecast_class"] for r in got)
@@ -120,8 +120,8 @@ def test_regressor_run_with_search(spark, panel):
 
 
 def test_train_all_saves_and_logs(spark, panel, tmp_path):
-    small = {"RandomForest": {"numTrees": 3, "maxDepth": 3}, "XGBoost": {"maxIter": 2, "maxDepth": 2},
-             "Ridge": {"alpha": 1.0}, "XGBoost_Reg": {"maxIter": 2, "maxDepth": 2}}
+    small = {"RandomForest": {"numTrees": 3, "maxDepth": 3}, "GBT": {"maxIter": 2, "maxDepth": 2},
+             "Ridge": {"alpha": 1.0}, "GBT_Reg": {"maxIter": 2, "maxDepth": 2}}
     classes, values = T.train_all(panel, str(tmp_path / "models"), str(tmp_path / "runs"), False, small)
     assert sorted(p.name for p in (tmp_path / "models").iterdir()) == [
         "drought_classifier_randomforest", "drought_classifier_xgboost", "stress_predictor_ridge", "stress_predictor_xgboost_reg"]

@@ -192,12 +192,12 @@ def test_left_join_suffix_and_uniqueness(spark):
 
 def test_names_by_rank_and_members(spark):
     df = spark.createDataFrame([(7, "x", 3.0), (7, "y", 5.0), (2, "z", 1.0), (9, "w", 9.0)], "c int, e string, s double")
-    named = {r["c"]: r["n"] for r in A.name_by_rank(df, "c", "s", ["low", "mid"], "n").collect()}
-    assert named == {2: "low", 7: "mid", 9: None}
-    text = {r["c"]: r["members"] for r in A.member_text(df, "c", "e").collect()}
-    assert text == {7: "x, y", 2: "z", 9: "w"}
+    named = {r["c"]: r["n"] for r in A.name_by_rank(df, "c", "s", ["low", "mid", "top", "more"], "n").collect()}
+    assert named == {2: "low", 7: "mid", 9: "top"}
     with pytest.raises(ValueError):
-        A.member_text(df, "c", "e", at_most=1)
+        A.name_by_rank(df, "c", "s", ["low", "mid"], "n")
+    text = {r["c"]: r["members"] for r in A.member_text(df, "c", "e", [7, 2]).collect()}
+    assert text == {7: "x, y", 2: "z"}
 
 
 def test_frequency_drops_missing_and_orders_ties(spark):
