@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .positions import stratified_split
@@ -80,4 +80,9 @@ def split_by_year(
 
 def bounded_sample(df: DataFrame, key: Sequence[str], at_most: int, seed: int = 42) -> DataFrame:
     """At most ``at_most`` rows in a seeded order that ignores partitioning."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(at_most)
+    return df.orderBy(seeded_order(key, seed), *key).limit(at_most)
+
+
+def seeded_order(key: Sequence[str], seed: int) -> Column:
+    """A text whose order over rows looks random and is the same in any engine."""
+    return F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in key]))

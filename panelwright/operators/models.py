@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,13 +13,13 @@ from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel,
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..session import materialise
-from .features import READY, assembler, bounded_sample, median_stage, scale_stage, standard_scale
-from .positions import contiguous_folds, stratified_folds
+from .features import READY, assembler, bounded_sample, median_stage, scale_stage, seeded_order, standard_scale
+from .positions import contiguous_folds, stratified_folds, with_positions
 
 # Seeds, defaults and search grids of the models.
 SEED = 42
@@ -210,26 +211,24 @@ def class_probabilities(model: PipelineModel, df: DataFrame, keep: Sequence[str]
 
 
 def permutation_importance(
-    model: PipelineModel, df: DataFrame, label: str, key: Sequence[str], at_most: int = SAMPLE_ROWS, seed: int = SEED
+    model: PipelineModel, df: DataFrame, label: str, key: Sequence[str], at_most: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """Accuracy lost when one feature's values are permuted, on a bounded sample.
+    """Accuracy lost when one feature's values are permuted, over all rows.
 
     Every feature gets its own permutation: a row takes the value of the row that
-    holds its place in a second seeded order. All permuted copies are scored in
-    one job. The orderings run over the sample only.
+    holds its place in a second seeded order. Places come from range partitions,
+    so no task sees a whole order, and all permuted copies are scored in one job.
+    ``at_most`` limits the rows to a sample.
     """
     features = model_features(model)
-    sampled = bounded_sample(df, key, at_most, seed)
-    places = {f"_r{i}": F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed + 1 + i), *key), *key))
-              for i in range(len(features))}
-    rows = materialise(sampled.select(
-        "*", F.row_number().over(Window.orderBy(*key)).alias("_place"),
-        *[p.alias(n) for n, p in places.items()]))
-    donors = rows.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_f"), F.col(f"_r{i}").alias("_place"), F.col(f).cast("double").alias("_value"))
-        for i, f in enumerate(features)])))
-    copies = rows.withColumn("_f", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))
-    mixed = copies.join(donors, ["_f", "_place"], "left").withColumns({
+    rows = materialise(df if at_most is None else bounded_sample(df, key, at_most, seed))
+    placed = with_positions(rows, key, "_at")
+    donors = []
+    for i, f in enumerate(features):
+        mixed = rows.select(*key, F.col(f).cast("double").alias("_value"), seeded_order(key, seed + 1 + i).alias("_order"))
+        donors.append(with_positions(mixed, ["_order", *key], "_at").select(F.lit(i).alias("_f"), "_at", "_value"))
+    copies = placed.withColumn("_f", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))
+    mixed = copies.join(reduce(DataFrame.unionByName, donors), ["_f", "_at"], "left").withColumns({
         f: F.when(F.col("_f") == i, F.col("_value")).otherwise(F.col(f).cast("double"))
         for i, f in enumerate(features)})
     right = (F.col("predicted") == F.col(label)).cast("double")

@@ -1,4 +1,4 @@
-"""Model queries (M1-M21, S8, X14, O3). Tree learners have no SQL form and are checked by rows."""
+"""Model queries (M1-M21, S8, X14, O3). Learners are checked on planted rules, whose answers SQL can state."""
 
 from __future__ import annotations
 
@@ -8,44 +8,48 @@ from ..functions import scalars as X
 from ..operators import clean, evaluation, features, models
 from ..operators import clusters as K
 from ..operators.clean import round_numeric
-from ..operators.series import lag_features, series_features
 from ..session import materialise, scratch_path
 from ..sources.model_store import load_model, save_model
 from . import inputs as I
 from .registry import query
 
-FEATURES = ["stress_score", "v", "v_3month_avg", "v_6month_avg", "v_12month_avg", "v_rate_of_change",
-            "v_cumulative_change", "v_zscore", "v_trend_per_year"]
-KEY = ["e", "t"]
 TEST_YEAR = 2000
-FOREST = {"numTrees": 20, "maxDepth": 6, "minInstancesPerNode": 2}
-BOOST = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}
+KEY = ["o_orderkey"]
+PLANTED = ["priority", "month", "noise"]
+BOOST = models.BOOST_DEFAULT
 
 
-def _class_rows(spark, sf):
-    panel = I.scored_panel(spark, sf)
-    made = series_features(panel, ["e"], "t", "v", "v", bounded=True)
-    return materialise(made.select("e", "t", "y", "score", "class", *FEATURES))
+def _planted(spark, sf):
+    """Orders whose class and amount follow from their priority and month by a rule; a third feature is noise.
 
+    Any learner that works reproduces the rule, so SQL can state what it predicts.
+    """
+    orders = I.table(spark, sf, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("y"), F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
+        F.month("o_orderdate").cast("double").alias("month"), (F.col("o_orderkey") % 5).cast("double").alias("noise"))
+    rule = F.when(F.col("priority") <= 2, "High").when(F.col("month") >= 7, "Moderate").otherwise("Low")
+    return materialise(orders.withColumn("class", rule).withColumn("amount", F.when(F.col("month") >= 7, 3.0).otherwise(1.0)))
 
-def _forecast_rows(spark, sf):
-    panel = I.scored_panel(spark, sf).select("e", "t", "y", "m", "v", "stress_score", "score")
-    made = lag_features(panel, ["e"], "t", "score", bounded=True)
-    return materialise(made.withColumns({"month_sin": X.month_sin("m"), "month_cos": X.month_cos("m")}))
 
+_RULED = """
+WITH planted AS (
+  SELECT o_orderkey, year(o_orderdate) AS y, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority,
+         CAST(month(o_orderdate) AS DOUBLE) AS month, CAST(o_orderkey % 5 AS DOUBLE) AS noise FROM orders
+),
+ruled AS (SELECT *, CASE WHEN priority <= 2 THEN 'High' WHEN month >= 7 THEN 'Moderate' ELSE 'Low' END AS class FROM planted),
+test AS (SELECT * FROM ruled WHERE y >= 2000)"""
 
-def _forecast_features(rows):
-    return sorted(c for c in rows.columns if c not in ("e", "t", "y", "m", "score_future"))
 
+def _classifier(spark, sf, kind="forest", **more):
+    """A classifier with the reference's settings, and its test rows."""
+    train, test = features.split_by_year(_planted(spark, sf), TEST_YEAR, KEY, "y", "class")
+    return models.fit_classifier(train, PLANTED, "class", KEY, kind, **more), test
 
-def _shown(df):
-    return df.withColumn("month", X.month_text("t")).drop("t")
 
-
-def _forest(spark, sf, **more):
-    rows = _class_rows(spark, sf)
-    train, test = features.split_by_year(rows, TEST_YEAR, KEY, "y", "class")
-    return models.fit_classifier(train, FEATURES, "class", KEY, "forest", FOREST, **more), train, test
+def _classified(model, test):
+    shares = models.class_probabilities(model, test, ["o_orderkey", "class"])
+    total = sum(F.col(c) for c in shares.columns if c.startswith("p_"))
+    return shares.select("o_orderkey", "class", "predicted", F.round(total, 6).alias("total"))
 
 
 @query("impute_median", "WITH " + I.SPARSE + """,
@@ -183,78 +187,107 @@ def ridge(spark, sf):
     return round_numeric(one, 3)
 
 
-@query("ridge_search")
+@query("ridge_search", """
+WITH x AS (SELECT o_orderkey, o_totalprice / 1000 AS v FROM orders),
+s AS (SELECT avg(v) AS m, stddev_pop(v) AS sd FROM x),
+f AS (SELECT 3 * sum(((v - m) / sd) * (v - m)) / (sum(((v - m) / sd) ** 2) + 0.01) AS slope, avg(3 * v + 7) AS base FROM x, s)
+SELECT o_orderkey, round_even(base + slope * (v - m) / sd, 3) AS prediction FROM x, s, f
+""")
 def ridge_search(spark, sf):
-    """Penalty chosen over contiguous folds, forecast of the test years."""
-    rows = _forecast_rows(spark, sf)
-    train, test = features.split_by_year(rows, TEST_YEAR, KEY, "y")
-    model = models.fit_regressor(train, _forecast_features(rows), "score_future", KEY, "ridge",
-                                 grid={"alpha": models.RIDGE_ALPHAS}, folds=3)
-    return _shown(model.transform(test).select("e", "t", "score_future", "prediction"))
+    """Five contiguous folds; a target without noise wants the least penalty, whose fit has a closed form."""
+    rows = I.table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") / 1000).alias("v"))
+    rows = rows.withColumn("target", F.col("v") * 3 + 7)
+    model = models.fit_regressor(rows, ["v"], "target", KEY, "ridge", grid={"alpha": models.RIDGE_ALPHAS})
+    return round_numeric(model.transform(rows).select("o_orderkey", "prediction"), 3)
 
 
-@query("rf")
+@query("rf", _RULED + " SELECT o_orderkey, class, class AS predicted, 1.0::DOUBLE AS total FROM test")
 def rf(spark, sf):
-    """Class and class probabilities of the test years."""
-    model, _, test = _forest(spark, sf)
-    return _shown(models.class_probabilities(model, test, ["e", "t", "class"]))
+    """Class of the test years; the class probabilities sum to 1."""
+    return _classified(*_classifier(spark, sf))
 
 
-@query("gbt")
+@query("gbt", _RULED + """
+SELECT o_orderkey, CASE WHEN month >= 7 THEN 'late' ELSE 'early' END AS class,
+       CASE WHEN month >= 7 THEN 'late' ELSE 'early' END AS predicted, 1.0::DOUBLE AS total FROM test
+""")
 def gbt(spark, sf):
-    """M7, M16, T10."""
-    rows = _class_rows(spark, sf)
-    train, test = features.split_by_year(rows, TEST_YEAR, KEY, "y", "class")
-    model = models.fit_classifier(train, FEATURES, "class", KEY, "boosted", BOOST)
-    return _shown(models.class_probabilities(model, test, ["e", "t", "class"]))
+    """One booster per class."""
+    return _classified(*_single(spark, sf, "boosted", BOOST))
 
 
-@query("gbt_regressor")
+@query("gbt_regressor", _RULED + """
+SELECT o_orderkey, CASE WHEN month >= 7 THEN 3.0::DOUBLE ELSE 1.0::DOUBLE END AS prediction FROM test
+""")
 def gbt_regressor(spark, sf):
     """M9."""
-    rows = _forecast_rows(spark, sf)
-    train, test = features.split_by_year(rows, TEST_YEAR, KEY, "y")
-    model = models.fit_regressor(train, _forecast_features(rows), "score_future", KEY, "boosted", BOOST)
-    return _shown(model.transform(test).select("e", "t", "score_future", "prediction"))
+    train, test = features.split_by_year(_planted(spark, sf), TEST_YEAR, KEY, "y")
+    model = models.fit_regressor(train, PLANTED, "amount", KEY, "boosted", BOOST)
+    return model.transform(test).select("o_orderkey", X.round_even("prediction", 2).alias("prediction"))
 
 
-@query("cv")
+@query("cv", _RULED + " SELECT 1.0::DOUBLE AS f1_weighted, 1.0::DOUBLE AS accuracy FROM (SELECT count(*) AS n FROM test) WHERE n > 0")
 def cv(spark, sf):
-    """Forest chosen from a grid by stratified folds; scores on the test years."""
-    model, _, test = _forest(spark, sf, grid={"numTrees": [5, 10], "maxDepth": [3, 5]})
-    return evaluation.class_scores(model.transform(test), "class", "predicted", X.RISK_CLASSES)
+    """Forest chosen from the grid by stratified folds; scores on the test years."""
+    model, test = _classifier(spark, sf, grid=models.FOREST_GRID)
+    return evaluation.class_scores(model.transform(test), "class", "predicted", ["High", "Low", "Moderate"])
 
 
-@query("importance")
+def _single(spark, sf, kind="forest", params=None):
+    """A classifier of a class that depends on the month alone."""
+    rows = _planted(spark, sf).withColumn("class", F.when(F.col("month") >= 7, "late").otherwise("early"))
+    train, test = features.split_by_year(rows, TEST_YEAR, KEY, "y", "class")
+    return models.fit_classifier(train, ["month", "noise"], "class", KEY, kind, params), test
+
+
+@query("importance", "SELECT * FROM (VALUES ('month', 1.0::DOUBLE), ('noise', 0.0::DOUBLE)) t(feature, importance)")
 def importance(spark, sf):
-    """M14."""
-    return models.importance(_forest(spark, sf)[0])
+    """All importance is the month's."""
+    return models.importance(_single(spark, sf)[0]).withColumn("importance", F.round("importance", 1))
 
 
-@query("topk_importance")
+@query("topk_importance", "SELECT 'month' AS feature")
 def topk_importance(spark, sf):
     """O3."""
-    return models.top_importance(_forest(spark, sf)[0], 5)
+    return models.top_importance(_single(spark, sf)[0], 1).select("feature")
 
 
-@query("permutation")
+_PLACES = ", ".join(f"row_number() OVER (ORDER BY md5(concat_ws('|', {models.SEED + 1 + i}, o_orderkey)), o_orderkey) AS r{i}"
+                    for i in range(3))
+
+
+@query("permutation", _RULED + f""",
+placed AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS place, {_PLACES} FROM test),
+lost AS (
+  SELECT 'priority' AS feature, avg((CASE WHEN d.priority <= 2 THEN 'High' WHEN a.month >= 7 THEN 'Moderate' ELSE 'Low' END = a.class)::INT) AS acc
+  FROM placed a JOIN placed d ON a.place = d.r0
+  UNION ALL
+  SELECT 'month', avg((CASE WHEN a.priority <= 2 THEN 'High' WHEN d.month >= 7 THEN 'Moderate' ELSE 'Low' END = a.class)::INT)
+  FROM placed a JOIN placed d ON a.place = d.r1
+  UNION ALL SELECT 'noise', 1.0
+)
+SELECT feature, round_even(1.0::DOUBLE - acc, 6) AS drop FROM lost
+""")
 def permutation(spark, sf):
-    """M15, X14."""
-    model, _, test = _forest(spark, sf)
-    return models.permutation_importance(model, test, "class", KEY)
+    """All test rows; the noise costs nothing."""
+    model, test = _classifier(spark, sf)
+    return round_numeric(models.permutation_importance(model, test, "class", KEY), 6)
 
 
-@query("bounded_sample")
+@query("bounded_sample", f"""
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(concat_ws('|', {models.SEED}, o_orderkey)), o_orderkey
+LIMIT {models.SAMPLE_ROWS}
+""")
 def bounded_sample(spark, sf):
     """The sample's size is the feature."""
     line = I.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return features.bounded_sample(line, ["o_orderkey"], models.SAMPLE_ROWS)
 
 
-@query("model_roundtrip", "WITH " + I.SCORED + " SELECT count(*) AS rows, 0 AS changed FROM scored WHERE y >= 2000")
+@query("model_roundtrip", _RULED + " SELECT count(*) AS rows, 0 AS changed FROM test")
 def model_roundtrip(spark, sf):
     """Predictions before and after saving are the same."""
-    model, _, test = _forest(spark, sf)
+    model, test = _classifier(spark, sf)
     folder = scratch_path(spark, "models")
     save_model(model, folder, "classifier", "Forest")
     before = model.transform(test).select(*KEY, "predicted")
@@ -264,28 +297,61 @@ def model_roundtrip(spark, sf):
                     F.count_if(F.col("predicted") != F.col("again")).cast("int").alias("changed"))
 
 
-@query("scenario_score")
+@query("scenario_score", f"""
+WITH s AS (SELECT avg(l_discount) AS m, stddev_pop(l_discount) AS sd, count(*) AS n FROM lineitem),
+f AS (SELECT sum(((l_discount - m) / sd) * (l_discount * 50)) / (sum(((l_discount - m) / sd) ** 2) + {models.RIDGE_DEFAULT}) AS slope,
+             avg(l_discount * 50) AS base FROM lineitem, s),
+cases AS (SELECT DISTINCT l_linenumber AS scenario, CASE WHEN l_linenumber <> 3 THEN l_linenumber / 50.0::DOUBLE ELSE 0 END AS x FROM lineitem),
+scored AS (SELECT scenario, least(greatest(base + slope * (x - m) / sd, 0.0::DOUBLE), 5.0::DOUBLE) AS v FROM cases, s, f)
+SELECT scenario, round_even(v, 3) AS forecast,
+       CASE WHEN v < 1 THEN 'Low' WHEN v < 2 THEN 'Moderate' WHEN v < 3.5 THEN 'High' ELSE 'Extreme' END AS forecast_class
+FROM scored
+""")
 def scenario_score(spark, sf):
-    """One scenario per entity from its latest month, the rest of the features 0."""
-    rows = _forecast_rows(spark, sf)
-    model = models.fit_regressor(rows, _forecast_features(rows), "score_future", KEY, "ridge")
-    latest = rows.groupBy("e").agg(F.max_by("score", "t").alias("score"), F.max_by("score_lag3", "t").alias("score_lag3"))
-    cases = latest.withColumns({
-        "score_lag1": F.col("score"), "score_rolling_mean_3": X.midpoint("score", "score_lag3")})
-    return models.forecast(model, cases, ["e"])
+    """Scenarios set the feature, one of them leaves it out and gets 0; the fit has a closed form."""
+    line = I.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount")
+    line = line.withColumn("target", F.col("l_discount") * 50)
+    model = models.fit_regressor(line, ["l_discount"], "target", ["l_orderkey", "l_linenumber"], "ridge")
+    cases = line.select(F.col("l_linenumber").alias("scenario")).distinct().withColumn(
+        "l_discount", F.when(F.col("scenario") != 3, F.col("scenario") / F.lit(50.0)))
+    return models.forecast(model, cases, ["scenario"]).withColumn("forecast", X.round_even("forecast", 3))
+
+
+def _zoned(spark, sf):
+    """Customers' nations in four groups that lie far apart in two features."""
+    customer = I.table(spark, sf, "customer").select(F.col("c_nationkey").alias("e"))
+    group = (F.col("e") % 4).cast("double")
+    return customer.select("e", (group * 10).alias("level"), (group * 5 + 1).alias("risk"))
 
 
-@query("kmeans")
+_ZONED = """
+WITH zoned AS (SELECT DISTINCT c_nationkey AS e, CAST(c_nationkey % 4 AS INTEGER) AS g FROM customer)"""
+
+
+@query("kmeans", _ZONED + f"""
+SELECT e, g * 5.0::DOUBLE + 1 AS risk, {K.ZONES}[g + 1] AS cluster_name FROM zoned
+""")
 def kmeans(spark, sf):
     """Zones of nations by their mean profile."""
-    wanted = ["stress_score", "v", "score"]
-    profiles = K.entity_profiles(_class_rows(spark, sf), ["e"], wanted)
-    return K.risk_zones(profiles, ["e"], wanted, "score", restarts=2).select("e", "score", "cluster_name")
+    profiles = K.entity_profiles(_zoned(spark, sf), ["e"], ["level", "risk"])
+    return K.risk_zones(profiles, ["e"], ["level", "risk"], "risk").select("e", "risk", "cluster_name")
 
 
-@query("kmeans_elbow")
+@query("kmeans_elbow", _ZONED + """,
+n AS (SELECT g, count(*)::DOUBLE AS n FROM zoned GROUP BY 1),
+spread AS (SELECT var_pop(g) AS v FROM zoned),
+runs AS (SELECT a.g AS lo, b.g AS hi, sum(n.n * n.g * n.g) - sum(n.n * n.g) ** 2 / sum(n.n) AS cost
+         FROM n a JOIN n b ON a.g <= b.g JOIN n ON n.g BETWEEN a.g AND b.g GROUP BY 1, 2),
+best AS (
+  SELECT 2 AS k, min(a.cost + b.cost) AS cost FROM runs a JOIN runs b ON b.lo = a.hi + 1 WHERE a.lo = 0 AND b.hi = 3
+  UNION ALL
+  SELECT 3, min(a.cost + b.cost + c.cost) FROM runs a JOIN runs b ON b.lo = a.hi + 1 JOIN runs c ON c.lo = b.hi + 1
+  WHERE a.lo = 0 AND c.hi = 3
+  UNION ALL SELECT k, 0 FROM generate_series(4, 8) t(k)
+)
+SELECT CAST(k AS INTEGER) AS k, round_even(2 * cost / v, 4) AS inertia FROM best, spread
+""")
 def kmeans_elbow(spark, sf):
-    """M18."""
-    wanted = ["stress_score", "v", "score"]
-    profiles = K.entity_profiles(_class_rows(spark, sf), ["e"], wanted)
-    return K.elbow(K.scaled_vectors(profiles, wanted), restarts=1)
+    """Cost per cluster count; groups lie on a line, so the best clusters are runs of groups."""
+    profiles = K.entity_profiles(_zoned(spark, sf), ["e"], ["level", "risk"])
+    return round_numeric(K.elbow(K.scaled_vectors(profiles, ["level", "risk"])), 4)
