@@ -124,7 +124,7 @@ def test_train_all_saves_and_logs(spark, panel, tmp_path):
              "Ridge": {"alpha": 1.0}, "GBT_Reg": {"maxIter": 2, "maxDepth": 2}}
     classes, values = T.train_all(panel, str(tmp_path / "models"), str(tmp_path / "runs"), False, small)
     assert sorted(p.name for p in (tmp_path / "models").iterdir()) == [
-        "drought_classifier_randomforest", "drought_classifier_xgboost", "stress_predictor_ridge", "stress_predictor_xgboost_reg"]
+        "drought_classifier_gbt", "drought_classifier_randomforest", "stress_predictor_gbt_reg", "stress_predictor_ridge"]
     run = spark.read.json(str(tmp_path / "runs")).first()
     assert run["data_rows"] == panel.count() and run["regression"]["Ridge"]["RMSE"] == values.scores["Ridge"]["RMSE"]
     cases = M.scenarios(classes.models["RandomForest"], spark.createDataFrame([("a", 4.0)], "id string, water_stress_score double"))
