@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+WAYS = 16
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
     """Join a large side to a usually small one that is a file or materialised.
@@ -14,11 +15,23 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how
     The size of such a lookup is known, so it is broadcast only below
     ``spark.sql.autoBroadcastJoinThreshold``. Beyond that the join shuffles, and
     adaptive execution splits the partitions of a hot key
-    (``spark.sql.adaptive.skewJoin.enabled``), copies included.
+    (``spark.sql.adaptive.skewJoin.enabled``) unless an aggregate on that key
+    follows without an exchange; for that see ``spread_join``.
     """
     return fact.join(lookup, [on] if isinstance(on, str) else list(on), how)
 
 
+def spread_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", ways: int = WAYS) -> DataFrame:
+    """The same ahead of an aggregate on the join key: a key's rows go to ``ways`` tasks.
+
+    Fact rows are dealt to ways, lookup rows are repeated for each. As the result
+    is not partitioned by the key alone, the aggregate works inside each way first.
+    """
+    dealt = fact.withColumn("_way", (F.monotonically_increasing_id() % ways).cast("int"))
+    repeated = lookup.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    return lookup_join(dealt, repeated, [*on, "_way"], how).drop("_way")
+
+
 def duplicate_keys(lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, and how often."""
     return lookup.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import numeric_columns
 from ..functions.scalars import missing_if_nan, round_even
 from ..session import materialise
-from .joins import lookup_join
+from .joins import spread_join
 from .quantiles import exact_quantiles, table_quantiles
 
 KERNEL_REACH = 39.0  # exp(-x*x/2) is exactly 0.0 in double precision beyond this
@@ -142,7 +142,7 @@ def box_summary(df: DataFrame, category: str, value: str) -> DataFrame:
     fences = materialise(quartiles.select(
         category, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
     ))
-    joined = lookup_join(df.select(category, F.col(value).cast("double").alias("_v")), fences, category, "inner")
+    joined = spread_join(df.select(category, F.col(value).cast("double").alias("_v")), fences, [category])
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
     return joined.groupBy(category).agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import missing_if_nan
 from ..session import materialise
-from .joins import lookup_join
+from .joins import spread_join
 from .positions import running_totals
 
 ACCURACY = 50_000
@@ -71,7 +71,7 @@ def _search(
         data = data.na.drop(subset=by)
         brackets = materialise(data.groupBy(*by).agg(*sketches))
         largest = brackets.agg(F.max(F.greatest(F.lit(0), *[F.col(f"_b{i}.n") for i in ids]))).first()[0] or 0
-        data = lookup_join(data, brackets, by, "inner")
+        data = spread_join(data, brackets, by)
         bracket = [F.col(f"_b{i}") for i in ids]
     else:
         row = data.agg(*sketches).first()  # a few numbers per column
@@ -97,7 +97,8 @@ def _search(
         F.when(inside(F.col(f"_v{i}"), bracket[i]["low"], bracket[i]["high"]),
                F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v"))) for i in ids]))
     kept = data.select(*by, F.inline(cells)).groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_rows"))
-    ranked = kept.join(facts, [*by, "_c"])
+    # for whole tables the facts are one row per column
+    ranked = kept.join(facts if by else F.broadcast(facts), [*by, "_c"])
     inside_rows = max(accuracy // 2, 3 * slack * largest * len(probs))
     ranked = running_totals(ranked, [*by, "_c"], ["_v"], {
         f"_upto{k}": F.when(F.col("_v") >= F.col("low")[k], F.col("_rows")).otherwise(0) for k in ranks

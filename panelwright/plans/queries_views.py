@@ -8,7 +8,7 @@ from ..functions import scalars as X
 from ..operators import aggregates as A
 from ..operators import profile as P
 from ..operators.clean import clean_indicators, round_numeric
-from ..session import materialise, spread
+from ..session import materialise
 from . import inputs as I
 from .read_views import filtered, preview
 from .registry import query
@@ -231,7 +231,7 @@ FROM orders, s, range(1000) r(i) GROUP BY 1
 """)
 def kde(spark, sf):
     """A18."""
-    curve = P.density(spread(I.table(spark, sf, "orders").select("o_totalprice")), "o_totalprice")
+    curve = P.density(I.table(spark, sf, "orders").select("o_totalprice"), "o_totalprice")
     return curve.withColumns({"x": X.round_even("x"), "density": X.round_even("density", 12)})
 
 

@@ -42,9 +42,14 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_root(spark).rstrip('/')}/panelwright-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{label}"
+    """A fresh path in the application's folder."""
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}/{label}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -60,11 +65,7 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an input that arrives in fewer splits than there are cores one per core.
-
-    Meant for a plain scan ahead of costly expressions. A scan with enough
-    splits, as any large one has, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def release(spark: SparkSession) -> None:
+    """Remove what this application has stored below the shared folder; tables read from there are gone then."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as X
 from panelwright.operators.positions import stratified_split
+from panelwright.operators.profile import box_summary
+from panelwright.operators.quantiles import medians
 from panelwright.operators.series import fill_linear
 from panelwright.sources.tables import read_text_table
 
@@ -35,6 +37,33 @@ def test_dates_of_all_forms(spark):
     assert [r["d"] for r in got] == [dt.date(2010, 5, 1), day, day, day, None, None, None]
 
 
+def test_a_hot_group_is_spread(spark):
+    """Nine rows of ten in one group, broadcasts off: the grouped passes start inside each way of the join."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(99).alias("g"), (F.col("id") * 37 % 1009).cast("double").alias("v"))
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        got = {r["g"]: r["v"] for r in medians(df, ["v"], ["g"]).collect()}
+        box = box_summary(df, "g", "v")
+        plan = box._jdf.queryExecution().executedPlan().toString()
+        assert "_way" in plan and plan.index("partial_max") > plan.index("Exchange hashpartitioning(g")
+        hot = {r["g"]: r for r in box.collect()}
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+    rows = df.toPandas().groupby("g")["v"]
+    assert got == rows.median().to_dict()
+    assert hot[99]["q1"] == rows.quantile(0.25)[99] and hot[99]["n"] == rows.size()[99]
+
+
+def test_stored_tables_lie_in_the_run_folder(spark):
+    from panelwright.session import materialise, run_folder
+
+    stored = materialise(spark.range(3))
+    assert all(run_folder(spark).removeprefix("file:") in f for f in stored.inputFiles())
+
+
 def test_csv_cells_with_line_breaks(spark, tmp_path):
     (tmp_path / "x.csv").write_text('a,b\n"one\ntwo",3\nfour,5\n')
     got = read_text_table(spark, "x", str(tmp_path / "x.csv"), multi_line=True).collect()
