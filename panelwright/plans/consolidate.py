@@ -59,6 +59,8 @@ def annual_indicators(
     wins. Only variables that occur become columns. A country has one row per
     year, so the gap fill's groups are small by construction.
     """
+    if isinstance(keywords, DataFrame):  # a short list kept as a table (S10)
+        keywords = [(r["keyword"], r["clean_name"]) for r in keywords.orderBy("priority").collect()]
     typed = raw.withColumns({"value": X.to_number("value"), "year": X.to_number("year")})
     known = (
         typed.na.drop(subset=["value", "year"])

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from ..functions import scalars as X
 from ..operators.aggregates import frequency, top_groups
 from ..operators.clean import round_numeric
+from ..session import scratch_path
+from ..sources import lookups as L
+from ..sources import tables
 from ..sources.tables import ORDINAL
 from . import inputs as I
 from .consolidate import annual_indicators, build_sources, consolidate, monthly_anomalies, static_indicators
-from .registry import query
+from .registry import ORACLES, query
 
 KEYWORDS = [("1-urg", "u_val"), ("2-HIGH", "h_val"), ("medium", "m_val"), ("low", "l_val")]
 
@@ -146,3 +149,44 @@ SELECT {_CLASS} AS drought_risk_class, count(*) AS count FROM joined GROUP BY 1
 def consolidated_classes(spark, sf):
     """A7 over the consolidated panel."""
     return frequency(consolidated(spark, sf), "drought_risk_class")
+
+
+def _from_files(spark, sf):
+    """The three sources written as CSV, Latin-1 CSV and grid, and read back as raw inputs."""
+    static = tables.export_text(_static_source(spark, sf), scratch_path(spark, "static"))
+    blank = F.lit(None).cast("string")
+    facts = _annual_source(spark, sf).orderBy(ORDINAL)  # the order of rows in the files is part of the input
+    columns = [F.col(c) if c in facts.columns else blank.alias(c) for c in L.ANNUAL_COLUMNS]
+    annual = tables.export_text(facts.select(*columns), scratch_path(spark, "annual"), tables.LATIN1)
+    cells = I.grid_cells(spark, sf).withColumnsRenamed({"t": "time", "value": "lwe_thickness"})
+    grid = tables.write_table(cells, scratch_path(spark, "grid"))
+    return (
+        tables.type_numbers(tables.read_text_table(spark, "static", static)),
+        tables.read_text_table(spark, "annual", annual, tables.LATIN1, by_position=L.ANNUAL_COLUMNS, ordinal=True),
+        tables.read_grid(spark, "grid", grid))
+
+
+@query("raw_source_flow", ORACLES["consolidated_panel"])
+def raw_source_flow(spark, sf):
+    """The whole flow from files."""
+    static, annual, grid = _from_files(spark, sf)
+    words = spark.createDataFrame(
+        [(i, word, name) for i, (word, name) in enumerate(KEYWORDS)], "priority int, keyword string, clean_name string")
+    parts = build_sources(
+        lambda: static_indicators(static),
+        lambda: annual_indicators(annual, _codes(spark, sf), words),
+        lambda: monthly_anomalies(grid, _points(spark, sf)))
+    panel = consolidate(*parts, require_unique=True)
+    return panel.withColumns({v: X.round_even(v, 6) for v in _VARIABLES})
+
+
+@query("missing_input", "SELECT 'absent not found' AS message, count(*) AS rows FROM supplier")
+def missing_input(spark, sf):
+    """A table that is there is read, one that is not is reported by its name."""
+    found = tables.read_table(spark, "supplier", f"{sf}/supplier.parquet")
+    try:
+        tables.read_table(spark, "absent", f"{sf}/absent.parquet")
+        message = ""
+    except FileNotFoundError as problem:
+        message = str(problem).split(" at:")[0]
+    return found.agg(F.lit(message).alias("message"), F.count(F.lit(1)).alias("rows"))
