@@ -7,9 +7,9 @@ Each of ``TREES`` trees orders the nodes by its own sequence of ``DEPTH`` MinHas
 longest common prefixes: where texts are sparse they share few values, where they are dense they share many, so the depth
 of comparison adapts to the region. Orders are range-partitioned and sorted, so a region of any size is spread over tasks.
 Every node is compared with the ``REACH`` nodes before it by 2-bit signatures. A likely pair is a candidate unless two
-stronger candidates connect it already, so groups of copies give a number of candidates in proportion to their size.
-Candidates are confirmed on the full sets. Confirmed links are the edges of the components; a candidate inside a component
-that is already connected needs no check. In a dense region a node's link may lie out of reach, while those within reach
+strong ones connect it already, so groups of copies give a number of candidates in proportion to their size. Candidates
+are confirmed on the full sets; confirmed links are the edges of the components. The first trees give the nearest candidate
+of each node; after them a candidate inside a component needs no check and is not made. In a dense region a node's link may lie out of reach, while those within reach
 just fail; so a node that nearly links to a group is compared with all of the group.
 
 A pair of similarity s shares the first d values of a tree with probability s^d, and is missed if no tree brings it within
@@ -36,8 +36,8 @@ from .components import components
 
 TREES, DEPTH, REACH = 20, 8, 16
 #: Values used for the estimate, and the least estimates for a candidate and for a strong one.
-ESTIMATED, LIKELY, STRONG = 128, 0.62, 0.93
-#: Trees whose candidates are confirmed first.
+ESTIMATED, LIKELY, STRONG = 128, 0.62, 0.8
+#: Trees whose candidates are confirmed first; the rest only look for links between the groups found by then.
 FIRST = 3
 #: A compared pair this many percent short of a link has its node compared with the whole group of the other.
 NEARLY = 10
@@ -48,7 +48,7 @@ TERMS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes whose words are hashed at once.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
@@ -159,27 +159,30 @@ def _planes(signature: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(planes).view(np.uint64)
 
 
-def tree_rows(nodes: DataFrame) -> DataFrame:
-    """A row per node and tree: ``(tree, key, planes, node)``."""
+def tree_rows(nodes: DataFrame, trees: range) -> DataFrame:
+    """A row per node and tree: ``(tree, key, planes, node, root)``, from ``nodes(node, signature, root)``."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=">u4").reshape(-1, TREES * DEPTH)
-            planes = [p.tobytes() for p in _planes(raw.astype(np.uint32))]
-            own = batch.column(0).to_pylist()
-            for tree in range(TREES):
+            planes = pa.array([p.tobytes() for p in _planes(raw.astype(np.uint32))], pa.binary())
+            for tree in trees:
                 keys = np.ascontiguousarray(raw[:, tree * DEPTH:(tree + 1) * DEPTH])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), tree, np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()),
-                     pa.array(planes, pa.binary()), pa.array(own, pa.binary())], ["tree", "key", "planes", "node"])
+                    [pa.array(np.full(len(raw), tree, np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()),
+                     planes, batch.column(0), batch.column(2)], ["tree", "key", "planes", "node", "root"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "tree int, key binary, planes binary, node binary")
+    return nodes.select("node", "signature", "root").mapInArrow(
+        run, "tree int, key binary, planes binary, node binary, root binary")
 
 
-def neighbours(rows: DataFrame, partitions: int) -> DataFrame:
-    """Candidates ``(a, b, tree, est)`` among neighbours of each tree's order, ``a`` before ``b`` in bytes."""
+def neighbours(rows: DataFrame, partitions: int, nearest: bool) -> DataFrame:
+    """Candidates ``(a, b)`` among neighbours of each tree's order with different roots, ``a`` before ``b`` in bytes.
+
+    With ``nearest`` a node gives one candidate in a tree, the nearest likely one before it.
+    """
 
     def run(batches):
         words = ESTIMATED // 32
@@ -192,11 +195,13 @@ def neighbours(rows: DataFrame, partitions: int) -> DataFrame:
             region = tree.astype(np.int64) << 32 | first
             planes = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint64).reshape(-1, words)
             node = np.array(batch.column(3).to_pylist(), dtype=object)
+            root = np.array(batch.column(4).to_pylist(), dtype=object)
             old = 0
             if last is not None:  # the rows within reach of this batch's first ones
                 old = len(last[0])
-                tree, region, planes, node = (np.concatenate(x) for x in zip(last, (tree, region, planes, node)))
-            n = len(tree)
+                region, planes, node, root = (np.concatenate(x) for x in zip(last, (region, planes, node, root)))
+            n = len(region)
+            taken = np.zeros(n, dtype=bool)
             est = np.zeros((REACH + 1, n), dtype=np.float32)  # with the row so many places before
             for lag in range(1, min(REACH, n - 1) + 1):
                 at = np.flatnonzero(region[lag:] == region[:-lag]) + lag
@@ -207,6 +212,10 @@ def neighbours(rows: DataFrame, partitions: int) -> DataFrame:
             for lag in range(1, min(REACH, n - 1) + 1):
                 at = np.flatnonzero(est[lag] >= LIKELY)
                 at = at[at >= old]
+                at = at[root[at] != root[at - lag]]
+                if nearest:
+                    at = at[~taken[at]]
+                    taken[at] = True
                 for between in range(1, lag):
                     if not len(at):
                         break
@@ -216,13 +225,11 @@ def neighbours(rows: DataFrame, partitions: int) -> DataFrame:
                     a, b = node[at - lag], node[at]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([min(x, y) for x, y in zip(a, b)], pa.binary()),
-                         pa.array([max(x, y) for x, y in zip(a, b)], pa.binary()),
-                         pa.array(tree[at].astype(np.int32)), pa.array(est[lag, at].astype(np.float64))],
-                        ["a", "b", "tree", "est"])
-            last = tree[-REACH:], region[-REACH:], planes[-REACH:], node[-REACH:]
+                         pa.array([max(x, y) for x, y in zip(a, b)], pa.binary())], ["a", "b"])
+            last = region[-REACH:], planes[-REACH:], node[-REACH:], root[-REACH:]
 
     ordered = rows.repartitionByRange(partitions, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    return ordered.mapInArrow(run, "a binary, b binary, tree int, est double")
+    return ordered.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def small(df: DataFrame, width: int, most: int = BROADCAST_BYTES) -> DataFrame:
@@ -243,22 +250,25 @@ def at_least(percent: int):
     return F.col("i") * 100 >= F.col("u") * percent
 
 
-def open_links(failed: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between a node and a group that its neighbours in the group's dense region do not show.
+def questions(failed: DataFrame, rooted: DataFrame) -> DataFrame:
+    """``(node, root)``: which node is to be compared with which group.
 
     ``failed(a, b)`` are compared pairs that nearly link two groups. Reach is limited, so another member of the group may
-    be closer: the node in the smaller of the two groups is compared with every member of the larger one.
+    be closer: the node in the smaller of the two groups asks the larger one.
     """
     sizes = rooted.groupBy("root").agg(F.count("*").alias("k"))
     end = lambda side: (rooted.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
                         .join(sizes.select(F.col("root").alias(f"r{side}"), F.col("k").alias(f"k{side}")), f"r{side}"))
     ends = failed.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
         "a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"),
-        F.coalesce("ka", F.lit(1)).alias("ka"), F.coalesce("kb", F.lit(1)).alias("kb")).where("ra <> rb")
+        F.coalesce("ka", F.lit(1)).alias("ka"), F.coalesce("kb", F.lit(1)).alias("kb")).where("ra <> rb and ka + kb > 2")
     a_asks = (F.col("ka") < F.col("kb")) | ((F.col("ka") == F.col("kb")) & (F.col("ra") < F.col("rb")))
-    asks = ends.where("ka + kb > 2").select(
-        F.when(a_asks, F.col("a")).otherwise(F.col("b")).alias("node"),
-        F.when(a_asks, F.col("rb")).otherwise(F.col("ra")).alias("root")).distinct()
+    return ends.select(F.when(a_asks, F.col("a")).otherwise(F.col("b")).alias("node"),
+                       F.when(a_asks, F.col("rb")).otherwise(F.col("ra")).alias("root")).distinct()
+
+
+def open_links(asks: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between a node that asks and the members of the group it asks."""
     asked = asks.join(sets, "node").select("root", F.col("node").alias("a"), F.col("shingles").alias("sa"))
     members = rooted.join(sets, "node").select("root", F.col("node").alias("b"), F.col("shingles").alias("sb"))
     n, m = F.size("sa"), F.size("sb")
@@ -274,12 +284,37 @@ def classes(
     spark = docs.sparkSession
     signed = materialise(sign(docs, id_col, text_col, size))
     nodes = signed.where("node is not null").select("node", "signature").dropDuplicates(["node"])
+    nodes = materialise(nodes)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    # one candidate may come from several trees and places
-    found = neighbours(materialise(tree_rows(nodes)), partitions)
-    found = materialise(found.groupBy("a", "b").agg(F.min("tree").alias("tree"), F.max("est").alias("est")))
-    # one document for every node that has a candidate, and its full set
-    asked = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def candidates(nodes: DataFrame, trees: range) -> DataFrame:
+        return materialise(neighbours(materialise(tree_rows(nodes, trees)), partitions, nearest=0 in trees))
+
+    def confirmed(found: DataFrame) -> DataFrame:
+        return materialise(compare(found, full_sets(docs, signed, found, size, id_col, text_col)))
+
+    # the nearest neighbours of a few trees connect most of every group; then all within reach are looked at, but only
+    # for what joins different groups
+    first = confirmed(candidates(nodes.withColumn("root", F.col("node")), range(FIRST)))
+    rooted = materialise(components(first.where(at_least(percent)).select("a", "b")))
+    placed = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = confirmed(candidates(placed, range(FIRST, TREES)))
+    rooted = materialise(components(rooted.select("node", "root").union(rest.where(at_least(percent)).select("a", "b"))))
+    near = materialise(first.union(rest).where(~at_least(percent) & at_least(percent - NEARLY)).select("a", "b"))
+    asks = materialise(questions(near, rooted))
+    both = asks.select("node").union(rooted.join(asks.select("root").distinct(), "root", "left_semi").select("node")).distinct()
+    sets = full_sets(docs, signed, both.select(F.col("node").alias("a"), F.col("node").alias("b")), size, id_col, text_col)
+    more = materialise(open_links(asks, rooted, sets, percent))
+    rooted = materialise(components(rooted.select("node", "root").union(more)))
+    members = signed.select("id", "th", "n", "node").join(rooted, "node", "left").select(
+        "id", "th", "n", F.coalesce("root", "node").alias("root"))
+    least = members.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
+    return members.join(least, "root", "left").select("id", "th", "n", F.coalesce("least", "id").alias("component"))
+
+
+def full_sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """``(node, shingles)``: the full set of every node in ``pairs(a, b)``, from one document of each."""
+    asked = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct()).distinct()
     chosen = signed.where("node is not null").join(asked, "node").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("d"))
     chosen = materialise(chosen.select(F.col("d.id").alias("c_id"), F.col("d.th").alias("c_th")))
@@ -296,20 +331,7 @@ def classes(
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)]
         return work
 
-    sets = materialise(map_texts(wanted, [], "text", "node binary, shingles array<bigint>", make).dropDuplicates(["node"]))
-    first = materialise(compare(found.where(F.col("tree") < FIRST), sets))
-    rooted = materialise(components(first.where(at_least(percent)).select("a", "b")))
-    end = lambda side: rooted.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
-    rest = found.where(F.col("tree") >= FIRST).join(end("a"), "a", "left").join(end("b"), "b", "left")
-    rest = materialise(compare(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")), sets))
-    rooted = materialise(components(rooted.select("node", "root").union(rest.where(at_least(percent)).select("a", "b"))))
-    near = first.union(rest).where(~at_least(percent) & at_least(percent - NEARLY)).select("a", "b")
-    more = materialise(open_links(near, rooted, sets, percent))
-    rooted = materialise(components(rooted.select("node", "root").union(more)))
-    members = signed.select("id", "th", "n", "node").join(rooted, "node", "left").select(
-        "id", "th", "n", F.coalesce("root", "node").alias("root"))
-    least = members.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    return members.join(least, "root", "left").select("id", "th", "n", F.coalesce("least", "id").alias("component"))
+    return materialise(map_texts(wanted, [], "text", "node binary, shingles array<bigint>", make).dropDuplicates(["node"]))
 
 
 def deduplicate(
