@@ -16,7 +16,7 @@ Maker = Callable[[], Callable[[list[str]], list]]
 
 
 #: Texts are handed over in runs of about this many characters, so that what is made of them stays small.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 
 
 def runs_of(texts: list[str], most: int = AT_ONCE) -> Iterator[slice]:

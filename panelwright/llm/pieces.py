@@ -36,11 +36,13 @@ from pyspark.sql import DataFrame
 from .arrow import map_texts
 
 SPACE = "▁"
-MEMORY, LONG = 400_000, 64
+MEMORY, LONG = 300_000, 64
 #: Entries of the table that remembers which neighbours are possible (a power of two).
 PAIRS = 1 << 20
 #: Distinct cuts are indexed in blocks of about this many characters.
-BLOCK = 600_000
+BLOCK = 300_000
+#: Texts encoded at once, in characters: many, as they share parts.
+AT_ONCE = 3_000_000
 RUNS = re.compile(" *[^ ]+| +")
 
 
@@ -167,7 +169,7 @@ class Encoder:
         self.pair_ok = np.zeros(PAIRS, dtype=bool)
         self.unknown = len(pieces.symbols)  # a character that no piece has
         n_chars = len(pieces.char_of)
-        self.code = np.full(0x110000, n_chars, dtype=np.int64)
+        self.code = np.full(0x110000, n_chars, dtype=np.int32)
         for c, i in pieces.char_of.items():
             self.code[ord(c)] = i
         # characters are packed as code + 1, several to a 63-bit key; 0 stands for the end of a cut
@@ -277,19 +279,21 @@ class Encoder:
         """Symbols of cuts that start with one space sign or none."""
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
-        codes = self.code[points]
+        codes = self.code[points].astype(np.int64)
         n = len(codes)
         starts = np.cumsum(sizes) - sizes
         offset = np.arange(n) - np.repeat(starts, sizes)
         room = np.repeat(sizes, sizes) - offset
         at, which = self._edges(codes, room)
         single = np.where(codes < len(self.p.char_of), codes, self.unknown)
-        begin = np.concatenate([np.arange(n), at])
-        symbol = np.concatenate([single, self.multi[which]])
-        size = np.concatenate([np.ones(n, dtype=np.int64), self.sizes[which]])
-        level = offset[begin] + size  # the place inside its cut where an edge ends
-        order = np.argsort(level.astype(np.uint16) if sizes.max() < 1 << 16 else level, kind="stable")
+        begin = np.concatenate([np.arange(n), at]).astype(np.int32)
+        symbol = np.concatenate([single, self.multi[which]]).astype(np.int32)
+        size = np.concatenate([np.ones(n, dtype=np.int64), self.sizes[which]]).astype(np.int32)
+        del at, which
+        level = (offset[begin] + size).astype(np.uint16 if sizes.max() < 1 << 16 else np.int64)  # where in its cut an edge ends
+        order = np.argsort(level, kind="stable").astype(np.int32)
         begin, symbol, size, level = begin[order], symbol[order], size[order], level[order]
+        del order
         last = np.full(n, -1, dtype=np.int64)  # of the text up to and with a position: its last symbol
         length = np.zeros(n, dtype=np.int64)
         first = offset == 0
@@ -300,7 +304,7 @@ class Encoder:
             ok = first[b]
             inner = np.flatnonzero(~ok)
             if len(inner):
-                ok[inner] = self.may_follow(last[b[inner] - 1], s[inner])
+                ok[inner] = self.may_follow(last[b[inner] - 1], s[inner].astype(np.int64))
             end = (b + m - 1)[ok]
             last[end], length[end] = s[ok], m[ok]
         # walk back from the end of each cut, all cuts at once
@@ -429,7 +433,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
 
         return work
 
-    return map_texts(docs, [id_col], text_col, "n_pieces long, ids array<int>, round_trip boolean", make)
+    return map_texts(docs, [id_col], text_col, "n_pieces long, ids array<int>, round_trip boolean", make, AT_ONCE)
 
 
 def decode(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
