@@ -122,7 +122,8 @@ def sample_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     for y, n in sizes.items():
         share = F.when(F.col("y") == y, min(1.0, most / n)).otherwise(share)
     picked = marks.where(F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1 << 20)) < share * (1 << 20))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(picked, "_id")
+    # the picked ids are bounded by the sample, so texts need not move
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "_id")
     return materialise(rows.select("y", F.coalesce("text", F.lit("")).alias("text")).distinct())
 
 
@@ -280,8 +281,7 @@ def score(docs: DataFrame, lexicon: Lexicon, id_cols: list[str], text_col: str =
 
 def reject(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", limit: float = 0.7) -> DataFrame:
     """``docs`` without those whose score reaches ``limit``; columns and other rows stay as they are."""
-    hidden = "_text_to_score"
-    while hidden in docs.columns:
-        hidden += "_"
-    scored = score(docs.withColumn(hidden, F.col(text_col)), lexicon, docs.columns, hidden)
-    return scored.toDF(*docs.columns, *[f"_{i}" for i in range(3)]).where(f"_0 < {limit}").select(*docs.columns)
+    # numbered columns cannot clash with those of the score
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    scored = score(plain.withColumn("body", plain[docs.columns.index(text_col)]), lexicon, plain.columns, "body")
+    return scored.where(F.col("score") < limit).select(*plain.columns).toDF(*docs.columns)
