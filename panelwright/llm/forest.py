@@ -280,7 +280,8 @@ def open_links(asks: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int
 def classes(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``(id, th, n, component)`` of every row: hash of the text, set size, and the least id reachable by links."""
+    """``(id, th, n, component, root)`` of every row: hash of the text, set size, the least id reachable by links, and the
+    component's least node, null for the empty set."""
     spark = docs.sparkSession
     signed = materialise(sign(docs, id_col, text_col, size))
     nodes = signed.where("node is not null").select("node", "signature").dropDuplicates(["node"])
@@ -309,7 +310,7 @@ def classes(
     members = signed.select("id", "th", "n", "node").join(rooted, "node", "left").select(
         "id", "th", "n", F.coalesce("root", "node").alias("root"))
     least = members.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    return members.join(least, "root", "left").select("id", "th", "n", F.coalesce("least", "id").alias("component"))
+    return members.join(least, "root", "left").select("id", "th", "n", F.coalesce("least", "id").alias("component"), "root")
 
 
 def full_sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -337,22 +338,27 @@ def full_sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, i
 def deduplicate(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with one document of each component, that of the least id; of repeated rows one stays.
+    """``docs`` with one document of each component, that of the least id, then of the least text hash; of repeated rows
+    one stays.
 
-    Documents with the empty set all stay, but for repeated rows.
+    Documents with the empty set all stay, but for repeated rows. Documents of one id with different texts, and those
+    without an id, stay or go each for itself.
     """
     found = materialise(classes(docs, size, percent, id_col, text_col))
-    # rows that stay, and of each how often it stands there
-    kept = found.withColumn("stays", F.col("id").eqNullSafe(F.col("component")))
+    # the row that stays of each component
+    first = materialise(found.where("root is not null").groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("d")).select(
+            "root", F.col("d.id").alias("c_id"), F.col("d.th").alias("c_th")))
+    kept = found.join(first, "root", "left").withColumn("stays", F.col("root").isNull() | (
+        F.col("id").eqNullSafe(F.col("c_id")) & (F.col("th") == F.col("c_th"))))
     gone = materialise(kept.where("not stays").select(F.col("id").alias("g_id"), F.col("th").alias("g_th")).distinct())
     text = F.coalesce(docs[text_col], F.lit(""))
     same = lambda i, t: docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(text) == F.col(t))
     out = docs.join(small(gone, 64), same("g_id", "g_th"), "left_anti")
-    again = materialise(kept.where("stays").groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select(
-        F.col("id").alias("g_id")))
+    again = materialise(kept.where("stays").groupBy("id", "th").agg(F.count("*").alias("k")).where("k > 1").select(
+        F.col("id").alias("g_id"), F.col("th").alias("g_th")))
     if again.isEmpty():
         return out
-    # ids that stand on several rows that stay: one row each
-    often = docs[id_col].eqNullSafe(F.col("g_id"))
-    some = out.join(small(again, 64), often, "left_semi").dropDuplicates([id_col])
-    return out.join(small(again, 64), often, "left_anti").unionByName(some)
+    # rows that stay and stand there several times: one of each
+    some = out.join(small(again, 64), same("g_id", "g_th"), "left_semi").dropDuplicates([id_col, text_col])
+    return out.join(small(again, 64), same("g_id", "g_th"), "left_anti").unionByName(some)
