@@ -4,7 +4,8 @@ A text's lines with licensing words, and short gaps between them, form candidate
 and with every template as a raw zstandard dictionary; the templates are ranked by how much smaller that makes the block.
 The best are compared with the block word by word. A template is confirmed if nearly all of its words occur in order,
 little stands between them, and no decisive word (a number, or a word that tells licenses apart) differs. A confirmed
-notice is cut out of the block and the rest is looked at again, so a block may hold several.
+notice is cut out of the block and the rest is looked at again, so a block may hold several. Long blocks are looked at in
+overlapping windows that any notice fits into, and only templates nearly all of whose words occur there are tried.
 
 Defined cases: null and empty texts have no blocks; blocks of any length are taken whole; of templates that confirm alike
 the one with the larger reduction, then the first by name, wins; repeated rows are scanned row by row; other columns are
@@ -14,6 +15,7 @@ ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
@@ -136,25 +138,54 @@ class Scanner:
                 raw = zstandard.ZstdCompressionDict(
                     self.canonical(words_of(text)), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 self.templates.append((name, words_of(text), zstandard.ZstdCompressor(level=6, dict_data=raw)))
+        self.bags = [Counter(own) for _, own, _ in self.templates]
+        #: Words that the longest notice may take.
+        self.longest = max((self.extent(own) for _, own, _ in self.templates), default=1)
 
     @staticmethod
     def canonical(words: list[str]) -> bytes:
         return (" " + " ".join(words) + " ").encode()
 
+    @staticmethod
+    def extent(own: list[str]) -> int:
+        """Words that a notice with these words may take."""
+        return len(own) + int(EXTRA * len(own))
+
+    def possible(self, words: list[str]) -> list[int]:
+        """Templates of which enough words occur, in whatever order."""
+        there = Counter(words)
+        return [i for i, bag in enumerate(self.bags)
+                if sum(min(k, there[w]) for w, k in bag.items()) >= COVERED * len(self.templates[i][1])]
+
     def ranked(self, words: list[str]) -> list[tuple[float, int]]:
-        """Templates by the share of its compressed size that each saves, or of the template if the block is longer."""
+        """Possible templates by the share of its compressed size that each saves, or of the template if the block is
+        longer. Short notices may save nothing in other text, so the share only sets the order."""
+        chosen = self.possible(words)
+        if not chosen:
+            return []
         data = self.canonical(words)
         alone = len(self.plain.compress(data))
         found = []
-        for i, (_, own, compressor) in enumerate(self.templates):
+        for i in chosen:
+            _, own, compressor = self.templates[i]
             saved = alone - len(compressor.compress(data))
-            if saved > 0:
-                found.append((saved / min(alone, len(self.plain.compress(self.canonical(own)))), i))
+            found.append((saved / min(alone, len(self.plain.compress(self.canonical(own)))), i))
         return sorted(found, key=lambda x: (-x[0], x[1]))
 
     def confirm(self, words: list[str], index: int, reduction: float) -> Notice | None:
-        """The template's place in the block, if the wording agrees."""
+        """The template's place in the block, if the wording agrees; the first of those that cover most."""
+        own, step = self.templates[index][1], self.extent(self.templates[index][1])
+        # words far from the notice must not count as its words
+        found = [n for at in range(0, max(len(words) - step, 1), step)
+                 if (n := self.confirm_window(words[at:at + 2 * step], at, index, reduction))]
+        return max(found, key=lambda n: n.end - n.begin - len(n.added), default=None) if own else None
+
+    def confirm_window(self, words: list[str], at: int, index: int, reduction: float) -> Notice | None:
+        """The template's place in a few words that start at a place of the block, if the wording agrees."""
         name, own, _ = self.templates[index]
+        there = Counter(words)
+        if sum(min(k, there[w]) for w, k in self.bags[index].items()) < COVERED * len(own):
+            return None
         pairs = [m for m in SequenceMatcher(None, own, words, autojunk=False).get_matching_blocks() if m.size]
         if sum(m.size for m in pairs) < COVERED * len(own):
             return None
@@ -168,10 +199,24 @@ class Scanner:
         decisive = lambda ws: any(w in DECISIVE or w[0].isdigit() for w in ws)
         if len(added) > EXTRA * len(own) or decisive(missing) or decisive(added):
             return None
-        return Notice(name, begin, end, round(min(1.0, reduction), 6), tuple(missing), tuple(added))
+        return Notice(name, at + begin, at + end, round(max(0.0, min(1.0, reduction)), 6), tuple(missing), tuple(added))
 
-    def scan(self, words: list[str], offset: int = 0) -> list[Notice]:
+    def scan(self, words: list[str]) -> list[Notice]:
         """All notices of a block in order."""
+        step, found = self.longest, set()
+        for at in range(0, max(len(words) - step, 1), step):  # any notice lies in one window as a whole
+            found.update(self.scan_window(words[at:at + 2 * step], at))
+        # a window may cut a notice so that a shorter one is seen in the rest: of those that overlap the longest holds
+        out: list[Notice] = []
+        taken = bytearray(len(words))
+        for n in sorted(found, key=lambda n: (n.begin - n.end + len(n.added), -n.reduction, n.begin, n.name)):
+            if not any(taken[n.begin:n.end]):
+                taken[n.begin:n.end] = b"\1" * (n.end - n.begin)
+                out.append(n)
+        return sorted(out, key=lambda n: n.begin)
+
+    def scan_window(self, words: list[str], offset: int) -> list[Notice]:
+        """All notices of a window in order."""
         out, todo = [], [(offset, words)]
         while todo:
             at, part = todo.pop()

@@ -93,6 +93,23 @@ def test_compression_ranks_the_confirmed_first():
         assert name in {scanner.templates[i][0] for i in best}
 
 
+def test_license_in_a_long_line(spark):
+    rng = random.Random(6)
+    lines = {"Released under the MIT License.": "MIT", "All rights reserved.": "Proprietary", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+             "SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause", licenses.BSD3.replace("\n", " "): "BSD-3-Clause",
+             licenses.MIT.replace("\n", " ").replace("and associated", "and the associated"): "MIT"}
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for line, name in lines.items():
+        for before in (0, 150, 200, 395, 1700):
+            text = f"{awkward.prose(rng, before)} {line} {awkward.prose(rng, 3000 - before)}"
+            found = scanner.scan(licenses.words_of(text))
+            assert [n.name for n in found] == [name], (line, before)
+            assert (found[0].begin, found[0].end) == (before, before + len(licenses.words_of(line)))
+    text = f"{awkward.prose(rng, 1000)} {' '.join(lines)} {awkward.prose(rng, 1000)} All rights reserved."
+    row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["licenses"] == sorted(set(lines.values())) and len(row["notices"]) == 7
+
+
 def test_license_scan_of_texts(spark):
     text = f"Prose.\nMore.\n\n{licenses.MIT}\n\n" + "line\n" * 6 + licenses.APACHE.replace("this file", "this work") + "\nEnd"
     rows = spark.createDataFrame([(1, text), (2, "Licensed under CC BY-NC 4.0.")], "doc_id long, text string")
