@@ -2,7 +2,7 @@
 
 A text's lines with licensing words, and short gaps between them, form candidate blocks. Each block is compressed alone
 and with every template as a raw zstandard dictionary; the templates are ranked by how much smaller that makes the block.
-The best are compared with the block word by word. A template is confirmed if nearly all of its words occur in order,
+They are compared with the block word by word. A template is confirmed if nearly all of its words occur in order,
 little stands between them, and no decisive word (a number, or a word that tells licenses apart) differs. A confirmed
 notice is cut out of the block and the rest is looked at again, so a block may hold several. Long blocks are looked at in
 overlapping windows that any notice fits into, and only templates nearly all of whose words occur there are tried.
@@ -222,8 +222,8 @@ class Scanner:
             at, part = todo.pop()
             if len(part) < 3:
                 continue
-            # long templates may hold short ones, so of the confirmed the one that covers most wins
-            tried = [n for score, i in self.ranked(part)[:BEST * 2] if (n := self.confirm(part, i, score))]
+            # long templates may hold short ones, so all are tried, and of the confirmed the one that covers most wins
+            tried = [n for score, i in self.ranked(part) if (n := self.confirm(part, i, score))]
             if not tried:
                 continue
             best = max(tried, key=lambda n: (n.end - n.begin - len(n.added), n.reduction))

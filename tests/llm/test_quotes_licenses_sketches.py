@@ -93,6 +93,21 @@ def test_compression_ranks_the_confirmed_first():
         assert name in {scanner.templates[i][0] for i in best}
 
 
+def test_license_behind_templates_that_fail():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for before in ("Licensed under CC BY-NC-SA 4.0.\nLicensed under the GNU Lesser General Public License, version 2.1.\n",
+                   "Released under the BSD 4-Clause License.\n"):
+        found = scanner.scan(licenses.words_of(f"{before}Copyright 2020 Foo. All rights reserved."))
+        assert [n.name for n in found] == ["Proprietary"]
+    # all of a wide set is tried, whatever the rank
+    many = {f"L{i:02}": [f"Licensed under the terms of the common public notice number {i} of this whole work."] for i in range(40)}
+    scanner = licenses.Scanner(many)
+    for name, (text,) in many.items():
+        assert [n.name for n in scanner.scan(licenses.words_of(text))] == [name]
+    words = licenses.words_of(" ".join(many[f"L{i:02}"][0].replace("whole", "entire old") for i in range(20)) + many["L39"][0])
+    assert "L39" in {n.name for n in scanner.scan(words)}
+
+
 def test_license_in_a_long_line(spark):
     rng = random.Random(6)
     lines = {"Released under the MIT License.": "MIT", "All rights reserved.": "Proprietary", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
