@@ -9,11 +9,16 @@ of comparison adapts to the region. Orders are range-partitioned and sorted, so
 Every node is compared with the ``REACH`` nodes before it by 2-bit signatures. A likely pair is a candidate unless two
 strong ones connect it already, so groups of copies give a number of candidates in proportion to their size. Candidates
 are confirmed on the full sets; confirmed links are the edges of the components. The first trees give the nearest candidate
-of each node; after them a candidate inside a component needs no check and is not made. In a dense region a node's link may lie out of reach, while those within reach
-just fail; so a node that nearly links to a group is compared with all of the group.
+of each node; after them a candidate inside a component needs no check and is not made, and one that strong ones seemed to
+connect is confirmed after all if they turn out not to.
 
-A pair of similarity s shares the first d values of a tree with probability s^d, and is missed if no tree brings it within
-reach: at s = 0.8 and d = 3 with probability 0.488^20, below one in a million.
+In a dense region a node's link may lie out of reach. So where more nodes than are within reach share ``SHARED`` values, and
+not all are of one component, all of them are searched exactly: nodes of different components are joined on the rarest
+shingles of their sets, at least one of which any linked pair has in common, and confirmed on the full sets.
+
+A pair of similarity s shares the first d values of a tree with probability s^d. If it does in some tree, it is either
+within reach there or both are in a dense region. It is missed if it does in none: at s = 0.8 and d = ``SHARED`` in the
+trees after the first ones with probability 0.36^17, below one in a million.
 
 Defined cases: null and empty texts and texts of white space have the empty set, which is linked with nothing; a null id
 is a document as any other and the greatest in order; rows of one id with different texts are documents of their own;
@@ -41,6 +46,8 @@ ESTIMATED, LIKELY, STRONG = 128, 0.62, 0.8
 FIRST = 3
 #: A compared pair this many percent short of a link has its node compared with the whole group of the other.
 NEARLY = 10
+#: Values that the nodes of a dense region share, and buckets that shingles are counted in to tell the rare ones.
+SHARED, BUCKETS = 2, 1 << 18
 BROADCAST_BYTES = 32 << 20
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -179,27 +186,46 @@ def tree_rows(nodes: DataFrame, trees: range) -> DataFrame:
 
 
 def neighbours(rows: DataFrame, partitions: int, nearest: bool) -> DataFrame:
-    """Candidates ``(a, b)`` among neighbours of each tree's order with different roots, ``a`` before ``b`` in bytes.
+    """Candidates among neighbours of each tree's order with different roots, and nodes of dense regions.
 
-    With ``nearest`` a node gives one candidate in a tree, the nearest likely one before it.
+    ``(what, a, b, region)``: ``what`` 0 is a candidate, ``a`` before ``b`` in bytes; 1 is one that strong ones seem to
+    connect; 2 is a node ``a`` of a dense region. With ``nearest`` a node gives one candidate in a tree, the nearest likely
+    one before it, and nothing else.
     """
 
     def run(batches):
         words = ESTIMATED // 32
-        last = None
+        last = first = None
+
+        def pairs(what, x, y):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(x), what, np.int32)), pa.array([min(p, q) for p, q in zip(x, y)], pa.binary()),
+                 pa.array([max(p, q) for p, q in zip(x, y)], pa.binary()), pa.array([0] * len(x), pa.int64())],
+                ["what", "a", "b", "region"])
+
+        def marks(node, dense):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(node), 2, np.int32)), pa.array(list(node), pa.binary()),
+                 pa.array([None] * len(node), pa.binary()), pa.array(dense.view(np.int64))], ["what", "a", "b", "region"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             tree = batch.column(0).to_numpy(zero_copy_only=False)
-            first = np.frombuffer(b"".join(k[:4] for k in batch.column(1).to_pylist()), dtype=">u4").astype(np.int64)
-            region = tree.astype(np.int64) << 32 | first
+            keys = np.frombuffer(b"".join(k[:4 * SHARED] for k in batch.column(1).to_pylist()), dtype=">u4").reshape(-1, SHARED)
+            region = tree.astype(np.int64) << 32 | keys[:, 0].astype(np.int64)
+            shared = scramble(tree.astype(np.uint64))
+            for j in range(SHARED):
+                shared = scramble(shared * BASE + keys[:, j].astype(np.uint64))
             planes = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint64).reshape(-1, words)
             node = np.array(batch.column(3).to_pylist(), dtype=object)
             root = np.array(batch.column(4).to_pylist(), dtype=object)
+            marked = np.zeros(len(node), dtype=bool)
             old = 0
             if last is not None:  # the rows within reach of this batch's first ones
                 old = len(last[0])
-                region, planes, node, root = (np.concatenate(x) for x in zip(last, (region, planes, node, root)))
+                region, planes, node, root, shared, marked = (
+                    np.concatenate(x) for x in zip(last, (region, planes, node, root, shared, marked)))
             n = len(region)
             taken = np.zeros(n, dtype=bool)
             est = np.zeros((REACH + 1, n), dtype=np.float32)  # with the row so many places before
@@ -216,20 +242,40 @@ def neighbours(rows: DataFrame, partitions: int, nearest: bool) -> DataFrame:
                 if nearest:
                     at = at[~taken[at]]
                     taken[at] = True
+                found = at
                 for between in range(1, lag):
                     if not len(at):
                         break
                     linked = (est[between, at] >= STRONG) & (est[lag - between, at - between] >= STRONG)
                     at = at[~linked]
                 if len(at):
-                    a, b = node[at - lag], node[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([min(x, y) for x, y in zip(a, b)], pa.binary()),
-                         pa.array([max(x, y) for x, y in zip(a, b)], pa.binary())], ["a", "b"])
-            last = region[-REACH:], planes[-REACH:], node[-REACH:], root[-REACH:]
+                    yield pairs(0, node[at - lag], node[at])
+                if not nearest and len(at) < len(found):
+                    at = np.setdiff1d(found, at)
+                    yield pairs(1, node[at - lag], node[at])
+            if not nearest:
+                # more than are within reach share values: both ends of every such stretch, so all of it; and what
+                # may go on in the partition before
+                dense = np.zeros(n, dtype=bool)
+                if n > REACH:
+                    at = np.flatnonzero(shared[REACH:] == shared[:-REACH])
+                    dense[at] = dense[at + REACH] = True
+                if first is None:
+                    first = shared[0]
+                    dense[:REACH] |= shared[:REACH] == first
+                dense &= ~marked
+                if dense.any():
+                    yield marks(node[dense], shared[dense])
+                marked |= dense
+            last = (region[-REACH:], planes[-REACH:], node[-REACH:], root[-REACH:], shared[-REACH:], marked[-REACH:])
+        if last is not None and not nearest:  # what may go on in the partition after
+            _, _, node, _, shared, marked = last
+            dense = (shared == shared[-1]) & ~marked
+            if dense.any():
+                yield marks(node[dense], shared[dense])
 
     ordered = rows.repartitionByRange(partitions, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+    return ordered.mapInArrow(run, "what int, a binary, b binary, region long")
 
 
 def small(df: DataFrame, width: int, most: int = BROADCAST_BYTES) -> DataFrame:
@@ -277,6 +323,71 @@ def open_links(asks: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int
     return counted.withColumn("u", F.col("t") - F.col("i")).where(at_least(percent)).select("a", "b")
 
 
+def dense_nodes(marks: DataFrame, rooted: DataFrame) -> DataFrame:
+    """``(node)`` of dense regions that hold more than one component."""
+    placed = materialise(marks.select("region", F.col("a").alias("node")).join(rooted, "node", "left").select(
+        "region", "node", F.coalesce("root", "node").alias("root")))
+    mixed = materialise(placed.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
+        "x <> y").select("region"))
+    return materialise(placed.join(small(mixed, 16), "region", "left_semi").select("node").distinct())
+
+
+def dense_pairs(sets: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``(a, b)`` of ``sets(node, shingles)`` with different roots that may be linked.
+
+    Of two sets of n and m elements that have at least o in common, the n - o + 1 first of the one and the m - o + 1
+    first of the other have one in common, whatever order all elements are in. Here the rarest come first, by counts
+    of hashed shingles. The first common one, at places i and j, leaves at most min(n - i, m - j) more.
+    """
+
+    def count(batches):
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            total += np.bincount((flat % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "k"])
+
+    counted = sets.select("shingles").mapInArrow(count, "bucket long, k long").groupBy("bucket").agg(F.sum("k").alias("k"))
+    table = counted.toArrow()  # at most BUCKETS rows
+    often = np.zeros(BUCKETS, dtype=np.int64)
+    often[table.column(0).to_numpy()] = table.column(1).to_numpy()
+
+    def rarest(batches):
+        for batch in batches:
+            node, root = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ends = np.cumsum([0] + [len(x) for x in batch.column(2)])
+            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            at, out = 0, [[], [], [], [], []]
+            for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
+                own, n = flat[a:b], int(b - a)
+                take = n - -(-n * percent // 100) + 1
+                order = np.lexsort((own, often[(own % np.uint64(BUCKETS)).astype(np.int64)]))[:take]
+                out[0].append(own[order].view(np.int64))
+                out[1].append(np.arange(1, take + 1, dtype=np.int32))
+                out[2].append(np.full(take, n, dtype=np.int32))
+                out[3] += [node[i]] * take
+                out[4] += [root[i]] * take
+                at += take
+                if at >= AT_ONCE // 8 or i == len(node) - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(np.concatenate(x)) for x in out[:3]), *(pa.array(x, pa.binary()) for x in out[3:])],
+                        ["h", "place", "n", "node", "root"])
+                    at, out = 0, [[], [], [], [], []]
+
+    placed = sets.join(rooted, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "shingles")
+    rows = materialise(placed.mapInArrow(rarest, "h long, place int, n int, node binary, root binary"))
+    # shingles of one component's nodes alone link nothing new
+    mixed = materialise(rows.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h"))
+    rows = materialise(rows.join(small(mixed, 16), "h", "left_semi"))
+    one = rows.select("h", *[F.col(c).alias(f"{c}1") for c in ("place", "n", "node", "root")])
+    two = rows.select("h", *[F.col(c).alias(f"{c}2") for c in ("place", "n", "node", "root")])
+    common = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1
+    both = one.join(two, "h").where((F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))).where(
+        common * (100 + percent) >= (F.col("n1") + F.col("n2")).cast("long") * percent)
+    return materialise(both.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct())
+
+
 def classes(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -291,17 +402,31 @@ def classes(
     def candidates(nodes: DataFrame, trees: range) -> DataFrame:
         return materialise(neighbours(materialise(tree_rows(nodes, trees)), partitions, nearest=0 in trees))
 
+    def pairs(found: DataFrame, what: int) -> DataFrame:
+        return materialise(found.where(F.col("what") == what).select("a", "b").distinct())
+
     def confirmed(found: DataFrame) -> DataFrame:
         return materialise(compare(found, full_sets(docs, signed, found, size, id_col, text_col)))
 
     # the nearest neighbours of a few trees connect most of every group; then all within reach are looked at, but only
     # for what joins different groups
-    first = confirmed(candidates(nodes.withColumn("root", F.col("node")), range(FIRST)))
+    first = confirmed(pairs(candidates(nodes.withColumn("root", F.col("node")), range(FIRST)), 0))
     rooted = materialise(components(first.where(at_least(percent)).select("a", "b")))
     placed = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = confirmed(candidates(placed, range(FIRST, TREES)))
+    found = candidates(placed, range(FIRST, TREES))
+    rest = confirmed(pairs(found, 0))
     rooted = materialise(components(rooted.select("node", "root").union(rest.where(at_least(percent)).select("a", "b"))))
-    near = materialise(first.union(rest).where(~at_least(percent) & at_least(percent - NEARLY)).select("a", "b"))
+    # seemingly connected ones that are not
+    end = lambda side: rooted.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+    late = confirmed(materialise(pairs(found, 1).join(end("a"), "a", "left").join(end("b"), "b", "left").where(
+        F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")))
+    rooted = materialise(components(rooted.select("node", "root").union(late.where(at_least(percent)).select("a", "b"))))
+    # what reach may have hidden in dense regions
+    dense = dense_nodes(found.where("what = 2"), rooted)
+    sets = full_sets(docs, signed, dense.select(F.col("node").alias("a"), F.col("node").alias("b")), size, id_col, text_col)
+    dense_links = compare(dense_pairs(sets, rooted, percent), sets).where(at_least(percent)).select("a", "b")
+    rooted = materialise(components(rooted.select("node", "root").union(dense_links)))
+    near = materialise(first.union(rest).union(late).where(~at_least(percent) & at_least(percent - NEARLY)).select("a", "b"))
     asks = materialise(questions(near, rooted))
     both = asks.select("node").union(rooted.join(asks.select("root").distinct(), "root", "left_semi").select("node")).distinct()
     sets = full_sets(docs, signed, both.select(F.col("node").alias("a"), F.col("node").alias("b")), size, id_col, text_col)

@@ -58,6 +58,34 @@ def test_equals_brute_force(spark, size):
     assert got == sorted(brute(rows, size, 80))
 
 
+def template_rows(seed=4, n=400, planted=40):
+    """Texts from one template, most pairs 0.7 to 0.79 alike in single words, and pairs of them that are just linked."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for j in rng.sample(range(150), 11):
+            w[j] = f"x{i}_{j}"
+        rows.append(" ".join(w))
+    for i in rng.sample(range(n), planted):
+        w = rows[i].split()
+        for j in rng.sample(range(150), 16):
+            w[j] = f"y{i}_{j}"
+        rows.append(" ".join(w))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_links_in_a_dense_region(spark, monkeypatch):
+    rows = template_rows()
+    want = sorted(brute(rows, 1, 80))
+    assert 10 < sum(d != c for d, _, c in want) < 100
+    monkeypatch.setattr(X, "REACH", 1)  # as if a region had many more nodes
+    got = sorted((r["id"], r["n"], r["component"]) for r in X.classes(spark.createDataFrame(rows, "doc_id long, text string"), size=1).collect())
+    assert got == want
+
+
 def test_deduplicate_keeps_one_of_each_group(spark):
     docs = awkward.documents(spark)
     kept = X.deduplicate(docs, size=5)
