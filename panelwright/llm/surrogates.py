@@ -9,10 +9,12 @@ itself with and without the given name before it.
 
 All distinct values form a dictionary. A surrogate that equals another value's, or a value that occurs, is made anew with
 the next attempt until all differ, so distinct values stay distinct; the attempts that were needed are joined to the texts.
+After every ``SAME`` attempts surrogates of short forms (names, local parts of addresses, phone numbers, secrets) get longer.
 
 Expressions are Spark's own throughout. Defined cases: null texts stay null and empty texts empty; texts without personal
 data stay as they are; of values found at one place the first kind in ``PATTERN`` holds; repeated rows get equal texts;
-all columns and rows are kept. If the values of one form exceed what the form can tell apart, ValueError is raised.
+all columns and rows are kept. If the values of one form that does not
+get longer exceed what it can tell apart, ValueError is raised.
 """
 
 from __future__ import annotations
@@ -58,7 +60,8 @@ HEX = "0123456789abcdef"
 CONSONANTS, VOWELS = "bdfgklmnprstvz", "aeiou"
 CYR_CONSONANTS, CYR_VOWELS = "бвдзклмнпрстф", "аеиоу"
 BROADCAST_BYTES = 32 << 20
-ROUNDS = 64
+#: Attempts in all, and those before a surrogate gets longer by two characters.
+ROUNDS, SAME = 64, 8
 
 
 def pick(alphabet: str, byte: Column) -> Column:
@@ -69,10 +72,19 @@ def among(c: Column, alphabet: str) -> Column:
     return F.instr(F.lit(alphabet), c) > 0
 
 
+def grown(attempt: Column) -> Column:
+    """By how many pairs of characters a surrogate is longer than its value."""
+    return F.floor(attempt / SAME).cast("int")
+
+
+def longer(value: Column, pair: str, attempt: Column) -> Column:
+    return F.concat(value, F.repeat(F.lit(pair), grown(attempt)))
+
+
 def stream(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """Hex digits, two for every character of the value and a few more, from a keyed hash."""
     seed = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, value, attempt.cast("string")).cast("binary"), 256)
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.length(value) / 32).cast("int")), lambda j: F.sha2(
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.length(value) + 2 * grown(attempt)) / 32).cast("int")), lambda j: F.sha2(
         F.concat(seed, F.lit(key), j.cast("string")).cast("binary"), 256)), "")
 
 
@@ -166,12 +178,15 @@ def name(kind: Column, value: Column, digits: Column) -> Column:
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """The replacement of a value of a kind at an attempt."""
-    return bound(stream(kind, value, attempt, key), lambda d: F.when(kind == "email", email(value, d, key))
-                 .when(kind == "ip", ip(d)).when(kind == "phone", phone(value, d)).when(kind == "card", card(value, d))
-                 .when(kind.isin("male", "female", "surname"), name(kind, value, d))
+    more = lambda pair: longer(value, pair, attempt)
+    local = F.substring_index(value, "@", 1)
+    mail = F.concat(longer(local, "aa", attempt), F.substring(value, F.length(local) + 1, F.length(value)))
+    return bound(stream(kind, value, attempt, key), lambda d: F.when(kind == "email", email(mail, d, key))
+                 .when(kind == "ip", ip(d)).when(kind == "phone", phone(more("00"), d)).when(kind == "card", card(value, d))
+                 .when(kind.isin("male", "female", "surname"), name(kind, more("aa"), d))
                  .when(kind == "key", F.concat(F.substring(value, 1, 4), like(F.substring(value, F.lit(5), F.length(value)), d)))
                  .when(kind == "account", F.concat(F.substring(value, 1, 2), like(F.substring(value, F.lit(3), F.length(value)), d)))
-                 .otherwise(like(value, d)))
+                 .when(kind == "secret", like(more("aa"), d)).otherwise(like(value, d)))
 
 
 def split_match(e: Column) -> Column:

@@ -101,3 +101,26 @@ def test_all_planted_values_are_gone(spark):
     for i, values in found.items():
         assert not any(v in new[i] for v in values)
         assert new[i] == old[i] or values
+
+
+def test_short_names_never_run_out(spark):
+    import itertools
+    given = ["".join(x).capitalize() for x in itertools.product("abcdeimn", "aeinor", "abeimnst")]
+    short = ["".join(x).capitalize() for x in itertools.product("bdfghlmnwxyz", "aeiouy")] + ["Wu", "Xi", "Yu", "Ng", "Oh", "An"]
+    cyrillic = ["".join(x).capitalize() for x in itertools.product("бвдзклмнпрст", "аеиоуыюя")]
+    mails = [f"{x}@mail.site.org" for x in "abcdefghijklmnopqrstuvwxyz"]
+    rows = ([(f"Ms {g} {short[i % len(short)]}",) for i, g in enumerate(given)] + [(f"госпожа {x} и дом",) for x in cyrillic]
+            + [(m,) for m in mails])
+    docs = spark.createDataFrame([(i, t) for i, (t,) in enumerate(rows)], "doc_id long, text string")
+    made = [r["text"] for r in X.pseudonymise(docs, "k").orderBy("doc_id").collect()]
+    given_out = {}
+    for (old,), new in zip(rows, made):
+        if old.startswith("Ms"):
+            for kind, a, b in zip(("given", "surname"), old.split()[1:], new.split()[1:]):
+                assert given_out.setdefault((kind, a), b) == b and b[0].isupper() and b[1:].islower()
+        elif old.startswith("г"):
+            given_out["surname", old.split()[1]] = new.split()[1]
+        else:
+            given_out["mail", old] = new
+    assert len(set(given_out.values())) == len(given_out) and not set(given_out.values()) & {a for _, a in given_out}
+    assert all(b[-1] == "a" for (kind, _), b in given_out.items() if kind == "given")
