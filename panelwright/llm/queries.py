@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, bpe_counts, decontaminate, forest, infill, langid, licenses, pieces, quotes, surrogates, toxicity
+from . import (
+    alignment, bottomk, bpe_counts, decontaminate, forest, infill, langid, licenses, pieces, quotes, surrogates, toxicity, word_bpe,
+)
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 SQL_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -123,3 +125,24 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(
         F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
         digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+    groups = F.when(F.col("groups") != "", F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    # the texts of groups are hashed before anything is stored
+    counted = alignment.with_counts(found.withColumn("groups_sha256", groups).drop("groups"))
+    return counted.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                          "groups_sha256", "n_group_links")
+
+
+@query("op13_word_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    both = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), path), path, keep=True)
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+                       digest(F.col("text")).alias("decoded_sha256"))

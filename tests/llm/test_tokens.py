@@ -1,11 +1,13 @@
 import random
+import unicodedata
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from panelwright.llm import bpe_counts, pieces
+from panelwright.llm import bpe_counts, pieces, word_bpe
 from tests.llm import awkward
 
 LETTERS = [*" \n\t\x1c\x85 aabcdeT'sré漢字😀１²٣0123.,!?_-\x00\x7f́ǅ▁", "<|endoftext|>", "<|endof", "'ll", "the ",
@@ -97,3 +99,64 @@ def test_pieces_of_a_table(spark):
     odd = spark.createDataFrame([(1, None), (2, [-1]), (3, [10 ** 6]), (4, [])], "doc_id long, ids array<int>")
     assert [r["text"] for r in pieces.decode(odd, path).orderBy("doc_id").collect()] == [None, None, None, ""]
     assert pieces.encode(awkward.nothing(spark), path).isEmpty()
+
+
+# --- word ends -----------------------------------------------------------------------------------------------------
+
+WORD_ODD = ["Σ ΑΣ ΣΑΣ", "İstanbul I'LL don'T", "e\u0301 \u1e9b\u0323 Å Å ＡＢ ﬁ", "ß ẞ ŉ ǰ", "１²٣ 123", "\x1c\x85\xa0\u2028x",
+            "<|startoftext|>a<|endoftext|>", "<|StartOfText|>", "<|endoftext|>e\u0301", "e<|endoftext|>\u0301", "'s's'S ''ve",
+            "ⅷ Ⅷ ①", "한국 각", "ก็ नमस्ते", "aⒶ", "-'s_-", "\x00\x7f"]
+
+
+@pytest.fixture(scope="module")
+def word_vocabulary():
+    return word_bpe.Vocabulary.of(P.path("word_bpe_49k.json"))
+
+
+def unpacked(encoder, text):
+    return np.frombuffer(encoder.encode(text), dtype="<i4").tolist()
+
+
+def test_word_ids_equal_the_library(word_vocabulary, monkeypatch):
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = strings(4000, 6) + WORD_ODD + ["".join(p) for p in zip(WORD_ODD, WORD_ODD[1:])]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = word_bpe.Encoder(word_vocabulary)
+    for text, ids in zip(texts, want):
+        assert unpacked(encoder, text) == ids, repr(text)
+    monkeypatch.setattr(word_bpe, "MEMORY", 5)
+    forgetful = word_bpe.Encoder(word_vocabulary)
+    assert [unpacked(forgetful, t) for t in texts] == want
+
+
+def test_every_code_point_equals_the_library(word_vocabulary):
+    """Every character that is cut here, between letters, behind letters that take marks, and decomposed; of those that
+    the library cuts, some."""
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    encoder = word_bpe.Encoder(word_vocabulary)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    points = [c for c in points if word_bpe.SETTLED(c) or ord(c) % 97 == 0]
+    parted = [d for c in points if (d := unicodedata.normalize("NFD", c)) != c]
+    for form, some in (("a{0}{0}a x{0}y", points), ("e{0}\u0323\u0301 \u1100{0}", points), ("x{0} {0}\u0301", parted)):
+        texts = ["".join(form.format(c) + "|" for c in some[i:i + 64]) for i in range(0, len(some), 64)]
+        for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert unpacked(encoder, text) == found.ids, ascii(text)
+
+
+def test_words_of_a_table(spark):
+    docs = awkward.documents(spark)
+    path = P.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    encoded = word_bpe.encode(docs, path)
+    want = sorted(str((r["doc_id"], library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in docs.collect())
+    assert sorted(str((r["doc_id"], r["ids"])) for r in encoded.collect()) == want
+    back = word_bpe.decode(encoded, path, keep=True)
+    assert back.columns == ["doc_id", "ids", "text"]
+    assert all(r["text"] == library.decode(r["ids"], skip_special_tokens=False) for r in back.collect())
+    odd = spark.createDataFrame([(1, None), (2, [-1]), (3, [10 ** 6]), (4, []), (5, [None]), (6, [49407, 0])],
+                                "doc_id long, ids array<int>")
+    assert [r["text"] for r in word_bpe.decode(odd, path).orderBy("doc_id").collect()] == [
+        None, None, None, "", None, library.decode([49407, 0], skip_special_tokens=False)]
+    assert word_bpe.encode(awkward.nothing(spark), path).isEmpty()
+    with pytest.raises(ValueError):
+        word_bpe.Vocabulary.of(P.path("byte_bpe_50k.json"))
