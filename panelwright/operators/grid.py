@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_even
@@ -43,36 +43,38 @@ def nearest_on_axis(
 ) -> DataFrame:
     """For each point the axis value with the least absolute difference.
 
-    Both sides are bucketed by one cell width, so the match is an equi-join on
-    the bucket plus a range filter; each point meets exactly one gap.
+    An as-of merge: gaps of the axis and points form one range-sorted table, in
+    which a point takes the last gap that begins at or before it. Slices are
+    balanced by row count, equal coordinates included, whatever the spread of
+    the axis; each slice starts with one row that brings the last gap before it.
     """
     values = axis_values(axis, coordinate, index)
-    shape = values.agg(F.min("_at").alias("low"), F.max("_at").alias("high"), F.count(F.lit(1)).alias("n")).first()
-    if not shape["n"]:
+    n = values.count()
+    if not n:
         return points.withColumn(into, F.lit(None).cast("double"))
-    width = (shape["high"] - shape["low"]) / shape["n"] or 1.0
-
-    def bucket(x: Column) -> Column:
-        inside = F.least(F.greatest(x, F.lit(shape["low"])), F.lit(shape["high"]))
-        return F.floor((inside - F.lit(shape["low"])) / F.lit(width))
-
-    gaps = axis_gaps(values, shape["n"] <= TASK_ROWS)
-    spread = materialise(gaps.select(
-        "*", F.explode(F.sequence(bucket(F.col("_from")), bucket(F.col("_to")))).alias("_gap_bucket")
-    ))
-    x = F.col(at).cast("double")
-    keyed = points.withColumn("_bucket", bucket(x))
-    matched = keyed.join(
-        spread,
-        (F.col("_bucket") == F.col("_gap_bucket")) & (x >= F.col("_from")) & (x < F.col("_to")),
-        "left",
-    )
-    down, up = F.abs(F.col("_lo.at") - x), F.abs(F.col("_hi.at") - x)
-    lower_wins = F.col("_hi").isNull() | (down < up) | (
-        (down == up) & (F.col("_lo.rank") <= F.col("_hi.rank"))
-    )
-    chosen = F.when(lower_wins, F.col("_lo.at")).otherwise(F.col("_hi.at"))
-    return matched.select(*points.columns, chosen.alias(into))
+    gaps = axis_gaps(values, n <= TASK_ROWS).select(
+        F.col("_from").alias("_x"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"),
+        F.struct("_lo", "_hi").alias("_gap"))
+    here = points.select(
+        F.col(at).cast("double").alias("_x"), F.lit(1).alias("_kind"), F.monotonically_increasing_id().alias("_tie"),
+        F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_point"))
+    order = ["_x", "_kind", "_tie"]
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = materialise(
+        gaps.unionByName(here, allowMissingColumns=True).repartitionByRange(parts, *order)
+        .withColumn("_slice", F.spark_partition_id()))
+    # one row a slice, so bounded by the partition count
+    ends = sliced.groupBy("_slice").agg(F.max_by("_gap", F.when(F.col("_gap").isNotNull(), F.col("_x"))).alias("_gap"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    brought = ends.select("_slice", F.last("_gap", ignorenulls=True).over(earlier).alias("_gap"), F.lit(-1).alias("_kind"))
+    inside = Window.partitionBy("_slice").orderBy((F.col("_kind") >= 0), *order).rowsBetween(Window.unboundedPreceding, 0)
+    merged = sliced.unionByName(brought, allowMissingColumns=True).select(
+        "_x", "_kind", "_point", F.last("_gap", ignorenulls=True).over(inside).alias("_gap"))
+    x, lo, hi = F.col("_x"), F.col("_gap._lo"), F.col("_gap._hi")
+    down, up = F.abs(lo["at"] - x), F.abs(hi["at"] - x)
+    lower_wins = hi.isNull() | (down < up) | ((down == up) & (lo["rank"] <= hi["rank"]))
+    chosen = F.when(x.isNull() | F.isnan(x), None).when(lower_wins, lo["at"]).otherwise(hi["at"])
+    return merged.filter(F.col("_kind") == 1).select("_point.*", chosen.alias("_into")).withColumnRenamed("_into", into)
 
 
 def nearest_cell(

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 WAYS = 16
 
+
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
     """Join a large side to a usually small one that is a file or materialised.
 
@@ -66,3 +70,29 @@ def map_values(df: DataFrame, column: str, pairs: DataFrame, key: str, value: st
 def keep_members(df: DataFrame, members: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """Rows whose key is in another query's result."""
     return lookup_join(df, members, on, "left_semi")
+
+
+def prune_to(stored: DataFrame, members: DataFrame, on: str) -> DataFrame:
+    """Rows of a table stored by ``on`` whose value another query has found.
+
+    The found values are stored, so their size is known: while it allows a broadcast, the scan of ``stored`` reads only
+    their partitions (dynamic pruning needs a filter on that side, which the mark provides); beyond it the join shuffles.
+    """
+    found = materialise(members.select(on).filter(F.col(on).isNotNull()).distinct().withColumn("_in", F.lit(1)))
+    return lookup_join(stored, found.filter(F.col("_in") > 0).select(on), on, "left_semi")
+
+
+def bucket_join(fact: DataFrame, lookup: DataFrame, buckets: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    """Left join of two tables stored with the same buckets, on the bucket columns and ``rest``, without an exchange.
+
+    Spark takes buckets for a join only if its keys are the bucket columns alone, so the lookup becomes one row per
+    bucket key, with a map from the rest of the key to its values. ``(buckets, rest)`` must identify a lookup row, and
+    a key must have few rows, as years of an entity are.
+    """
+    values = [c for c in lookup.columns if c not in (*buckets, *rest)]
+    entry = F.struct(F.struct(*rest).alias("_key"), F.struct(*values).alias("_value"))
+    known = lookup.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rest]))
+    packed = known.groupBy(*buckets).agg(F.map_from_entries(F.collect_list(entry)).alias("_of"))
+    joined = fact.join(packed.hint("merge"), list(buckets), "left")
+    found = joined.withColumn("_found", F.try_element_at("_of", F.struct(*rest)))
+    return found.select(*fact.columns, *[F.col(f"_found.{c}").alias(c) for c in values])

@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,9 @@ from ..session import materialise
 from .joins import spread_join
 from .quantiles import exact_quantiles, table_quantiles
 
-KERNEL_REACH = 39.0  # exp(-x*x/2) is exactly 0.0 in double precision beyond this
+#: Of the density: cell width and reach in bandwidths, and moments of a cell. With |b| <= 1/4 the terms left out sum to less
+#: than max(a^18 exp(-a*a/2)) / 4^18 / 18! * e < 1e-17, and kernels left out are below exp(-9.5^2/2) < 3e-20.
+CELL, NEAR, TERMS = 0.5, 9.75, 18
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 3) -> DataFrame:
@@ -63,23 +68,82 @@ def _correlation(a: str, b: str) -> Column:
     return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
+#: A pair in which a column keeps less than this share of its mean square is looked at value by value.
+FLAT = 1e-6
+
+
+def _masked_products(data: DataFrame, columns: list[str]) -> dict[str, np.ndarray]:
+    """Over all pairs of columns: rows in which both are known (``n``), and sums over these rows of the first (``x``), its
+    square (``xx``), and the product of both (``xy``), columns being centred and scaled.
+
+    Each row becomes one vector of masks, values and squares, whose Gram matrix holds all of these at once. Spark's
+    covariance sums it in arrays, a triangle of it per task, whatever the number of columns; columns^2 numbers reach the
+    driver.
+    """
+    d = len(columns)
+    values = F.array(*columns)
+    known = F.transform(values, lambda v: F.when(v.isNull(), 0.0).otherwise(1.0))
+    plain = F.transform(values, lambda v: F.coalesce(v, F.lit(0.0)))
+    each = Summarizer.metrics("mean", "variance")
+
+    def shape(vectors: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+        row = vectors.agg(F.count(F.lit(1)).alias("n"), each.summary(F.col("z")).alias("s")).first()
+        return row["n"], row["s"]["mean"].toArray(), row["s"]["variance"].toArray()
+
+    first = data.select(array_to_vector(F.concat(known, plain)).alias("z"))
+    n, mean, variance = shape(first)
+    share = np.maximum(mean[:d], 1e-300)
+    centre = mean[d:] / share
+    # mean of squares over all rows, then about the centre over the known ones
+    spread = (variance[d:] * (n - 1) / max(n, 1) + mean[d:] ** 2) / share - centre ** 2
+    scale = np.sqrt(np.maximum(spread, 0.0))
+    scale[scale <= 1e-12 * np.abs(centre)] = 1.0
+    scale[scale == 0] = 1.0
+    moved = F.zip_with(F.zip_with(plain, F.lit(centre.tolist()), lambda v, c: v - c), F.lit(scale.tolist()), lambda v, c: v / c)
+    moved = F.zip_with(moved, known, lambda v, m: v * m)
+    z = materialise(data.select(array_to_vector(F.concat(known, moved, F.transform(moved, lambda v: v * v))).alias("z")))
+    n, mean, variance = shape(z)
+    related = Correlation.corr(z, "z").first()[0].toArray()
+    covariance = np.nan_to_num(related) * np.sqrt(np.outer(variance, variance))
+    gram = covariance * (n - 1) + n * np.outer(mean, mean)
+    return {"n": np.rint(gram[:d, :d]), "x": gram[d:2 * d, :d], "xx": gram[2 * d:, :d], "xy": gram[d:2 * d, d:2 * d]}
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 3, lower: bool = False) -> DataFrame:
     """A14 in long form: one row per ordered pair, or only the strict lower triangle.
 
-    Every pair is an aggregate of the same single pass.
+    All pairs come from one matrix of sums (``_masked_products``). Where a column hardly varies among a pair's rows,
+    the pair's values are looked at once more, which tells constants by their range; all such pairs share one job.
     """
     columns = list(columns)
-    data = df.select(*[missing_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
-    row = data.agg(*[_correlation(columns[i], columns[j]).alias(f"_{i}_{j}") for i, j in pairs])
-    cells = []
-    for i in range(len(columns)):
-        for j in range(len(columns)):
-            if lower and j >= i:
-                continue
-            cells.append(F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"),
-                                  round_even(F.col(f"_{max(i, j)}_{min(i, j)}"), digits).alias("r")))
-    return row.select(F.inline(F.array(*cells)))
+    d = len(columns)
+    data = materialise(df.select(*[missing_if_nan(F.col(c).cast("double")).alias(c) for c in columns]))
+    found = np.full((d, d), None, dtype=object)
+    if len(data.take(2)) == 2:
+        sums = _masked_products(data, columns)
+        n, x = np.maximum(sums["n"], 1.0), sums["x"]
+        own = n * sums["xx"] - x * x
+        with np.errstate(all="ignore"):
+            r = (n * sums["xy"] - x * x.T) / np.sqrt(own * own.T)
+        doubtful = (own <= FLAT * n * np.maximum(sums["xx"], 1.0)) | ~np.isfinite(r) & (sums["n"] > 1)
+        doubtful |= doubtful.T
+        for i, j in zip(*np.nonzero((sums["n"] > 1) & ~doubtful)):
+            found[i, j] = float(np.clip(r[i, j], -1.0, 1.0))
+        again = [(int(i), int(j)) for i, j in zip(*np.nonzero((sums["n"] > 1) & doubtful)) if j <= i]
+        flat = [i for i in range(d) if doubtful[i, i]]
+        ends = data.agg(F.count(F.lit(1)), *[(F.min(columns[i]) < F.max(columns[i])).alias(f"_{i}") for i in flat]).first()
+        constant = {i for i in flat if not ends[f"_{i}"]}
+        again = [(i, j) for i, j in again if not {i, j} & constant]
+        if again:
+            each = data.select(F.array(*columns).alias("_v"), F.explode(F.lit([list(p) for p in again])).alias("_p"))
+            each = each.select(F.col("_p")[0].alias("_i"), F.col("_p")[1].alias("_j"),
+                               F.get("_v", F.col("_p")[0]).alias("_x"), F.get("_v", F.col("_p")[1]).alias("_y"))
+            both = each.filter("_x is not null and _y is not null").groupBy("_i", "_j").agg(_correlation("_x", "_y").alias("r"))
+            for row in both.collect():
+                found[row["_i"], row["_j"]] = found[row["_j"], row["_i"]] = row["r"]
+    cells = [(columns[i], columns[j], found[i, j]) for i in range(d) for j in range(i if lower else d)]
+    table = df.sparkSession.createDataFrame(cells, "a string, b string, r double")
+    return table.withColumn("r", round_even("r", digits))
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
@@ -108,10 +172,11 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 def density(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
     """Gaussian density on ``points`` places over the range widened by half on each side.
 
-    Bandwidth: sample deviation times n^(-1/5). A value adds only to places its
-    kernel reaches before it underflows to zero, so the work per value shrinks as
-    n grows. Sums are combined on the map side: ``points`` rows per task are
-    shuffled, never the values.
+    Bandwidth h: sample deviation times n^(-1/5). A fast Gauss transform: values fall into cells of half a bandwidth,
+    and a cell is known by ``TERMS`` moments. With a and b the distances of a place and of a value from the cell's centre
+    in bandwidths, a kernel is exp(-a*a/2) times the sum over p of a^p/p! times b^p exp(-b*b/2). Cut off at
+    ``TERMS``, and beyond ``NEAR`` bandwidths, each kernel is right to 1e-15 of its peak. Moments are combined on
+    the map side, so one row per cell and task is shuffled; a cell, never a value, is spread over places.
     """
     data = df.select(missing_if_nan(F.col(value).cast("double")).alias("_v")).filter("_v is not null")
     s = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("_v").alias("std"),
@@ -119,20 +184,33 @@ def density(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
     if s["n"] < 2 or not s["std"]:
         raise ValueError("a density needs at least two different values")
     h = s["std"] * s["n"] ** -0.2
-    start = s["lo"] - 0.5 * (s["hi"] - s["lo"])
+    lo, start = s["lo"], s["lo"] - 0.5 * (s["hi"] - s["lo"])
     step = 2.0 * (s["hi"] - s["lo"]) / (points - 1)
-    v = F.col("_v")
-    first = F.greatest(F.lit(0), F.ceil((v - F.lit(KERNEL_REACH * h + start)) / F.lit(step)))
-    last = F.least(F.lit(points - 1), F.floor((v + F.lit(KERNEL_REACH * h - start)) / F.lit(step)))
-    reached = data.select("_v", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("i"))
-    u = (F.lit(start) + F.col("i") * F.lit(step) - v) / F.lit(h)
-    sums = reached.groupBy("i").agg(F.sum(F.exp(u * u * F.lit(-0.5))).alias("_s"))
+    cell = F.floor((F.col("_v") - F.lit(lo)) / F.lit(CELL * h))
+    centre = F.lit(lo) + (F.col("_cell") + F.lit(0.5)) * F.lit(CELL * h)
+    placed = data.select("_v", cell.alias("_cell"))
+    placed = placed.select("_cell", ((F.col("_v") - centre) / F.lit(h)).alias("_b"))
+    moment, moments = F.exp(F.col("_b") * F.col("_b") * F.lit(-0.5)), []
+    for p in range(TERMS):
+        moments.append(F.sum(moment).alias(f"_m{p}"))
+        moment = moment * F.col("_b")
+    cells = placed.groupBy("_cell").agg(*moments)
+    reach = NEAR * h
+    first = F.greatest(F.lit(0), F.ceil((centre - F.lit(reach + start)) / F.lit(step)))
+    last = F.least(F.lit(points - 1), F.floor((centre + F.lit(reach - start)) / F.lit(step)))
+    reached = cells.withColumns({"_first": first.cast("int"), "_last": last.cast("int")}).filter("_first <= _last")
+    reached = reached.withColumn("i", F.explode(F.sequence("_first", "_last")))
+    reached = reached.withColumn("_a", (F.lit(start) + F.col("i") * F.lit(step) - centre) / F.lit(h))
+    series = F.lit(0.0)
+    for p in reversed(range(TERMS)):
+        series = F.col(f"_m{p}") + series * F.col("_a") / F.lit(float(p + 1))
+    sums = reached.groupBy("i").agg(F.sum(F.exp(F.col("_a") * F.col("_a") * F.lit(-0.5)) * series).alias("_s"))
     grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
     scale = 1.0 / (s["n"] * h * math.sqrt(2 * math.pi))
     return grid.join(sums, "i", "left").select(
         "i",
         (F.lit(start) + F.col("i") * F.lit(step)).alias("x"),
-        (F.coalesce("_s", F.lit(0.0)) * F.lit(scale)).alias("density"),
+        (F.greatest(F.coalesce("_s", F.lit(0.0)), F.lit(0.0)) * F.lit(scale)).alias("density"),
     )
 
 

@@ -18,6 +18,7 @@ from ..functions.columns import numeric_columns
 from ..operators.aggregates import NOT_INDICATORS, mean_of_numeric
 from ..operators.clean import clean_indicators, fill_two_pass
 from ..operators.grid import extract_series
+from ..operators.keywords import first_keyword_of_table
 from ..operators.joins import left_join_suffixed, map_values
 from ..operators.quantiles import table_quantiles
 from ..operators.reshape import pivot_first
@@ -59,13 +60,14 @@ def annual_indicators(
     wins. Only variables that occur become columns. A country has one row per
     year, so the gap fill's groups are small by construction.
     """
-    if isinstance(keywords, DataFrame):  # a short list kept as a table (S10)
-        keywords = [(r["keyword"], r["clean_name"]) for r in keywords.orderBy("priority").collect()]
     typed = raw.withColumns({"value": X.to_number("value"), "year": X.to_number("year")})
+    usable = typed.na.drop(subset=["value", "year"])
+    if isinstance(keywords, DataFrame):  # a table of any size (S10)
+        classified = first_keyword_of_table(usable, "variable", keywords, "clean_variable")
+    else:
+        classified = usable.withColumn("clean_variable", X.first_keyword("variable", keywords))
     known = (
-        typed.na.drop(subset=["value", "year"])
-        .withColumn("clean_variable", X.first_keyword("variable", keywords))
-        .filter(F.col("clean_variable").isNotNull())
+        classified.filter(F.col("clean_variable").isNotNull())
         .select("country", F.col("year").cast("int").alias("year"), "clean_variable", "value", ORDINAL)
     )
     coded = map_values(known, "country", codes, "name", "code", "country_code")

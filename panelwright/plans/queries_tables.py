@@ -8,7 +8,9 @@ from ..functions import columns as C
 from ..functions import scalars as X
 from ..operators import clean, grid, joins, reshape
 from ..operators.aggregates import mean_of_numeric, spatial_mean
-from ..operators.series import entity_stats, fill_linear
+from ..operators.joins import bucket_join
+from ..operators.keywords import first_keyword_of_table
+from ..operators.series import entity_stats, fill_linear, row_frames, step_change, trailing_mean
 from ..session import materialise, scratch_path
 from ..sources import tables
 from ..sources.lookups import name_codes
@@ -53,6 +55,49 @@ def write_read_panel(spark, sf):
     return tables.read_table(spark, "panel", path).filter("y >= 1998").select("e", "month", "y", "v_cents")
 
 
+def _stored(spark, sf, name):
+    """The monthly panel stored by year, bucketed by nation and sorted by month."""
+    panel = I.monthly_panel(spark, sf).withColumn("y", F.year("t"))
+    return tables.store_panel(panel, name, scratch_path(spark, name), ["e"], "t", 8, ["y"])
+
+
+@query("stored_rolling", "WITH " + I.PANEL + """
+SELECT e, strftime(t, '%Y-%m') AS month, v, round_even(avg(v) OVER (w ROWS 2 PRECEDING), 4) AS v_avg_3,
+       round_even(v - lag(v) OVER w, 4) AS step
+FROM panel WINDOW w AS (PARTITION BY e ORDER BY t)
+""")
+def stored_rolling(spark, sf):
+    """Series features of a reloaded panel need no exchange."""
+    frames = {"v_avg_3": trailing_mean("v", 3), "step": step_change("v")}
+    panel = _stored(spark, sf, "panel_rolling").select("e", "t", "v")
+    made = row_frames(panel, ["e"], "t", frames, before=3, bounded=True)
+    return made.select("e", X.month_text("t").alias("month"), "v", *[X.round_even(c).alias(c) for c in frames])
+
+
+@query("stored_join", "WITH " + I.PANEL + "," + I.SPARSE + """
+SELECT p.e, strftime(p.t, '%Y-%m') AS month, p.v, s.p1, s.p3
+FROM panel p LEFT JOIN sparse s ON p.e = s.e AND year(p.t) = s.y
+""")
+def stored_join(spark, sf):
+    """Monthly and annual panels stored with the same buckets meet without an exchange."""
+    annual = I.annual_sparse(spark, sf).select("e", "y", "p1", "p3")
+    annual = tables.store_panel(annual, "annual_join", scratch_path(spark, "annual_join"), ["e"], "y", 8)
+    return bucket_join(_stored(spark, sf, "panel_join"), annual, ["e"], ["y"]).select(
+        "e", X.month_text("t").alias("month"), "v", "p1", "p3")
+
+
+@query("pruned_periods", "WITH " + I.PANEL + """,
+best AS (SELECT year(t) AS y FROM panel GROUP BY 1 ORDER BY sum(v_cents) DESC, y LIMIT 2)
+SELECT e, strftime(t, '%Y-%m') AS month, v_cents, CAST(year(t) AS INTEGER) AS y FROM panel WHERE year(t) IN (SELECT y FROM best)
+""")
+def pruned_periods(spark, sf):
+    """The two best years, found by a query, are the only partitions of the stored panel read."""
+    panel = _stored(spark, sf, "panel_pruned")
+    best = panel.groupBy("y").agg(F.sum("v_cents").alias("total")).orderBy(F.desc("total"), "y").limit(2)
+    kept = joins.prune_to(panel, best, "y")
+    return kept.select("e", X.month_text("t").alias("month"), "v_cents", "y")
+
+
 @query("export_selection", "WITH " + I.SCORED + """
 SELECT e, strftime(t, '%Y-%m') AS month, class FROM scored WHERE class IN ('High', 'Extreme')
 """)
@@ -172,6 +217,26 @@ def keyword_classify(spark, sf):
         F.count(F.lit(1)).alias("parts"), F.count_distinct("p_type").alias("types"))
 
 
+@query("keyword_table", """
+WITH k AS (SELECT lower(substr(p_name, 1 + CAST(p_partkey % 4 AS INT), 3 + CAST(p_partkey % 5 AS INT))) AS word, p_partkey AS priority FROM part
+           WHERE p_partkey % 7 = 6
+           UNION ALL SELECT 'none' || p_partkey, -p_partkey FROM part),
+texts AS (SELECT DISTINCT lower(p_name || ' ' || p_type || ' ' || p_brand) AS text FROM part),
+hits AS (SELECT text, min(priority) AS priority FROM texts JOIN k ON contains(text, word) GROUP BY 1)
+SELECT p_partkey, 'k' || priority AS name FROM part LEFT JOIN hits ON lower(p_name || ' ' || p_type || ' ' || p_brand) = text
+""")
+def keyword_table(spark, sf):
+    """A keyword table with as many entries as there are parts and more, most of which match nothing."""
+    part = I.table(spark, sf, "part")
+    key = F.col("p_partkey")
+    word = F.substring("p_name", (1 + key % 4).cast("int"), (3 + key % 5).cast("int"))
+    words = part.filter(key % 7 == 6).select(word.alias("keyword"), key.alias("priority"))
+    words = words.unionByName(part.select(F.concat(F.lit("none"), key).alias("keyword"), (-key).alias("priority")))
+    words = words.withColumn("clean_name", F.concat(F.lit("k"), "priority"))
+    texts = part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("text"))
+    return first_keyword_of_table(texts, "text", words, "name").select("p_partkey", "name")
+
+
 @query("regex_filter", """
 SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'Gear|^RED|bo.t$', 'i')
 """)
@@ -232,6 +297,21 @@ def nearest_cell(spark, sf):
     return grid.nearest_cell(I.points(spark, sf), I.grid_cells(spark, sf))
 
 
+@query("nearest_cell_outlier", """
+WITH axis AS (SELECT DISTINCT CASE WHEN p_partkey % 1000 = 7 THEN 1e10::DOUBLE ELSE p_retailprice END AS place FROM part),
+points AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 950.05::DOUBLE ELSE o_totalprice / 400 END AS x FROM orders),
+xs AS (SELECT DISTINCT x FROM points),
+near AS (SELECT x, min_by(place, row(abs(place - x), place)) AS cell FROM xs, axis GROUP BY 1)
+SELECT o_orderkey, x, cell FROM points JOIN near USING (x)
+""")
+def nearest_cell_outlier(spark, sf):
+    """An axis with a fill value far out, and a third of the points at one place."""
+    at = F.when(F.col("p_partkey") % 1000 == 7, 1e10).otherwise(F.col("p_retailprice"))
+    x = F.when(F.col("o_orderkey") % 3 == 0, 950.05).otherwise(F.col("o_totalprice") / 400)
+    points = I.table(spark, sf, "orders").select("o_orderkey", x.alias("x"))
+    return grid.nearest_on_axis(points, "x", I.table(spark, sf, "part").select(at.alias("at")), "at", "cell")
+
+
 @query("extract_series", "WITH " + I.NEAREST + """
 SELECT c.point, c.lat, c.lon, c.cell_lat, c.cell_lon, strftime(t, '%Y-%m') AS month,
        round_even(value, 4) AS value,

@@ -115,6 +115,40 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     return path
 
 
+def store_panel(
+    df: DataFrame, name: str, path: str, entity: Sequence[str], time: str, buckets: int, partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """Overwrite table ``name`` at ``path``, bucketed by entity and sorted by time, a folder per partition value.
+
+    Queries that group, order or join by entity read such a table without an exchange; filters on the partition
+    columns skip folders. Choose ``buckets`` so that a bucket suits a task: it is one task's share for as long as the
+    table lives, and all rows of an entity are in one.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    out = df.repartition(buckets, *entity).write.mode("overwrite").option("path", path)
+    out = out.bucketBy(buckets, *entity).sortBy(*entity, time)
+    (out.partitionBy(*partition_by) if partition_by else out).saveAsTable(name)
+    return spark.table(name)
+
+
+def attach_panel(
+    spark: SparkSession, name: str, path: str, entity: Sequence[str], time: str, buckets: int, partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """A panel stored before, in a session whose catalog does not know it; the layout is the one it was stored with."""
+    schema = read_table(spark, name, path).schema
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    cells = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    listed = lambda names: ", ".join(f"`{c}`" for c in names)
+    spark.sql(
+        f"CREATE TABLE `{name}` ({cells}) USING parquet "
+        + (f"PARTITIONED BY ({listed(partition_by)}) " if partition_by else "")
+        + f"CLUSTERED BY ({listed(entity)}) SORTED BY ({listed([*entity, time])}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE `{name}`")
+    return spark.table(name)
+
+
 def export_text(df: DataFrame, path: str, encoding: str = "UTF-8") -> str:
     """Overwrite as CSV files with a header row."""
     df.write.mode("overwrite").option("header", True).option("encoding", encoding).option("escape", '"').csv(path)

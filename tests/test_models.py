@@ -5,7 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from panelwright.operators import clusters as K
 from panelwright.operators import evaluation as E
@@ -33,6 +35,8 @@ def panel(spark):
 
 
 KEY = ["country_code", "date"]
+VECTORS = StructType([StructField("fold", IntegerType()), StructField("label", DoubleType()), StructField("features", VectorUDT())])
+POINTS = StructType([StructField("e", IntegerType()), StructField("features", VectorUDT())])
 
 
 def test_ridge_equals_closed_form(spark, panel):
@@ -170,3 +174,81 @@ def test_zones_are_ordered_by_score(spark):
 
 def test_regressor_fold_count():
     assert [M.regressor_folds(n) for n in (1000, 50, 30, 5)] == [5, 5, 3, 2]
+
+
+def jobs_of(spark, work):
+    """Result and number of jobs of a piece of work."""
+    tracker, group = spark.sparkContext.statusTracker(), f"counted-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    out = work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(tracker.getJobIdsForGroup(group))
+
+
+def ridge_errors(x, y, fold, alphas):
+    """Mean over the folds of the root mean squared residual of each penalty, by solving every fold."""
+    out = []
+    for a in alphas:
+        per = []
+        for f in sorted(set(fold)):
+            t, h = fold != f, fold == f
+            c, m = x[t].mean(0), y[t].mean()
+            b = np.linalg.solve((x[t] - c).T @ (x[t] - c) + a * np.eye(x.shape[1]), (x[t] - c).T @ (y[t] - m))
+            per.append(np.sqrt(np.mean((y[h] - m - (x[h] - c) @ b) ** 2)))
+        out.append(np.mean(per))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.5, 5.0])
+def test_ridge_search_equals_fitting_every_fold(spark, noise):
+    rng = np.random.default_rng(int(noise * 10))
+    n, d, alphas = 90, 6, [0.01, 0.1, 1.0, 10.0, 100.0]
+    x = rng.normal(size=(n, d))
+    y = 1e3 + x @ rng.normal(size=d) + noise * rng.normal(size=n)
+    fold = np.arange(n) * 5 // n
+    rows = [(int(f), float(v), Vectors.dense(r)) for f, v, r in zip(fold, y, x)]
+    folded = spark.createDataFrame(rows, VECTORS).repartition(3)
+    moments = M.fold_moments(folded, d, float(y.mean()))
+    whole = sum(list(moments.values())[1:], list(moments.values())[0])
+    assert whole.n == n and np.allclose(whole.xx, x.T @ x) and np.allclose(whole.xy, x.T @ (y - y.mean()))
+    want = ridge_errors(x, y, fold, alphas)
+    fits = {f: [(whole - held).ridge(a) for a in alphas] for f, held in moments.items()}
+    assert np.allclose(M._residual_errors(folded, fits, float(y.mean()), 5), want, atol=1e-9)
+    if noise:
+        got = np.mean([[m.squared_error(*fit) ** 0.5 for fit in fits[f]] for f, m in moments.items()], axis=0)
+        assert np.allclose(got, want, atol=1e-9)
+    best, jobs = jobs_of(spark, lambda: M._search_ridge(folded, alphas, d, float(y.mean())))
+    assert best == alphas[int(np.argmin(want))]
+    assert jobs <= (3 if noise else 6)  # of one grouped aggregate, or two; not one for each fit
+
+
+def test_every_start_at_once(spark):
+    """Costs no worse than many starts of plain k-means; as many jobs for 40 starts as for 2, or nearly."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(5, 3)) * 8
+    x = np.concatenate([c + rng.normal(size=(40, 3)) for c in centres])
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], POINTS).repartition(3)
+    fits, jobs = jobs_of(spark, lambda: K.fit_all(df, [1, 2, 3, 4, 5], 8))
+    _, few = jobs_of(spark, lambda: K.fit_all(df, [5], 2))
+    assert jobs < 3 * few + 60 and jobs < 40 * 5
+
+    def plain(k):
+        best = np.inf
+        for s in range(30):
+            c = x[np.random.default_rng(s).choice(len(x), k, replace=False)]
+            for _ in range(100):
+                near = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+                c = np.array([x[near == i].mean(0) if (near == i).any() else c[i] for i in range(k)])
+            best = min(best, ((x[:, None] - c[None]) ** 2).sum(2).min(1).sum())
+        return best
+
+    for k in (1, 2, 3, 4, 5):
+        assert fits[k].cost <= plain(k) * 1.0001 and len(fits[k].centres) == k
+        own = ((x[:, None] - np.array(fits[k].centres)[None]) ** 2).sum(2)
+        assert fits[k].cost == pytest.approx(own.min(1).sum(), rel=1e-9)
+    got = {r["e"]: r["cluster"] for r in K.assigned(df, fits[5]).collect()}
+    assert [got[i] for i in range(len(x))] == own.argmin(1).tolist()
+    same = spark.createDataFrame([(i, Vectors.dense([1.0, 2.0])) for i in range(6)], POINTS)
+    assert K.fit_all(same, [3], 2)[3].centres == [[1.0, 2.0]] and K.fit_all(same, [3], 2)[3].cost == 0
+    with pytest.raises(ValueError):
+        K.fit_all(same.filter("e > 9"), [2])

@@ -89,6 +89,36 @@ def test_correlation(spark):
     assert sorted((r["a"], r["b"]) for r in lower.collect()) == [("b", "a"), ("c", "a"), ("c", "b")]
 
 
+def test_correlation_of_many_columns(spark):
+    """300 columns with gaps, offsets and scales, a constant, one that is constant in some pairs, and one with a single value."""
+    rng = np.random.default_rng(4)
+    n, d = 400, 300
+    x = rng.normal(size=(n, d)) + rng.normal(size=(n, 1))
+    x = x * 10.0 ** rng.integers(-6, 7, d) + 10.0 ** rng.integers(-3, 2, d)
+    gaps = rng.random((n, d)) < 0.1
+    x[:, 7] = 0.3
+    gaps[:200, 11], x[200:, 12], gaps[200:, 13] = True, 5.5, True
+    gaps[1:, 17] = True
+    names = [f"c{i}" for i in range(d)]
+    df = spark.createDataFrame([[None if g else float(v) for v, g in zip(*r)] for r in zip(x, gaps)],
+                               ", ".join(f"{c} double" for c in names)).repartition(4)
+    got = {(r["a"], r["b"]): r["r"] for r in P.correlation_matrix(df, names, digits=9).collect()}
+    assert len(got) == d * d
+    for i, j in [(i, j) for i in range(d) for j in (7, 11, 12, 13, 17, (i * 31 + 5) % d, i)]:
+        both = ~gaps[:, i] & ~gaps[:, j]
+        a, b = x[both, i], x[both, j]
+        if len(a) < 2 or a.min() == a.max() or b.min() == b.max():
+            assert got[names[i], names[j]] is None, (i, j)
+        else:
+            assert got[names[i], names[j]] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=2e-7), (i, j)
+
+
+def test_correlation_of_nothing(spark):
+    df = spark.createDataFrame([(1.0, None)], "a double, b double")
+    assert [r["r"] for r in P.correlation_matrix(df, ["a", "b"]).collect()] == [None] * 4
+    assert [r["r"] for r in P.correlation_matrix(df.filter("a > 1"), ["a", "b"]).collect()] == [None] * 4
+
+
 def test_constants_over_many_partitions(spark):
     df = spark.range(1000).select(F.lit(0.1).alias("c"), F.rand(1).alias("x"), (F.col("id") * 0.1).alias("y")).repartition(8)
     got = {(r["a"], r["b"]): r["r"] for r in P.correlation_matrix(df, ["c", "x", "y"]).collect()}
@@ -107,6 +137,19 @@ def test_histogram(spark):
     assert sum(r["count"] for r in flat) == 2
 
 
+def test_density_of_many_scales(spark):
+    """Far outliers, ties, and cells far apart; absolute error against the kernel's peak."""
+    rng = np.random.default_rng(2)
+    data = np.concatenate([rng.normal(1e6, 1, 3000), rng.exponential(40, 2000) + 1e6, np.full(500, 1e6 + 3.25), [1e6 + 9000.0]])
+    df = spark.createDataFrame([(float(v),) for v in data], "v double").repartition(3)
+    got = P.density(df, "v", 700).orderBy("i").collect()
+    h = np.std(data, ddof=1) * len(data) ** -0.2
+    want = [np.exp(-0.5 * ((r["x"] - data) / h) ** 2).mean() / (h * math.sqrt(2 * math.pi)) for r in got]
+    assert np.abs(np.array([r["density"] for r in got]) - want).max() * h < 1e-12
+    plan = P.density(df, "v", 700)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode") < plan.rindex("HashAggregate")  # cells, not values, are spread
+
+
 def test_density_is_the_whole_sum(spark):
     rng = random.Random(1)
     data = [rng.gauss(3, 2) for _ in range(60)] + [100.0]
@@ -154,6 +197,24 @@ def test_nearest_on_axis(spark, axis):
     assert got == {i: nearest(axis, x) for i, x in enumerate(xs)}
 
 
+def test_nearest_with_an_outlier_and_a_hot_place(spark):
+    """2,000 axis values and a fill value; a third of the points at one place, some missing."""
+    axis = [i * 0.5 for i in range(2000)] + [1e10]
+    points = spark.range(6000).select(
+        "id", F.when(F.col("id") % 3 == 0, 250.2).when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") % 11 == 0, float("nan"))
+        .otherwise(F.col("id") * 0.21 - 20).alias("x"), F.lit("kept").alias("_gap"))
+    found = G.nearest_on_axis(points, "x", spark.createDataFrame([(a,) for a in axis], "at double"), "at", "cell")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    got = found.collect()
+    assert len(got) == 6000 and all(r["_gap"] == "kept" for r in got)
+    for r in got:
+        missing = r["x"] is None or math.isnan(r["x"])
+        assert r["cell"] == (None if missing else nearest(axis, r["x"])), r
+    slices = found.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0]
+    assert slices < 4000  # the hot place is split
+
+
 def test_tie_follows_the_index_on_a_descending_axis(spark):
     cells = spark.createDataFrame([(2.5, 0), (1.5, 1), (0.5, 2)], "at double, i int")
     points = spark.createDataFrame([(2.0,), (1.0,), (None,)], "x double")
