@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -11,11 +12,9 @@ import numpy as np
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +22,7 @@ from ..functions import scalars as X
 from ..session import materialise
 from .features import READY, assembler, bounded_sample, median_stage, scale_stage, seeded_order, standard_scale
 from .positions import contiguous_folds, stratified_folds, with_positions
+from .trees import first_trees
 
 # Seeds, defaults and search grids of the models.
 SEED = 42
@@ -81,21 +81,54 @@ def fit_classifier(
     values = params or (FOREST_DEFAULT if kind == "forest" else BOOST_DEFAULT)
     if grid:
         folded = materialise(stratified_folds(ready, label, key, folds, SEED))
-        score = MulticlassClassificationEvaluator(metricName="f1", labelCol="label")
-        values = _search(folded, [(v, estimator(v)) for v in grid_points(grid)], score, folds, parallelism)
+        values = _search(folded, grid, "numTrees" if kind == "forest" else "maxIter", estimator, folds, parallelism, True)
     model = estimator(values).fit(ready)
     decode = IndexToString(inputCol="prediction", outputCol="predicted", labels=list(indexer.labels))
     return PipelineModel(stages=[*prepare.stages, model, decode])
 
 
-def _search(folded: DataFrame, candidates: list, evaluator, folds: int, parallelism: int) -> dict:
-    """The candidate with the best mean score over the folds in column ``fold``."""
-    search = CrossValidator(
-        estimator=Pipeline(stages=[]), evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism)
-    maps = [{search.getEstimator().stages: [candidate]} for _, candidate in candidates]
-    scores = search.setEstimatorParamMaps(maps).fit(folded).avgMetrics
-    pick = max if evaluator.isLargerBetter() else min
-    return candidates[scores.index(pick(scores))][0]
+def _search(folded: DataFrame, grid: dict[str, list], size: str, estimator, folds: int, parallelism: int, classes: bool) -> dict:
+    """The grid point with the best mean score over the folds in column ``fold``, the first of equals.
+
+    Points that differ only in ``size``, the number of trees, share a fit of the largest: boosting passes the smaller
+    ones on its way, and of a forest the first trees are one of that size. All sizes of a chain are scored in one job.
+    """
+    points = grid_points(grid)
+    chains: dict[tuple, list[int]] = {}
+    for v in points:
+        chains.setdefault(tuple((k, x) for k, x in v.items() if k != size), []).append(v[size])
+
+    def score(task) -> list[tuple[dict, float]]:
+        rest, fold = task
+        model = estimator(dict(rest) | {size: max(chains[rest])}).fit(folded.filter(F.col("fold") != fold))
+        held = folded.filter(F.col("fold") == fold).select("label", "features")
+        for n in chains[rest]:
+            part = model if n == max(chains[rest]) else first_trees(model, n)
+            held = part.setPredictionCol(f"_p{n}").transform(held).select(*held.columns, f"_p{n}")
+        sizes = [F.struct(F.lit(n).alias("n"), F.col(f"_p{n}").alias("p")) for n in chains[rest]]
+        each = held.select("label", F.inline(F.array(*sizes)))
+        found = _weighted_f1(each) if classes else {
+            r["n"]: r["e"] for r in each.groupBy("n").agg(F.sqrt(F.avg((F.col("p") - F.col("label")) ** 2)).alias("e")).collect()}
+        return [(dict(rest) | {size: n}, found[n]) for n in chains[rest]]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = [x for found in pool.map(score, product(chains, range(folds))) for x in found]
+    mean = [sum(s for v, s in scores if v == point) / folds for point in points]
+    return points[mean.index((max if classes else min)(mean))]
+
+
+def _weighted_f1(pairs: DataFrame) -> dict[int, float]:
+    """Per ``n`` the mean F1 of the classes, weighted by their rows; from counts of (label, prediction) pairs."""
+    out: dict[int, float] = {}
+    counts = pairs.groupBy("n", "label", "p").agg(F.count(F.lit(1)).alias("k")).collect()
+    for n in {r["n"] for r in counts}:
+        own = [(r["label"], r["p"], r["k"]) for r in counts if r["n"] == n]
+        rows = sum(k for _, _, k in own)
+        out[n] = 0.0
+        for c in {label for label, _, _ in own}:
+            support, called = sum(k for a, _, k in own if a == c), sum(k for _, p, k in own if p == c)
+            out[n] += support / rows * 2 * sum(k for a, p, k in own if a == p == c) / (support + called)
+    return out
 
 
 def regressor_folds(rows: int) -> int:
@@ -147,8 +180,7 @@ def fit_regressor(
         boost = lambda v: GBTRegressor(seed=SEED, labelCol="label", **BOOST_SAMPLING, **v)
         if grid:
             folded = materialise(contiguous_folds(ready, order, folds))
-            score = RegressionEvaluator(metricName="rmse", labelCol="label")
-            values = _search(folded, [(v, boost(v)) for v in grid_points(grid)], score, folds, parallelism)
+            values = _search(folded, grid, "maxIter", boost, folds, parallelism, False)
         model = boost(values).fit(ready)
     else:
         raise ValueError(f"unknown regressor {kind!r}")

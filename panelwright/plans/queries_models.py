@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
-from ..operators import clean, evaluation, features, models
+from ..operators import clean, evaluation, features, models, trees
 from ..operators import clusters as K
 from ..operators.clean import round_numeric
 from ..session import materialise, scratch_path
@@ -274,6 +274,23 @@ def permutation(spark, sf):
     return round_numeric(models.permutation_importance(model, test, "class", KEY), 6)
 
 
+@query("attribution", _RULED + f"""
+SELECT o_orderkey, feature, CASE WHEN feature = 'month' THEN CAST(CASE WHEN month >= 7 THEN 1 ELSE -1 END AS INTEGER) ELSE 0 END AS direction,
+       0.0::DOUBLE AS gap
+FROM (SELECT * FROM test ORDER BY md5(concat_ws('|', {models.SEED}, o_orderkey)), o_orderkey LIMIT {models.SAMPLE_ROWS}),
+     (VALUES ('month'), ('noise')) f(feature)
+""")
+def attribution(spark, sf):
+    """Attributions of a bounded sample; base and attributions sum to the probability, all of it is the month's."""
+    model, test = _single(spark, sf)
+    parts = trees.attributions(model, test, KEY).filter("output = 'late'")
+    share = models.class_probabilities(model, test, KEY).select(*KEY, "p_late")
+    total = parts.groupBy(*KEY).agg((F.sum("attribution") + F.max("base")).alias("total")).join(share, KEY)
+    gap = total.select(*KEY, F.round(F.abs(F.col("total") - F.col("p_late")), 9).alias("gap"))
+    return parts.join(gap, KEY).select(
+        *KEY, "feature", F.signum(F.round("attribution", 9)).cast("int").alias("direction"), "gap")
+
+
 @query("bounded_sample", f"""
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(concat_ws('|', {models.SEED}, o_orderkey)), o_orderkey
 LIMIT {models.SAMPLE_ROWS}

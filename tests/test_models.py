@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -13,6 +14,7 @@ from panelwright.operators import clusters as K
 from panelwright.operators import evaluation as E
 from panelwright.operators import features as D
 from panelwright.operators import models as M
+from panelwright.operators import trees as TR
 from panelwright.plans import training as T
 from panelwright.sources.model_store import load_model, save_model
 
@@ -252,3 +254,114 @@ def test_every_start_at_once(spark):
     assert K.fit_all(same, [3], 2)[3].centres == [[1.0, 2.0]] and K.fit_all(same, [3], 2)[3].cost == 0
     with pytest.raises(ValueError):
         K.fit_all(same.filter("e > 9"), [2])
+
+
+@pytest.fixture(scope="module")
+def gridded(spark):
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(240, 3)), 2)
+    y = np.digitize(x[:, 0] + 0.5 * x[:, 1] * (x[:, 2] > 0), [-0.5, 0.6]).astype(float)
+    rows = [(int(i % 3), float(v), Vectors.dense(r)) for i, (v, r) in enumerate(zip(y, x))]
+    return spark.createDataFrame(rows, VECTORS).repartition(2).cache()
+
+
+def predictions(model, df):
+    return [r["prediction"] for r in model.transform(df).orderBy("features", "fold").collect()]
+
+
+def test_first_rounds_of_boosting_are_the_shorter_model(gridded):
+    from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+    from pyspark.ml.regression import GBTRegressor
+
+    df = gridded.select("*", F.col("features").cast("string").alias("_o"))
+    sort = lambda m: [r["prediction"] for r in m.transform(df).orderBy("_o", "fold", "label").collect()]
+    make = lambda n: GBTRegressor(maxIter=n, maxDepth=3, seed=5, subsamplingRate=0.8).fit(df)
+    assert sort(TR.first_trees(make(6), 3)) == sort(make(3))
+    many = lambda n: OneVsRest(classifier=GBTClassifier(maxIter=n, maxDepth=2, seed=5)).fit(df)
+    assert sort(TR.first_trees(many(4), 2)) == sort(many(2))
+    forest = RandomForestClassifier(numTrees=5, seed=3).fit(df)
+    short = TR.first_trees(forest, 2)
+    assert short.getNumTrees == 2 and [t.toDebugString for t in short.trees] == [t.toDebugString for t in forest.trees[:2]]
+
+
+def test_staged_search_equals_cross_validation(gridded):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.tuning import CrossValidator
+
+    grid = {"maxIter": [1, 4], "maxDepth": [1, 3]}
+    make = lambda v: GBTRegressor(seed=1, labelCol="label", **v)
+    points = M.grid_points(grid)
+    cv = CrossValidator(estimator=Pipeline(stages=[]), numFolds=3, foldCol="fold",
+                        evaluator=RegressionEvaluator(metricName="rmse"))
+    cv.setEstimatorParamMaps([{cv.getEstimator().stages: [make(v)]} for v in points])
+    metrics = cv.fit(gridded).avgMetrics
+    assert M._search(gridded, grid, "maxIter", make, 3, 2, False) == points[int(np.argmin(metrics))]
+
+
+def test_weighted_f1(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    rng = random.Random(4)
+    rows = [(n, float(rng.randint(0, 3)), float(rng.randint(0, 4))) for n in (1, 2) for _ in range(60)]
+    df = spark.createDataFrame(rows, "n int, label double, p double")
+    got = M._weighted_f1(df)
+    for n in (1, 2):
+        want = MulticlassClassificationEvaluator(metricName="f1", predictionCol="p").evaluate(df.filter(F.col("n") == n))
+        assert got[n] == pytest.approx(want)
+
+
+def shapley(nodes, x, width):
+    """Shapley values of one tree for one row, by every subset of known features."""
+    from itertools import combinations
+
+    def value(known, i=0):
+        n = nodes[i]
+        if n["left"] < 0:
+            return np.array(n["value"])
+        if n["feature"] in known:
+            return value(known, n["left"] if x[n["feature"]] <= n["threshold"] else n["right"])
+        a, b = nodes[n["left"]], nodes[n["right"]]
+        return (value(known, n["left"]) * a["rows"] + value(known, n["right"]) * b["rows"]) / n["rows"]
+
+    out = []
+    for j in range(width):
+        others = [k for k in range(width) if k != j]
+        out.append(sum(
+            math.factorial(len(s)) * math.factorial(width - len(s) - 1) / math.factorial(width)
+            * (value({*s, j}) - value(set(s))) for r in range(width) for s in combinations(others, r)))
+    return np.array(out), value(set())
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosted", "regressor"])
+def test_attributions_are_shapley_values(spark, panel, kind):
+    names = ["water_stress_score", "drought_risk_score", "tws_anomaly_cm"]
+    small = panel.filter("country_code < 'C3'")
+    if kind == "regressor":
+        model = M.fit_regressor(small, names, "drought_composite_score", KEY, "boosted", {"maxIter": 3, "maxDepth": 3})
+    else:
+        params = {"numTrees": 3, "maxDepth": 5} if kind == "forest" else {"maxIter": 2, "maxDepth": 3}
+        model = M.fit_classifier(small, names, "drought_risk_class", KEY, kind, params)
+    found = TR.attributions(model, small, KEY, at_most=12).collect()
+    assert len({(r["country_code"], r["date"]) for r in found}) == 12
+    learner = M._learner(model)
+    by_tree = {}
+    for r in TR.tree_nodes(learner).collect():
+        by_tree.setdefault(r["tree"], {})[r["node"]] = r
+    scored = model.transform(small)
+    if kind == "forest":
+        scored = scored.withColumn("_out", vector_to_array("probability"))
+    elif kind == "regressor":
+        scored = scored.withColumn("_out", F.array("prediction"))
+    else:  # margins of the boosters, which leave out the factor of the loss
+        scored = scored.withColumn("_out", vector_to_array("rawPrediction"))
+    scored = {(r["country_code"], r["date"]): r for r in scored.withColumn("_x", vector_to_array("features")).collect()}
+    outputs = list(dict.fromkeys(r["output"] for r in found))
+    got = {(r["country_code"], r["date"], r["output"], r["feature"]): r for r in found}
+    for k in {(r["country_code"], r["date"]) for r in found}:
+        want = [shapley(t, scored[k]["_x"], 3) for t in by_tree.values()]
+        for c, o in enumerate(outputs):
+            mine = [got[(*k, o, f)] for f in names]
+            assert [r["attribution"] for r in mine] == pytest.approx([sum(w[0][j][c] for w in want) for j in range(3)], abs=1e-9)
+            assert sum(r["attribution"] for r in mine) + mine[0]["base"] == pytest.approx(scored[k]["_out"][c], abs=1e-9)
