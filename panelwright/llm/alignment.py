@@ -13,8 +13,7 @@ Corpus-wide counts of linked id pairs: every text brings its distinct pairs with
 and the counts go back to blocks of texts rather than to texts: a block, of bounded size, asks once for each pair it
 holds, so a pair that every text has is asked for once a block, and the join moves no text.
 
-Words repeat, so worker processes remember the identifiers of words (at most ``MEMORY``, none longer than ``LONG``
-characters); both libraries give a word the same identifiers alone as within a text, which tests check.
+The tokens come from the vocabularies' public libraries.
 
 Defined cases: texts that are null or empty, and texts whose joined token bytes differ from space and text (U+2581 comes
 back as a space), have no tokens: all numbers are 0 and the text of the groups is ''. Repeated rows and ids are
@@ -28,11 +27,11 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +43,11 @@ from .bpe_counts import PATTERN
 from .word_bpe import byte_characters
 
 SPACE = "▁"
-MEMORY, LONG = 200_000, 64
+#: A word of this many characters is long; so is a run of white space.
+LONG = 1000
+BLANKS = re.compile(r"\s{%d}" % LONG).search
 #: Texts aligned at once, in characters; entries of a product made at once; characters of a block of texts.
 AT_ONCE, ENTRIES, BLOCK = 500_000, 1_000_000, 4_000_000
-RUNS = re.compile(" *[^ ]+| +")
 
 
 @dataclass
@@ -108,40 +108,26 @@ def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
 
-class Remembering:
-    """Packed identifiers of words; ``_ask`` has those of new ones from a library."""
+class ByteLevel:
+    """Identifiers of texts with a space before them by a byte-level vocabulary; added tokens in a text are plain text.
 
-    def __init__(self):
-        self.known: dict[str, bytes] = {}
-
-    def packed(self, words: list[str]) -> bytes:
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        fresh = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(fresh) > MEMORY:
-            known.clear()
-            fresh = list(dict.fromkeys(words))
-        known.update(zip(fresh, (np.array(ids, dtype="<i4").tobytes() for ids in self._ask(fresh))))
-        found = b"".join(map(known.__getitem__, words))
-        for w in fresh:
-            if len(w) > LONG:
-                del known[w]
-        return found
-
-
-class ByteLevel(Remembering):
-    """Identifiers of space and text by a byte-level vocabulary; added tokens in a text are plain text."""
+    Two libraries read the vocabulary. The fast one merges any two neighbours whose bytes are a token, which is the
+    same as the file's merges if each of these makes a new token, in the order of identifiers; it is slow on one very
+    long word, so texts with such a word, and files of another order, are left to the other.
+    """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, held: list[bytes]):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.library = Tokenizer.from_str(spec)
         self.library.encode_special_tokens = True
-        self.words = regex.compile(PATTERN).findall
+        model = json.loads(spec)["model"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"].get(left + right, -1) for left, right in pairs]
+        ordered = made == list(range(256, 256 + len(made))) and len(held) == 256 + len(made)
+        self.fast = tiktoken.Encoding(
+            "vocabulary", pat_str=PATTERN, mergeable_ranks={h: i for i, h in enumerate(held)}, special_tokens={}) if ordered else None
 
     @staticmethod
     def read(path: str) -> tuple[str, list[bytes]]:
@@ -160,30 +146,22 @@ class ByteLevel(Remembering):
             held[i] = bytes(map(byte.__getitem__, token))
         return text, held
 
-    def _ask(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch(words, add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return list(map(self._encode, texts))
 
-    def encode(self, text: str) -> bytes:
-        return self.packed(self.words(" " + text))
+    def _encode(self, text: str) -> list[int]:
+        if self.fast is None or BLANKS(text) or max(map(len, text.split()), default=0) >= LONG:
+            return self.library.encode(" " + text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(" " + text)
 
 
-class PieceModel(Remembering):
-    """Identifiers of a text by a piece model, which puts a space before it.
-
-    No piece has a space behind another character, so texts are cut before each run of spaces and cuts are encoded alone;
-    a model of which that is not true encodes whole texts.
-    """
+class PieceModel:
+    """Identifiers of texts by a piece model, which puts a space before each."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
-        super().__init__()
-        self.library = lib = sentencepiece.SentencePieceProcessor(model_proto=model)
-        names = [lib.id_to_piece(i) for i in range(lib.get_piece_size()) if not lib.is_control(i)]
-        probe = "  A  b\t\n cﬁＡ "
-        self.cut = (all(SPACE not in name.lstrip(SPACE) for name in names) and SPACE in names
-                    and lib.decode(lib.encode(probe)) == probe and lib.encode("b", out_type=str)[0].startswith(SPACE))
-        self.space = lib.piece_to_id(SPACE)
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
 
     @staticmethod
     def read(path: str) -> tuple[bytes, list[bytes]]:
@@ -196,18 +174,8 @@ class PieceModel(Remembering):
         names = [(i, lib.id_to_piece(i)) for i in range(lib.get_piece_size())]
         return model, [bytes([int(name[3:5], 16)]) if lib.is_byte(i) else name.replace(SPACE, " ").encode() for i, name in names]
 
-    def _ask(self, words: list[str]) -> list[list[int]]:
-        found = self.library.encode(words, num_threads=1)
-        return [ids if w or not self.cut else [self.space] for w, ids in zip(words, found)]  # '' stands for a lone space
-
-    def encode(self, text: str) -> bytes:
-        if not self.cut:
-            return np.array(self.library.encode(text), dtype="<i4").tobytes()
-        if not text:
-            return b""
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            return self.packed([c[1:] for c in RUNS.findall(" " + text)])
-        return self.packed(text.split(" "))
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.library.encode(texts, num_threads=1)
 
 
 class Side:
@@ -220,9 +188,10 @@ class Side:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Identifiers of all texts one after another, and how many each text has."""
-        packed = [self.encoder.encode(t) if t else b"" for t in texts]
-        ids = np.frombuffer(b"".join(packed), dtype="<i4")
-        return ids, np.array([len(p) >> 2 for p in packed], dtype=np.int64)
+        n, full = np.zeros(len(texts), dtype=np.int64), [i for i, t in enumerate(texts) if t]
+        found = self.encoder.encode([texts[i] for i in full])
+        n[full] = list(map(len, found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(n.sum())), n
 
     def joined(self, ids: np.ndarray) -> memoryview:
         if not len(ids):
@@ -327,7 +296,7 @@ def _sides(spark, byte_file: str, piece_file: str):
         at_hand = shared.value
         if "made" not in at_hand:
             (spec, held_a), (model, held_b) = at_hand["a"], at_hand["b"]
-            at_hand["made"] = (Side(ByteLevel(spec), held_a), Side(PieceModel(model), held_b), Writer(len(held_a), len(held_b)))
+            at_hand["made"] = (Side(ByteLevel(spec, held_a), held_a), Side(PieceModel(model), held_b), Writer(len(held_a), len(held_b)))
         return at_hand["made"]
 
     return make

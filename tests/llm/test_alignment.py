@@ -88,6 +88,21 @@ def some(seed):
         None, "", "<|endoftext|> <s> </s> <unk>", "a▁b", "漢字かな交じり文 😀😀👩‍👩‍👧", "x" * 700, " " * 90, "x ", " x", "  ", "\x00", "é" * 40]
 
 
+def test_both_libraries_of_a_byte_level_vocabulary(libraries):
+    """Every code point in context, and strings of merges that compete."""
+    spec, held = alignment.ByteLevel.read(FILES[0])
+    encoder = alignment.ByteLevel(spec, held)
+    assert encoder.fast is not None
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"{c}a{c}{c} {c}1" for c in points[i:i + 64]) for i in range(0, len(points), 64)]
+    rng = random.Random(9)
+    texts += ["".join(rng.choice(["a", "aa", "the", "in", "ing", " t", "he", "re", "er", "1", "00", "==", "--"]) for _ in range(60))
+              for _ in range(3000)] + strings(3000, 8) + ["ab" * 2000, " " * 3000 + "x"]
+    library = [e.ids for e in libraries[0].encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    for text, got, want in zip(texts, encoder.encode(texts), library):
+        assert got == want, ascii(text)
+
+
 def test_equals_looking_at_every_pair(spark, libraries, monkeypatch):
     texts = some(1)
     texts += texts[:5]
@@ -98,13 +113,13 @@ def test_equals_looking_at_every_pair(spark, libraries, monkeypatch):
 
 
 def test_bounds_change_nothing(libraries, monkeypatch):
-    """Small batches, products and memories give the same matrices."""
+    """Either library of the byte-level side, and products made in small runs, give the same matrices."""
     (spec, held_a), (model, held_b) = alignment.ByteLevel.read(FILES[0]), alignment.PieceModel.read(FILES[1])
     texts = [t or "" for t in some(2)]
-    sides = lambda: (alignment.Side(alignment.ByteLevel(spec), held_a), alignment.Side(alignment.PieceModel(model), held_b))
+    sides = lambda: (alignment.Side(alignment.ByteLevel(spec, held_a), held_a), alignment.Side(alignment.PieceModel(model), held_b))
     whole = alignment.Aligned(*sides(), texts)
     every = {kind: [np.concatenate(x) for x in zip(*whole.links(kind))] for kind in ("overlap", "group")}
-    monkeypatch.setattr(alignment, "MEMORY", 7)
+    monkeypatch.setattr(alignment, "LONG", 3)
     monkeypatch.setattr(alignment, "ENTRIES", 5)
     again = alignment.Aligned(*sides(), texts)
     assert whole.ids_a.tolist() == again.ids_a.tolist() and whole.ids_b.tolist() == again.ids_b.tolist()
