@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import aggregates as A
+from ..operators import incremental
 from ..operators import profile as P
 from ..operators.clean import clean_indicators, round_numeric
-from ..session import materialise
+from ..session import materialise, scratch_path
 from . import inputs as I
 from .read_views import filtered, preview
 from .registry import query
@@ -181,6 +182,31 @@ def describe(spark, sf):
     return P.describe(I.table(spark, sf, "lineitem"), _DESCRIBED)
 
 
+@query("incremental_profile", "WITH " + I.PANEL + """,
+gappy AS (SELECT e, CASE WHEN v_cents % 5 <> 0 THEN v END AS v, strftime(t, '%Y-%m') AS month FROM panel)
+SELECT 'e' AS "column", count(*) AS rows, count(e) AS count, count(*) - count(e) AS missing, round_even(avg(e), 4) AS mean,
+       round_even(stddev_samp(e), 4) AS std, min(e)::DOUBLE AS min, max(e)::DOUBLE AS max, NULL::VARCHAR AS first, NULL::VARCHAR AS last,
+       count(DISTINCT e) AS few_distinct FROM gappy
+UNION ALL
+SELECT 'v', count(*), count(v), count(*) - count(v), round_even(avg(v), 4), round_even(stddev_samp(v), 4), min(v), max(v), NULL, NULL,
+       NULL FROM gappy
+UNION ALL
+SELECT 'month', count(*), count(month), count(*) - count(month), NULL, NULL, NULL, NULL, min(month), max(month), NULL FROM gappy
+""")
+def incremental_profile(spark, sf):
+    """Years added later are the only ones read for the second profile. Few distinct values are told exactly."""
+    panel = materialise(I.monthly_panel(spark, sf).select(
+        "e", F.when(F.col("v_cents") % 5 != 0, F.col("v")).alias("v"), X.month_text("t").alias("month"), F.year("t").alias("y")))
+    path, states = scratch_path(spark, "panel"), scratch_path(spark, "states")
+    panel.filter("y < 1997").write.partitionBy("y").parquet(path)
+    incremental.refresh_profile(spark, path, states, "y")
+    panel.filter("y >= 1997").write.mode("append").partitionBy("y").parquet(path)
+    profile, _ = incremental.refresh_profile(spark, path, states, "y")
+    few = F.when(F.col("column") == "e", F.col("about_distinct"))
+    return profile.select("column", "rows", "count", "missing", X.round_even("mean").alias("mean"), X.round_even("std").alias("std"),
+                          "min", "max", "first", "last", few.alias("few_distinct"))
+
+
 @query("null_profile", "WITH " + I.CLEAN + " SELECT * FROM (" + " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing,
     round_even((count(*) - count({c})) * 100.0::DOUBLE / count(*), 2) AS percent FROM clean"""

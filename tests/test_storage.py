@@ -1,10 +1,13 @@
 """Stored panels, pruning, and keyword tables."""
 
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as X
+from panelwright.operators import incremental as N
 from panelwright.operators import joins as J
 from panelwright.operators import series as S
 from panelwright.operators.keywords import first_keyword_of_table
@@ -99,3 +102,53 @@ def test_keyword_table_equals_the_list(spark):
     assert {r["i"] for r in first_keyword_of_table(docs, "text", empty, "name").filter("name is not null").collect()} == {
         i for i, t in enumerate(texts) if t is not None}
     assert first_keyword_of_table(docs, "text", table.limit(0), "name").filter("name is not null").isEmpty()
+
+
+def test_profile_reads_only_new_partitions(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(y, rng.gauss(1e6, 3) if rng.random() < 0.9 else None, f"w{rng.randint(0, 5000)}" if rng.random() < 0.8 else None,
+             float("nan") if rng.random() < 0.1 else float(rng.randint(0, 9))) for y in (2000, 2001, 2002, None) for _ in range(3000)]
+    rows += [(2003, None, None, None)] * 5
+    df = spark.createDataFrame(rows, "y int, v double, w string, k double").cache()
+    path, states = str(tmp_path / "t"), str(tmp_path / "s")
+    df.filter("y < 2002 or y is null").write.partitionBy("y").parquet(path)
+    _, fresh = N.refresh_profile(spark, path, states, "y")
+    assert fresh == [None, 2000, 2001]
+    df.filter("y >= 2002").write.mode("append").partitionBy("y").parquet(path)
+    profile, fresh = N.refresh_profile(spark, path, states, "y")
+    assert fresh == [2002, 2003]
+
+    def check(profile, whole):
+        got = {r["column"]: r for r in profile.collect()}
+        for c in ("v", "w", "k"):
+            known = [x for r in whole if (x := r[c]) is not None and x == x]
+            assert got[c]["rows"] == len(whole) and got[c]["count"] == len(known) and got[c]["missing"] == len(whole) - len(known)
+            assert abs(got[c]["about_distinct"] / len(set(known)) - 1) < 0.06
+            if c == "w":
+                assert (got[c]["first"], got[c]["last"]) == (min(known), max(known)) and got[c]["mean"] is None
+                continue
+            mean = math.fsum(known) / len(known)
+            assert got[c]["mean"] == pytest.approx(mean, rel=1e-13) and (got[c]["min"], got[c]["max"]) == (min(known), max(known))
+            assert got[c]["std"] == pytest.approx(math.sqrt(math.fsum((x - mean) ** 2 for x in known) / (len(known) - 1)), rel=1e-9)
+            for q in (0.25, 0.5, 0.75):
+                at = got[c][f"about_p{int(q * 100)}"]
+                below, upto = sum(x < at for x in known) / len(known), sum(x <= at for x in known) / len(known)
+                assert below - 0.03 <= q <= upto + 0.03
+
+    check(profile, df.collect())
+    again, fresh = N.refresh_profile(spark, path, states, "y")
+    assert fresh == []
+    check(again, df.collect())
+    # a partition made anew
+    other = df.filter("y = 2001").withColumn("v", F.col("v") + 5)
+    other.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("y").parquet(path)
+    spark.catalog.refreshByPath(path)
+    profile, fresh = N.refresh_profile(spark, path, states, "y")
+    assert fresh == [2001]
+    check(profile, df.filter("y <> 2001 or y is null").union(other).collect())
+    # the states serve a table that lacks some partitions
+    fewer = str(tmp_path / "u")
+    df.filter("y >= 2002").write.partitionBy("y").parquet(fewer)
+    profile, fresh = N.refresh_profile(spark, fewer, states, "y")
+    assert fresh == [2002, 2003]
+    check(profile, df.filter("y >= 2002").collect())
