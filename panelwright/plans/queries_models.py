@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..functions import scalars as X
 from ..operators import clean, evaluation, features, models, trees
 from ..operators import clusters as K
@@ -52,6 +53,26 @@ def _classified(model, test):
     return shares.select("o_orderkey", "class", "predicted", F.round(total, 6).alias("total"))
 
 
+@query("feature_choice", """
+SELECT 'wanted' AS rule, feature, known FROM (
+  SELECT 'p_size' AS feature, count(p_size) AS known FROM part UNION ALL SELECT 'p_retailprice', count(p_retailprice) FROM part)
+UNION ALL
+SELECT 'numeric', feature, known FROM (
+  SELECT 'p_size' AS feature, count(p_size) AS known FROM part UNION ALL SELECT 'p_retailprice', count(p_retailprice) FROM part)
+""")
+def feature_choice(spark, sf):
+    """M1: wanted columns that exist; where none does, all numeric ones but the key."""
+    part = I.table(spark, sf, "part")
+    found = None
+    for rule, wanted in (("wanted", ["p_retailprice", "p_size", "p_weight"]), ("numeric", ["p_weight"])):
+        names = C.feature_columns(part, wanted, ["p_partkey"])
+        known = part.agg(*[F.count(c).alias(c) for c in names])
+        cells = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("feature"), F.col(c).alias("known")) for c in names])
+        rows = known.select(F.inline(cells))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query("impute_median", "WITH " + I.SPARSE + """,
 m AS (SELECT median(p1) AS m1, median(p2) AS m2, median(p3) AS m3, median(p4) AS m4, median(p5) AS m5 FROM sparse)
 SELECT e, y, round_even(coalesce(p1, m1), 4) AS p1, round_even(coalesce(p2, m2), 4) AS p2,
