@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from .arrow import map_texts
 
-MEMORY, LONG = 400_000, 64
+MEMORY, LONG = 250_000, 64
 CONTROLS = re.compile("[\x1c-\x1f]").search
 #: Steps of the files that can be read here; anything else is refused.
 NORMALISERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -177,13 +177,15 @@ class Encoder:
         """Identifiers of a part of a text without white space."""
         found = []
         for w in self._words(part):
-            ids = self.known_words.get(w)
+            # a word of ASCII is its own part; others may change when they are normalised again
+            memory = self.known if w.isascii() else self.known_words
+            ids = memory.get(w)
             if ids is None:
                 ids = np.array(self.v.merged(w.encode()), dtype="<i4").tobytes()
                 if len(w) <= LONG:
-                    if len(self.known_words) >= MEMORY:
-                        self.known_words.clear()
-                    self.known_words[w] = ids
+                    if memory is self.known_words and len(memory) >= MEMORY:
+                        memory.clear()
+                    memory[w] = ids
             found.append(ids)
         return b"".join(found)
 
@@ -204,7 +206,7 @@ class Encoder:
         found = b"".join(map(known.__getitem__, parts))
         for p in fresh:
             if len(p) > LONG:
-                del known[p]
+                known.pop(p, None)
         return found
 
     def encode(self, text: str) -> bytes:
