@@ -81,28 +81,18 @@ def _masked_products(data: DataFrame, columns: list[str]) -> dict[str, np.ndarra
     driver.
     """
     d = len(columns)
-    values = F.array(*columns)
-    known = F.transform(values, lambda v: F.when(v.isNull(), 0.0).otherwise(1.0))
-    plain = F.transform(values, lambda v: F.coalesce(v, F.lit(0.0)))
-    each = Summarizer.metrics("mean", "variance")
-
-    def shape(vectors: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
-        row = vectors.agg(F.count(F.lit(1)).alias("n"), each.summary(F.col("z")).alias("s")).first()
-        return row["n"], row["s"]["mean"].toArray(), row["s"]["variance"].toArray()
-
-    first = data.select(array_to_vector(F.concat(known, plain)).alias("z"))
-    n, mean, variance = shape(first)
-    share = np.maximum(mean[:d], 1e-300)
-    centre = mean[d:] / share
-    # mean of squares over all rows, then about the centre over the known ones
-    spread = (variance[d:] * (n - 1) / max(n, 1) + mean[d:] ** 2) / share - centre ** 2
-    scale = np.sqrt(np.maximum(spread, 0.0))
-    scale[scale <= 1e-12 * np.abs(centre)] = 1.0
-    scale[scale == 0] = 1.0
-    moved = F.zip_with(F.zip_with(plain, F.lit(centre.tolist()), lambda v, c: v - c), F.lit(scale.tolist()), lambda v, c: v / c)
-    moved = F.zip_with(moved, known, lambda v, m: v * m)
-    z = materialise(data.select(array_to_vector(F.concat(known, moved, F.transform(moved, lambda v: v * v))).alias("z")))
-    n, mean, variance = shape(z)
+    fitted = data.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    moved = []
+    for i, c in enumerate(columns):
+        centre, spread = fitted[f"_{i}"]["m"] or 0.0, fitted[f"_{i}"]["s"] or 0.0
+        scale = spread if spread > 1e-12 * abs(centre) else 1.0
+        moved.append((F.col(c) - F.lit(centre)) / F.lit(scale))
+    placed = data.select(*[v.alias(f"_v{i}") for i, v in enumerate(moved)])
+    values = [F.col(f"_v{i}") for i in range(d)]
+    cells = [F.when(v.isNull(), 0.0).otherwise(1.0) for v in values] + [F.coalesce(v, F.lit(0.0)) for v in values]
+    z = materialise(placed.select(array_to_vector(F.array(*cells, *[F.coalesce(v * v, F.lit(0.0)) for v in values])).alias("z")))
+    row = z.agg(F.count(F.lit(1)).alias("n"), Summarizer.metrics("mean", "variance").summary(F.col("z")).alias("s")).first()
+    n, mean, variance = row["n"], row["s"]["mean"].toArray(), row["s"]["variance"].toArray()
     related = Correlation.corr(z, "z").first()[0].toArray()
     covariance = np.nan_to_num(related) * np.sqrt(np.outer(variance, variance))
     gram = covariance * (n - 1) + n * np.outer(mean, mean)
