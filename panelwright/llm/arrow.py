@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -31,6 +32,15 @@ def runs_of(texts: list[str], most: int = AT_ONCE) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
+def give_back() -> None:
+    """Hand memory that this worker process has kept from earlier tasks back to the system, and keep less from now on."""
+    pa.default_memory_pool().release_unused()
+    pa.set_memory_pool(pa.system_memory_pool())
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_texts(
     df: DataFrame, id_cols: list[str], text_col: str, new: str, make: Maker, at_once: int = AT_ONCE,
 ) -> DataFrame:
@@ -42,13 +52,15 @@ def map_texts(
     names = schema.names
     kinds = [to_arrow_type(f.dataType) for f in schema.fields[len(id_cols):]]
     k = len(id_cols)
+    # a text that is kept is sent once
+    place = id_cols.index(text_col) if text_col in id_cols and df.schema[text_col].dataType == T.StringType() else k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = [t or "" for t in batch.column(k).to_pylist()]
+            texts = [t or "" for t in batch.column(place).to_pylist()]
             for part in runs_of(texts, at_once):
                 old = batch.slice(part.start, part.stop - part.start)
                 out = work(texts[part])
@@ -57,4 +69,5 @@ def map_texts(
 
     hidden = f"_text_{uuid.uuid4().hex}"
     text = F.col(f"`{text_col}`").cast("string").alias(hidden)
-    return df.select(*[F.col(f"`{c}`") for c in id_cols], text).mapInArrow(run, schema)
+    sent = [] if place < k else [text]
+    return df.select(*[F.col(f"`{c}`") for c in id_cols], *sent).mapInArrow(run, schema)

@@ -12,13 +12,15 @@ are confirmed on the full sets; confirmed links are the edges of the components.
 of each node; after them a candidate inside a component needs no check and is not made, and one that strong ones seemed to
 connect is confirmed after all if they turn out not to.
 
-In a dense region a node's link may lie out of reach. So where more nodes than are within reach share ``SHARED`` values, and
-not all are of one component, all of them are searched exactly: nodes of different components are joined on the rarest
-shingles of their sets, at least one of which any linked pair has in common, and confirmed on the full sets.
+In a dense region a node's link may lie out of reach. So where nodes of more components than are within reach share
+``SHARED`` values, all nodes there are searched exactly: nodes of different components are joined on the rarest
+shingles of their sets, at least one of which any linked pair has in common, and confirmed on the full sets. Where a few
+groups fill a region, a node's neighbours are members of these, and one that is nearly linked asks the whole group.
 
 A pair of similarity s shares the first d values of a tree with probability s^d. If it does in some tree, it is either
-within reach there or both are in a dense region. It is missed if it does in none: at s = 0.8 and d = ``SHARED`` in the
-trees after the first ones with probability 0.36^17, below one in a million.
+within reach there, or in a region of few groups, or both are in a dense region. It shares none at s = 0.8 and
+d = ``SHARED`` in the trees after the first ones with probability 0.488^17, 5 in a million; the estimate from 2-bit values
+falls below ``LIKELY`` for 44 in a million pairs of that similarity, and for fewer of greater.
 
 Defined cases: null and empty texts and texts of white space have the empty set, which is linked with nothing; a null id
 is a document as any other and the greatest in order; rows of one id with different texts are documents of their own;
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .arrow import map_texts
+from .arrow import give_back, map_texts
 from .components import components
 
 TREES, DEPTH, REACH = 20, 8, 16
@@ -47,7 +49,7 @@ FIRST = 3
 #: A compared pair this many percent short of a link has its node compared with the whole group of the other.
 NEARLY = 10
 #: Values that the nodes of a dense region share, and buckets that shingles are counted in to tell the rare ones.
-SHARED, BUCKETS = 2, 1 << 18
+SHARED, BUCKETS = 3, 1 << 18
 BROADCAST_BYTES = 32 << 20
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,6 +142,8 @@ def sign(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """``(id, th, n, node, signature)`` of every row; node and signature are null for the empty set."""
 
     def make():
+        give_back()
+
         def work(texts: list[str]) -> list:
             sets = sets_of(texts, size)
             full = [i for i, s in enumerate(sets) if len(s)]
@@ -170,6 +174,7 @@ def tree_rows(nodes: DataFrame, trees: range) -> DataFrame:
     """A row per node and tree: ``(tree, key, planes, node, root)``, from ``nodes(node, signature, root)``."""
 
     def run(batches):
+        give_back()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -194,6 +199,7 @@ def neighbours(rows: DataFrame, partitions: int, nearest: bool) -> DataFrame:
     """
 
     def run(batches):
+        give_back()
         words = ESTIMATED // 32
         last = first = None
 
@@ -324,11 +330,11 @@ def open_links(asks: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int
 
 
 def dense_nodes(marks: DataFrame, rooted: DataFrame) -> DataFrame:
-    """``(node)`` of dense regions that hold more than one component."""
+    """``(node)`` of dense regions that hold more components than are within reach."""
     placed = materialise(marks.select("region", F.col("a").alias("node")).join(rooted, "node", "left").select(
         "region", "node", F.coalesce("root", "node").alias("root")))
-    mixed = materialise(placed.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
-        "x <> y").select("region"))
+    groups = placed.select("region", "root").distinct().groupBy("region").agg(F.count("*").alias("k"))
+    mixed = materialise(groups.where(F.col("k") > REACH).select("region"))
     return materialise(placed.join(small(mixed, 16), "region", "left_semi").select("node").distinct())
 
 
@@ -449,6 +455,8 @@ def full_sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, i
         small(chosen, 64), F.col("id").eqNullSafe(F.col("c_id")) & (F.col("th") == F.col("c_th")), "left_semi")
 
     def make():
+        give_back()
+
         def work(texts: list[str]) -> list:
             sets = sets_of(texts, size)
             ends = np.cumsum([0] + [len(s) for s in sets])

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrow import map_texts
+from .arrow import give_back, map_texts
 
 SPACE = "▁"
 MEMORY, LONG = 300_000, 64
@@ -163,7 +163,7 @@ class Encoder:
     def __init__(self, pieces: Pieces):
         self.p = pieces
         self.part = re.compile(pieces.parts, re.DOTALL).findall
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # identifiers, four bytes each
         self.part_ids: dict[str, list[int]] = {}
         self.pair_key = np.full(PAIRS, -1, dtype=np.int64)
         self.pair_ok = np.zeros(PAIRS, dtype=bool)
@@ -373,7 +373,11 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Identifiers of each text. Cuts are kept without the space that each of them starts with."""
+        """Identifiers of each text."""
+        return [np.frombuffer(ids, dtype="<i4").tolist() for ids in self.packed(texts)]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Identifiers of each text, four bytes each. Cuts are kept without the space that each of them starts with."""
         cuts = []
         for t in texts:
             t = t.replace(SPACE, " ")
@@ -384,13 +388,13 @@ class Encoder:
         known = self.known
         missing = set(chain.from_iterable(cuts)).difference(known)
         if missing:
-            fresh = self._learn(list(missing))
+            fresh = {c: np.array(ids, dtype="<i4").tobytes() for c, ids in self._learn(list(missing)).items()}
             if len(known) + len(fresh) > MEMORY:
                 rest = {c: known[c] for cs in cuts for c in cs if c in known}
                 known.clear()
                 known.update(rest)
             known.update(fresh)
-        out = [list(chain.from_iterable(map(known.__getitem__, cs))) for cs in cuts]
+        out = [b"".join(map(known.__getitem__, cs)) for cs in cuts]
         for c in missing:
             if len(c) > LONG:
                 del known[c]
@@ -403,11 +407,22 @@ class Decoder:
     def __init__(self, pieces: Pieces):
         byte = {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
         self.of = [byte.get(i) or name.replace(SPACE, " ").encode() for i, name in enumerate(pieces.names)]
+        self.held = pa.array(self.of, pa.large_binary())
+        self.length = np.array(list(map(len, self.of)), dtype=np.int64)
 
     def decode(self, ids: list[int]) -> str:
         data = b"".join(map(self.of.__getitem__, ids))
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
+    def gives(self, ids: np.ndarray, counts: list[int], texts: list[str]) -> list[bool]:
+        """Whether the identifiers of each text, one text after another, decode to it; bytes are gathered for all at once."""
+        if not len(ids):
+            return [not t for t in texts]
+        held = memoryview(self.held.take(pa.array(ids)).buffers()[2]).cast("B")
+        ends = np.concatenate([[0], np.cumsum(self.length[ids])])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        want = [(" " + t.replace(SPACE, " ")).encode() if t else b"" for t in texts]
+        return [held[a:b] == w for a, b, w in zip(ends, ends[1:], want)]
+
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_pieces, ids, round_trip)`` of every row: identifiers, and whether decoding them gives the text back.
@@ -418,17 +433,18 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     shared = docs.sparkSession.sparkContext.broadcast({"pieces": Pieces.of(model_file)})
 
     def make():
+        give_back()
         at_hand = shared.value
         if "encoder" not in at_hand:
             at_hand["encoder"], at_hand["decoder"] = Encoder(at_hand["pieces"]), Decoder(at_hand["pieces"])
         encoder, decoder = at_hand["encoder"], at_hand["decoder"]
 
         def work(texts: list[str]) -> list:
-            rows = encoder.encode(texts)
-            counts = [len(r) for r in rows]
-            flat = np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=sum(counts))
+            rows = encoder.packed(texts)
+            counts = [len(r) >> 2 for r in rows]
+            flat = np.frombuffer(b"".join(rows), dtype="<i4")
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            same = [decoder.decode(r) == t.replace(SPACE, " ") for r, t in zip(rows, texts)]
+            same = decoder.gives(flat, counts, texts)
             return [pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), same]
 
         return work

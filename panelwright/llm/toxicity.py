@@ -283,5 +283,5 @@ def reject(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", limit: flo
     """``docs`` without those whose score reaches ``limit``; columns and other rows stay as they are."""
     # numbered columns cannot clash with those of the score
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    scored = score(plain.withColumn("body", plain[docs.columns.index(text_col)]), lexicon, plain.columns, "body")
+    scored = score(plain, lexicon, plain.columns, f"c{docs.columns.index(text_col)}")
     return scored.where(F.col("score") < limit).select(*plain.columns).toDF(*docs.columns)
