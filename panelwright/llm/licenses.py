@@ -1,15 +1,15 @@
 """License notices found by conditional compression and confirmed by their wording.
 
 A text's lines with licensing words, and short gaps between them, form candidate blocks. Each block is compressed alone
-and with every template as a raw zstandard dictionary; the templates are ranked by how much smaller that makes the block.
-They are compared with the block word by word. A template is confirmed if nearly all of its words occur in order,
-little stands between them, and no decisive word (a number, or a word that tells licenses apart) differs. A confirmed
-notice is cut out of the block and the rest is looked at again, so a block may hold several. Long blocks are looked at in
-overlapping windows that any notice fits into, and only templates nearly all of whose words occur there are tried.
-
-Defined cases: null and empty texts have no blocks; blocks of any length are taken whole; of templates that confirm alike
-the one with the larger reduction, then the first by name, wins; repeated rows are scanned row by row; other columns are
-ignored.
+and with every template as a raw zstandard dictionary; the templates are ranked by the bytes that each saves. Down this
+ranking they are compared with the block word by word, and the first that is confirmed is taken: nearly all of its words
+occur in order, little stands between them, no decisive word (a number, or a word that tells licenses apart) differs, and no
+"only" or "or later" follows. It is cut out of the block and the rest is compressed again, so a block may hold several.
+Long blocks are looked at in overlapping windows that any notice fits into. What follows "or" or "and" behind an SPDX
+identifier is read as another identifier.
+
+Defined cases: null and empty texts have no blocks; blocks of any length are taken whole; of templates that save alike the
+first by name is compared first; repeated rows are scanned row by row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,13 +48,20 @@ list of conditions and the following disclaimer in the documentation and/or othe
 distribution."""
 BSD3 = BSD + """ Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
 promote products derived from this software without specific prior written permission."""
-GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public
 License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later
 version."""
-TEMPLATES: dict[str, list[str]] = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", APACHE, "SPDX-License-Identifier: Apache-2.0"],
-    "BSD-2-Clause": [BSD, "Released under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"],
-    "BSD-3-Clause": [BSD3, "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
+EPL = """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+BOOST = """Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at
+https://www.boost.org/LICENSE_1_0.txt)"""
+NOTICES: dict[str, list[str]] = {
+    "Apache-2.0": [APACHE],
+    "BSD-2-Clause": [BSD],
+    "BSD-3-Clause": [BSD3],
+    "BSL-1.0": [BOOST],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
@@ -63,27 +70,68 @@ TEMPLATES: dict[str, list[str]] = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
                      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC0-1.0": ["Licensed under CC0 1.0.", "This work is dedicated to the public domain under CC0 1.0 Universal."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", GPL.format(2)],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", GPL.format(3)],
-    "ISC": [ISC, "Released under the ISC License."],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", MIT, "SPDX-License-Identifier: MIT"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "EPL-2.0": [EPL],
+    "ISC": [ISC],
+    "MIT": [MIT],
+    "MPL-2.0": [MPL, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "Proprietary": ["All rights reserved."],
 }
+#: Names that stand in one-line forms.
+TITLES: dict[str, list[str]] = {
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License, version 2.0", "Eclipse Public License v2.0"],
+    "ISC": ["ISC License"],
+    "MIT": ["MIT License"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0"],
+    "Unlicense": ["Unlicense"],
+}
+LEADS = ("Licensed under the {}.", "Released under the {}.", "Under the terms of the {}.")
+FAMILIES = {"GPL": ("General", ["2.0", "3.0"]), "LGPL": ("Lesser General", ["2.1", "3.0"]), "AGPL": ("Affero General", ["3.0"])}
+# End of the fixed values.
+
+
+def all_templates() -> dict[str, list[str]]:
+    """Notices, one-line forms and SPDX lines of every license."""
+    out = {name: list(texts) for name, texts in NOTICES.items()}
+    for name, titles in TITLES.items():
+        out[name] += [lead.format(title) for title in titles for lead in LEADS]
+    for short, (kind, versions) in FAMILIES.items():
+        for version in versions:
+            name, number = f"{short}-{version}", version.removesuffix(".0")
+            title = f"GNU {kind} Public License"
+            plain = [f"{title}, version {number}", f"{title} v{version}", f"Licensed under {short}v{number}"]
+            plain += [f"{title}, version {version}", f"{title} v{number}"] if number != version else []
+            out[name] = plain
+            out[f"{name}-only"] = [f"{form} only" for form in plain]
+            out[f"{name}-or-later"] = [f"{form} or later" for form in plain]
+            out[f"{name}-or-later"] += [f"{title}, version {number} or any later version", GNU.format(kind, number)]
+    for name in out:
+        if name != "Proprietary":
+            out[name].append(f"SPDX-License-Identifier: {name}")
+    return out
+
+
+TEMPLATES = all_templates()
 #: Words whose presence or absence makes another license.
 DECISIVE = frozenset("nc nd sa noncommercial noderivatives sharealike apache mit bsd isc gnu gpl lgpl lesser affero agpl cc0 "
-                     "mozilla not neither no non only clause".split())
+                     "mozilla eclipse boost unlicense not neither no non only later clause".split())
 STRONG = re.compile(r"licen[sc]e|copyright|©|warrant|permission|spdx|redistribut|public domain|creative commons"
-                    r"|rights reserved|\bcc[- ]by|\bcc0|\bgpl", re.IGNORECASE)
+                    r"|rights reserved|\bcc[- ]by|\bcc0|\b[al]?gpl", re.IGNORECASE)
 #: One of these stands in every strong word, in lower case.
 HINTS = ("licen", "copyright", "©", "warrant", "permission", "spdx", "redistribut", "public domain", "creative commons",
          "rights reserved", "cc by", "cc-by", "cc0", "gpl")
 WEAK = re.compile(r"software|liab|merchantab|damages|notice|conditions|copies|sublicen|distribut|modif|provided"
                   r"|disclaimer|source code|foundation|contract|tort|version", re.IGNORECASE)
-GAP, BEST, COVERED, EXTRA = 2, 3, 0.9, 0.25
+NUMBER = re.compile(r"v?\d")
+SPDX = ["spdx", "license", "identifier"]
+GAP, COVERED, EXTRA = 2, 0.9, 0.25
 WORDS = re.compile(r"[^\W_]+(?:\.\d+)*")
-MEMORY = 50_000
+#: Characters of blocks whose notices a task remembers.
+MEMORY = 4_000_000
 
 
 def words_of(text: str) -> list[str]:
@@ -135,10 +183,12 @@ class Scanner:
         self.templates = []
         for name in sorted(templates):
             for text in templates[name]:
-                raw = zstandard.ZstdCompressionDict(
-                    self.canonical(words_of(text)), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.templates.append((name, words_of(text), zstandard.ZstdCompressor(level=6, dict_data=raw)))
+                own = words_of(text)
+                raw = zstandard.ZstdCompressionDict(self.canonical(own), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                raw.precompute_compress(level=6)
+                self.templates.append((name, own, zstandard.ZstdCompressor(level=6, dict_data=raw)))
         self.bags = [Counter(own) for _, own, _ in self.templates]
+        self.sizes = [self.size(own) for _, own, _ in self.templates]
         #: Words that the longest notice may take.
         self.longest = max((self.extent(own) for _, own, _ in self.templates), default=1)
 
@@ -151,26 +201,16 @@ class Scanner:
         """Words that a notice with these words may take."""
         return len(own) + int(EXTRA * len(own))
 
-    def possible(self, words: list[str]) -> list[int]:
-        """Templates of which enough words occur, in whatever order."""
-        there = Counter(words)
-        return [i for i, bag in enumerate(self.bags)
-                if sum(min(k, there[w]) for w, k in bag.items()) >= COVERED * len(self.templates[i][1])]
-
-    def ranked(self, words: list[str]) -> list[tuple[float, int]]:
-        """Possible templates by the share of its compressed size that each saves, or of the template if the block is
-        longer. Short notices may save nothing in other text, so the share only sets the order."""
-        chosen = self.possible(words)
-        if not chosen:
-            return []
+    def size(self, words: list[str]) -> int:
+        """Compressed size of words alone."""
+        return len(self.plain.compress(self.canonical(words)))
+
+    def ranked(self, words: list[str]) -> list[tuple[int, int]]:
+        """All templates by the bytes that each saves when the block is compressed with it."""
         data = self.canonical(words)
         alone = len(self.plain.compress(data))
-        found = []
-        for i in chosen:
-            _, own, compressor = self.templates[i]
-            saved = alone - len(compressor.compress(data))
-            found.append((saved / min(alone, len(self.plain.compress(self.canonical(own)))), i))
-        return sorted(found, key=lambda x: (-x[0], x[1]))
+        saved = [(alone - len(compressor.compress(data)), i) for i, (_, _, compressor) in enumerate(self.templates)]
+        return sorted(saved, key=lambda x: (-x[0], x[1]))
 
     def confirm(self, words: list[str], index: int, reduction: float) -> Notice | None:
         """The template's place in the block, if the wording agrees; the first of those that cover most."""
@@ -196,8 +236,9 @@ class Scanner:
             added += words[j:m.b]
             i, j = m.a + m.size, m.b + m.size
         missing += own[i:]
-        decisive = lambda ws: any(w in DECISIVE or w[0].isdigit() for w in ws)
-        if len(added) > EXTRA * len(own) or decisive(missing) or decisive(added):
+        decisive = lambda ws: any(w in DECISIVE or NUMBER.match(w) for w in ws)
+        after = words[end:end + 2]
+        if len(added) > EXTRA * len(own) or decisive(missing) or decisive(added) or after[:1] == ["only"] or after == ["or", "later"]:
             return None
         return Notice(name, at + begin, at + end, round(max(0.0, min(1.0, reduction)), 6), tuple(missing), tuple(added))
 
@@ -217,18 +258,23 @@ class Scanner:
 
     def scan_window(self, words: list[str], offset: int) -> list[Notice]:
         """All notices of a window in order."""
-        out, todo = [], [(offset, words)]
+        out, todo = [], [(offset, words, offset)]
         while todo:
-            at, part = todo.pop()
+            at, part, least = todo.pop()
             if len(part) < 3:
                 continue
-            # long templates may hold short ones, so all are tried, and of the confirmed the one that covers most wins
-            tried = [n for score, i in self.ranked(part) if (n := self.confirm(part, i, score))]
-            if not tried:
+            size = self.size(part)
+            best = next((n for saved, i in self.ranked(part)
+                         if (n := self.confirm(part, i, saved / min(size, self.sizes[i])))), None)
+            if best is None:
                 continue
-            best = max(tried, key=lambda n: (n.end - n.begin - len(n.added), n.reduction))
-            out.append(Notice(best.name, at + best.begin, at + best.end, best.reduction, best.missing, best.added))
-            todo += [(at, part[:best.begin]), (at + best.end, part[best.end:])]
+            begin, end = best.begin, best.end
+            out.append(Notice(best.name, max(at + begin, least), at + end, best.reduction, best.missing, best.added))
+            todo.append((at, part[:begin], least))
+            if part[begin:begin + 3] == SPDX and part[end:end + 1] in (["or"], ["and"]):  # an identifier follows
+                todo.append((at + end - 2, SPDX + part[end + 1:], at + end + 1))
+            else:
+                todo.append((at + end, part[end:], at + end))
         return sorted(out, key=lambda n: n.begin)
 
 
@@ -242,12 +288,16 @@ def scan(
     def make():
         scanner = Scanner(chosen)
         known: dict[str, list[Notice]] = {}
+        held = 0
 
         def notices(block: str) -> list[Notice]:
+            nonlocal held
             if block not in known:
-                if len(known) >= MEMORY:
+                if held + len(block) > MEMORY:
                     known.clear()
+                    held = 0
                 known[block] = scanner.scan(words_of(block))
+                held += len(block)
             return known[block]
 
         def work(texts: list[str]) -> list:
