@@ -91,25 +91,34 @@ def _search(folded: DataFrame, grid: dict[str, list], size: str, estimator, fold
     """The grid point with the best mean score over the folds in column ``fold``, the first of equals.
 
     Points that differ only in ``size``, the number of trees, share a fit of the largest: boosting passes the smaller
-    ones on its way, and of a forest the first trees are one of that size. All sizes of a chain are scored in one job.
+    ones on its way, and of a forest the first trees are one of that size. Forests that differ in depth share a fit of the
+    deepest too: no split depends on the depth allowed, so its trees, cut off, are trees of a lower limit (boosting's next
+    tree depends on the last, so it has a fit per depth). All points of a chain are scored in one job.
     """
     points = grid_points(grid)
-    chains: dict[tuple, list[int]] = {}
+    deep = "maxDepth" if size == "numTrees" and "maxDepth" in grid else None
+    chains: dict[tuple, list[tuple]] = {}
     for v in points:
-        chains.setdefault(tuple((k, x) for k, x in v.items() if k != size), []).append(v[size])
+        chains.setdefault(tuple((k, x) for k, x in v.items() if k not in (size, deep)), []).append((v[size], v.get(deep)))
 
     def score(task) -> list[tuple[dict, float]]:
         rest, fold = task
-        model = estimator(dict(rest) | {size: max(chains[rest])}).fit(folded.filter(F.col("fold") != fold))
+        cuts = chains[rest]
+        most = {size: max(n for n, _ in cuts)} | ({deep: max(d for _, d in cuts)} if deep else {})
+        model = estimator(dict(rest) | most).fit(folded.filter(F.col("fold") != fold))
+        reached = max(t.depth for t in model.trees) if deep else None
+        # a limit that no tree reaches cuts nothing
+        same = {(n, d): (n, None if d is None or d >= reached else d) for n, d in cuts}
+        made = list(dict.fromkeys(same.values()))
         held = folded.filter(F.col("fold") == fold).select("label", "features")
-        for n in chains[rest]:
-            part = model if n == max(chains[rest]) else first_trees(model, n)
-            held = part.setPredictionCol(f"_p{n}").transform(held).select(*held.columns, f"_p{n}")
-        sizes = [F.struct(F.lit(n).alias("n"), F.col(f"_p{n}").alias("p")) for n in chains[rest]]
+        for i, (n, d) in enumerate(made):
+            part = model if n == most[size] and d is None else first_trees(model, n, d)
+            held = part.setPredictionCol(f"_p{i}").transform(held).select(*held.columns, f"_p{i}")
+        sizes = [F.struct(F.lit(i).alias("n"), F.col(f"_p{i}").alias("p")) for i in range(len(made))]
         each = held.select("label", F.inline(F.array(*sizes)))
         found = _weighted_f1(each) if classes else {
             r["n"]: r["e"] for r in each.groupBy("n").agg(F.sqrt(F.avg((F.col("p") - F.col("label")) ** 2)).alias("e")).collect()}
-        return [(dict(rest) | {size: n}, found[n]) for n in chains[rest]]
+        return [(dict(rest) | {size: n} | ({deep: d} if deep else {}), found[made.index(same[n, d])]) for n, d in cuts]
 
     with ThreadPoolExecutor(parallelism) as pool:
         scores = [x for found in pool.map(score, product(chains, range(folds))) for x in found]

@@ -26,8 +26,11 @@ def _saved(model) -> str:
     return path
 
 
-def first_trees(model, n: int):
-    """The ensemble of a fitted model's first ``n`` trees: what boosting had after ``n`` rounds, or a smaller forest."""
+def first_trees(model, n: int, depth: int | None = None):
+    """The ensemble of a fitted model's first ``n`` trees: what boosting had after ``n`` rounds, or a smaller forest.
+
+    With ``depth`` the trees of a forest classifier are cut off there, which gives trees fitted with that limit.
+    """
     if isinstance(model, OneVsRestModel):
         short = OneVsRestModel([first_trees(m, n) for m in model.models])
         for p in model.params:
@@ -39,12 +42,55 @@ def first_trees(model, n: int):
     meta = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
     meta["numTrees"] = n
     meta["paramMap"] |= {p: n for p in ("numTrees", "maxIter") if p in meta["paramMap"]}
+    nodes = spark.read.parquet(f"{path}/data").filter(F.col("treeID") < n)
+    if depth is not None:
+        meta["paramMap"] |= {"maxDepth": depth}
+        nodes = _cut_off(nodes, depth)
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{short}/metadata")
     spark.read.parquet(f"{path}/treesMetadata").filter(F.col("_1") < n).write.parquet(f"{short}/treesMetadata")
-    spark.read.parquet(f"{path}/data").filter(F.col("treeID") < n).write.parquet(f"{short}/data")
+    nodes.write.parquet(f"{short}/data")
     return type(model).load(short)
 
 
+def _cut_off(nodes: DataFrame, depth: int) -> DataFrame:
+    """Stored nodes of classification trees without those below ``depth``.
+
+    Siblings that are leaves of one class then become one leaf, as in a fit of that depth. A node is stored before its
+    children, and numbers have no gaps. One tree, a part of a model that fits the driver, is one group.
+    """
+
+    def cut(tree):
+        tree = tree.sort_values("id")
+        left, right, guess = (tree[c].to_numpy() for c in ("left", "right", "prediction"))
+        left, right = left.copy(), right.copy()
+        level = np.zeros(len(tree), dtype=np.int32)
+        for i in range(len(tree)):
+            if left[i] >= 0:
+                level[left[i]] = level[right[i]] = level[i] + 1
+        kept = level <= depth
+        left[level == depth] = right[level == depth] = -1
+        for i in range(len(tree) - 1, -1, -1):
+            a, b = left[i], right[i]
+            if kept[i] and a >= 0 and left[a] < 0 and left[b] < 0 and guess[a] == guess[b]:
+                left[i] = right[i] = -1
+                kept[a] = kept[b] = False
+        number = np.append(np.cumsum(kept) - 1, -1)  # -1 stays -1
+        return tree.assign(number=number[:-1], left=number[left], right=number[right])[kept][["treeID", "id", "number", "left", "right"]]
+
+    node = F.col("nodeData")
+    shape = nodes.select("treeID", node["id"].alias("id"), node["prediction"].alias("prediction"),
+                         node["leftChild"].alias("left"), node["rightChild"].alias("right"))
+    found = shape.groupBy("treeID").applyInPandas(cut, "treeID int, id int, number int, left int, right int")
+    leaf = F.col("left") < 0
+    none = F.struct(F.lit(-1).alias("featureIndex"), F.array().cast("array<double>").alias("leftCategoriesOrThreshold"),
+                    F.lit(-1).alias("numCategories"))
+    changed = (node.withField("id", F.col("number")).withField("leftChild", F.col("left")).withField("rightChild", F.col("right"))
+               .withField("gain", F.when(leaf, -1.0).otherwise(node["gain"]))
+               .withField("split", F.when(leaf, none).otherwise(node["split"])))
+    return nodes.withColumn("id", node["id"]).join(found, ["treeID", "id"]).select(
+        "treeID", changed.cast(nodes.schema["nodeData"].dataType).alias("nodeData"))
+
+
 def tree_nodes(model) -> DataFrame:
     """All nodes of an ensemble: ``tree``, ``node``, ``left``, ``right`` (-1 at a leaf), ``feature``, ``threshold``, ``rows`` (of
     the training data in it), and ``value``: what a leaf adds to each of the model's outputs, its tree's weight included.

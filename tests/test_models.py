@@ -365,3 +365,32 @@ def test_attributions_are_shapley_values(spark, panel, kind):
             mine = [got[(*k, o, f)] for f in names]
             assert [r["attribution"] for r in mine] == pytest.approx([sum(w[0][j][c] for w in want) for j in range(3)], abs=1e-9)
             assert sum(r["attribution"] for r in mine) + mine[0]["base"] == pytest.approx(scored[k]["_out"][c], abs=1e-9)
+
+
+def test_forest_cut_off_is_a_forest_of_less_depth(gridded):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    make = lambda d: RandomForestClassifier(numTrees=4, maxDepth=d, seed=3, featureSubsetStrategy="all").fit(gridded)
+    deep = make(7)
+    assert max(t.depth for t in deep.trees) > 3
+    for d in (0, 1, 3):
+        cut = TR.first_trees(deep, 4, d)
+        assert [t.toDebugString.split("\n", 1)[1] for t in cut.trees] == [t.toDebugString.split("\n", 1)[1] for t in make(d).trees]
+        assert predictions(cut, gridded) == predictions(make(d), gridded) and cut.getMaxDepth() == d
+
+
+def test_forest_search_fits_once_for_all_depths(gridded):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    grid, fitted = {"numTrees": [5], "maxDepth": [1, 2, 6], "minInstancesPerNode": [1, 4]}, []
+    make = lambda v: RandomForestClassifier(seed=1, featureSubsetStrategy="all", **v)
+    points = M.grid_points(grid)
+    cv = CrossValidator(estimator=Pipeline(stages=[]), numFolds=3, foldCol="fold", evaluator=MulticlassClassificationEvaluator(metricName="f1"))
+    cv.setEstimatorParamMaps([{cv.getEstimator().stages: [make(v)]} for v in points])
+    metrics = cv.fit(gridded).avgMetrics
+    found = M._search(gridded, grid, "numTrees", lambda v: fitted.append(v) or make(v), 3, 2, True)
+    assert found == points[int(np.argmax(metrics))]
+    assert len(fitted) == 2 * 3 and {v["maxDepth"] for v in fitted} == {6}
