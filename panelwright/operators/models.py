@@ -36,6 +36,8 @@ RIDGE_DEFAULT = 1.0
 CLASSIFIER_FOLDS = 3
 REGRESSOR_FOLDS = 5
 SAMPLE_ROWS = 500
+# Rows that are worth a task of their own, and those that one task should not exceed.
+FEW_ROWS, MANY_ROWS = 50_000, 1_000_000
 
 
 def grid_points(grid: dict[str, list]) -> list[dict]:
@@ -48,6 +50,14 @@ def label_indexer(train: DataFrame, label: str) -> StringIndexerModel:
     return StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
 
 
+def dealt(rows: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
+    """``n`` rows stored for a learner, which passes over them very often: evenly over the cores, however their source is
+    split, but small tables in few tasks."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(cores, -(-n // FEW_ROWS)), -(-n // MANY_ROWS), 1)
+    return materialise(rows.repartition(parts, *key))
+
+
 def fit_classifier(
     train: DataFrame,
     features: Sequence[str],
@@ -68,14 +78,15 @@ def fit_classifier(
     indexer = label_indexer(train, label)
     impute = median_stage(train if fit_medians_on is None else fit_medians_on, features)
     prepare = Pipeline(stages=[impute, assembler(features)]).fit(train)
-    ready = materialise(indexer.transform(prepare.transform(train)).select(*key, label, "label", "features"))
+    ready = dealt(indexer.transform(prepare.transform(train)).select(*key, label, "label", "features"), train.count(), key)
 
     def estimator(values: dict):
         if kind == "forest":
             return RandomForestClassifier(seed=SEED, featuresCol="features", labelCol="label", **values)
         if kind == "boosted":
-            # the booster is two-class; one model per class
-            return OneVsRest(classifier=GBTClassifier(seed=SEED, **BOOST_SAMPLING, **values), labelCol="label")
+            # the booster is two-class; one model per class (T10), side by side, as the jobs of one are many and short
+            booster = GBTClassifier(seed=SEED, **BOOST_SAMPLING, **values)
+            return OneVsRest(classifier=booster, labelCol="label", parallelism=parallelism)
         raise ValueError(f"unknown classifier {kind!r}")
 
     values = params or (FOREST_DEFAULT if kind == "forest" else BOOST_DEFAULT)
@@ -175,7 +186,7 @@ def fit_regressor(
     """Scale, assemble, fit; with a grid, search it over contiguous folds."""
     prepare = Pipeline(stages=[scale_stage(train, features), assembler(features)]).fit(train)
     labelled = prepare.transform(train).withColumn("label", F.col(target).cast("double"))
-    ready = materialise(labelled.select(*order, "label", "features"))
+    ready = dealt(labelled.select(*order, "label", "features"), train.count(), order)
     rows, deviation, middle = _label_shape(ready)
     folds = folds or regressor_folds(rows)
     if kind == "ridge":

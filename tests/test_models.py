@@ -394,3 +394,22 @@ def test_forest_search_fits_once_for_all_depths(gridded):
     found = M._search(gridded, grid, "numTrees", lambda v: fitted.append(v) or make(v), 3, 2, True)
     assert found == points[int(np.argmax(metrics))]
     assert len(fitted) == 2 * 3 and {v["maxDepth"] for v in fitted} == {6}
+
+
+def test_learners_get_rows_of_one_split_over_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(M, "FEW_ROWS", 100)
+    rows = spark.range(1000).withColumn("label", F.col("id") % 2).coalesce(1)
+    assert len(M.dealt(rows, 1000, ["id"]).inputFiles()) == min(spark.sparkContext.defaultParallelism, 10)
+    assert len(M.dealt(rows.limit(80), 80, ["id"]).inputFiles()) == 1
+    monkeypatch.setattr(M, "MANY_ROWS", 50)
+    spread = M.dealt(rows, 1000, ["id"])
+    assert len(spread.inputFiles()) == 20 and spread.agg(F.sum("id")).first()[0] == 499500
+
+
+def test_boosters_of_a_classifier_are_fitted_side_by_side(gridded, monkeypatch):
+    seen = []
+    true = M.OneVsRest
+    monkeypatch.setattr(M, "OneVsRest", lambda **values: seen.append(values.get("parallelism", 1)) or true(**values))
+    rows = gridded.select(F.monotonically_increasing_id().alias("k"), F.col("label").cast("string").alias("class"), "fold")
+    M.fit_classifier(M.materialise(rows), ["fold"], "class", ["k"], "boosted", {"maxIter": 1, "maxDepth": 1})
+    assert seen and min(seen) > 1
