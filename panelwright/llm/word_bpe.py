@@ -12,8 +12,9 @@ Python's and the library's Unicode tables are of different years. Texts are cut
 the others.
 
 Words repeat, so a worker process remembers the identifiers of words, and of what stands between white space, packed
-four bytes each: a text's identifiers are one join of such strings. The memories are emptied at ``MEMORY`` entries and hold
-none of more than ``LONG`` characters, which bounds them without changing a result. Decoding gathers all strings of a batch at once.
+four bytes each: a text's identifiers are one join of such strings. A memory holds ``MEMORY`` entries at most and
+none of more than ``LONG`` characters, which bounds it without changing a result: that of words is emptied when full, that of
+parts has two halves, of which the older goes when the newer is full; what is met again moves to the newer. Decoding gathers all strings of a batch at once.
 
 Defined cases: null and empty texts, and texts without a word, have no tokens and decode to the empty text; null
 identifiers decode to null, and so does a row with an identifier that the vocabulary lacks; a text of any length
@@ -27,6 +28,7 @@ import json
 import re
 import unicodedata
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -60,9 +62,10 @@ def byte_characters() -> list[str]:
 
 @dataclass
 class Vocabulary:
-    """``merges`` maps ``left << 32 | right`` to ``rank << 32 | made``, all symbols being identifiers of the vocabulary."""
+    """``merges`` maps ``left << 32 | right`` to the pair's rank, all symbols being identifiers of the vocabulary."""
 
     merges: dict[int, int]
+    made: list[int]  # by rank
     inner: list[int]  # identifier of each byte inside a word
     final: list[int]  # and of each byte at a word's end
     words: str  # pattern of the words
@@ -93,39 +96,49 @@ class Vocabulary:
         if not fits or any(c not in number or c + end not in number for c in chars):
             raise ValueError("only byte-level BPE with word ends, lower-casing and no decoder is supported")
         merges: dict[int, int] = {}
+        results = []
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            merges[number[left] << 32 | number[right]] = rank << 32 | number[left + right]
+            merges[number[left] << 32 | number[right]] = rank
+            results.append(number[left + right])
         special = {t["content"]: t["id"] for t in added if t["content"]}
         names = {i: s for s, i in (number | special).items()}
-        return cls(merges, [number[c] for c in chars], [number[c + end] for c in chars], split["pattern"]["Regex"], special,
+        return cls(merges, results, [number[c] for c in chars], [number[c + end] for c in chars], split["pattern"]["Regex"], special,
                    [names.get(i) for i in range(max(names) + 1)], " ", whole)
 
     def merged(self, word: bytes) -> list[int]:
         """Identifiers of one word: the adjacent pair of least rank, the leftmost of equals, merged until none is left."""
-        at = [self.inner[b] for b in word[:-1]] + [self.final[word[-1]]]
-        n, find = len(at), self.merges.get
+        at = list(map(self.inner.__getitem__, word))
+        at[-1] = self.final[word[-1]]
+        n, find, made = len(at), self.merges.get, self.made
         if n == 1:
             return at
+        # the rank of each symbol's pair with the next one, -1 if it has none
+        ranks = [find(a << 32 | b, -1) for a, b in zip(at, at[1:])]
+        ranks.append(-1)
         behind, ahead = list(range(-1, n - 1)), list(range(1, n + 1))
-        # an entry: rank << 32 | place of the left symbol
-        queue = [made >> 32 << 32 | i for i in range(n - 1) if (made := find(at[i] << 32 | at[i + 1])) is not None]
+        # an entry: rank * n + place of the left symbol
+        queue = [r * n + i for i, r in enumerate(ranks) if r >= 0]
         heapify(queue)
         while queue:
             entry = heappop(queue)
-            i = entry & 0xFFFFFFFF
-            j = ahead[i]
-            if at[i] < 0 or j >= n or (made := find(at[i] << 32 | at[j])) is None or made >> 32 != entry >> 32:
+            i, r = entry % n, entry // n
+            if ranks[i] != r:
                 continue  # stale: a side was merged with another neighbour since
-            at[i], at[j] = new, _ = made & 0xFFFFFFFF, -1
+            j = ahead[i]
+            at[i] = new = made[r]
+            at[j] = ranks[j] = ranks[i] = -1
             k = ahead[i] = ahead[j]
             if k < n:
                 behind[k] = i
-                if (made := find(new << 32 | at[k])) is not None:
-                    heappush(queue, made >> 32 << 32 | i)
+                ranks[i] = r = find(new << 32 | at[k], -1)
+                if r >= 0:
+                    heappush(queue, r * n + i)
             p = behind[i]
-            if p >= 0 and (made := find(at[p] << 32 | new)) is not None:
-                heappush(queue, made >> 32 << 32 | p)
+            if p >= 0:
+                ranks[p] = r = find(at[p] << 32 | new, -1)
+                if r >= 0:
+                    heappush(queue, r * n + p)
         return [s for s in at if s >= 0]
 
 
@@ -164,6 +177,7 @@ class Encoder:
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.spaces = regex.compile(r"\s+").split
         self.known: dict[str, bytes] = {}  # by parts between white space, as they stand in texts
+        self.before: dict[str, bytes] = {}  # what was known before it was last emptied
         self.known_words: dict[str, bytes] = {}
 
     def _words(self, part: str) -> list[str]:
@@ -175,19 +189,22 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         """Identifiers of a part of a text without white space."""
+        words = self.words(part.lower()) if part.isascii() else self._words(part)
         found = []
-        for w in self._words(part):
+        for w in words:
             # a word of ASCII is its own part; others may change when they are normalised again
             memory = self.known if w.isascii() else self.known_words
             ids = memory.get(w)
+            if ids is None and memory is self.known:
+                ids = self.before.get(w)
             if ids is None:
-                ids = np.array(self.v.merged(w.encode()), dtype="<i4").tobytes()
+                ids = array("i", self.v.merged(w.encode())).tobytes()
                 if len(w) <= LONG:
                     if memory is self.known_words and len(memory) >= MEMORY:
                         memory.clear()
                     memory[w] = ids
             found.append(ids)
-        return b"".join(found)
+        return found[0] if len(found) == 1 else b"".join(found)
 
     def _plain(self, text: str) -> bytes:
         # some controls part words in Python alone
@@ -198,11 +215,13 @@ class Encoder:
         except KeyError:
             pass
         fresh = {p for p in parts if p not in known}
-        if len(known) + len(fresh) > MEMORY:
-            known.clear()
-            fresh = set(parts)
+        if len(known) + len(fresh) > MEMORY // 2:
+            self.before, self.known = known, {}
+            known, fresh = self.known, set(parts)
+        before = self.before.get
         for p in fresh:
-            known[p] = self._part(p)
+            ids = before(p)
+            known[p] = self._part(p) if ids is None else ids
         found = b"".join(map(known.__getitem__, parts))
         for p in fresh:
             if len(p) > LONG:

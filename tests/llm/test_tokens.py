@@ -129,6 +129,16 @@ def test_word_ids_equal_the_library(word_vocabulary, monkeypatch):
     assert [unpacked(forgetful, t) for t in texts] == want
 
 
+def test_parts_in_use_are_not_encoded_again(word_vocabulary, monkeypatch):
+    monkeypatch.setattr(word_bpe, "MEMORY", 40)
+    encoder, seen = word_bpe.Encoder(word_vocabulary), []
+    true = encoder._part
+    monkeypatch.setattr(encoder, "_part", lambda p: seen.append(p) or true(p))
+    for i in range(60):  # more parts than are remembered; one of them in every text
+        encoder.encode("often " + " ".join(f"n{i}x{j}" for j in range(3)))
+    assert seen.count("often") == 1 and len(encoder.known) + len(encoder.before) <= 40 + 20
+
+
 def test_every_code_point_equals_the_library(word_vocabulary):
     """Every character that is cut here, between letters, behind letters that take marks, and decomposed; of those that
     the library cuts, some."""
