@@ -45,6 +45,12 @@ def to_number(col: Column | str) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
 
 
+def finite(col: Column | str) -> Column:
+    """P5 for doubles: what ``to_number`` makes of their text; NaN and infinite values are missing."""
+    c = _c(col)
+    return F.when(F.abs(c) < F.lit(math.inf), c)
+
+
 def blank_from(col: Column | str, limit: float = SENTINEL) -> Column:
     """Values at or above the sentinel are missing."""
     c = _c(col)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import numeric_columns
 from ..functions.scalars import (
-    SENTINEL, blank_equal, blank_fill, blank_from, clip, is_valid_measure, missing_if_nan, round_even, to_number,
+    SENTINEL, blank_equal, blank_fill, blank_from, clip, finite, is_valid_measure, missing_if_nan, round_even, to_number,
 )
 from .joins import lookup_join
 from .quantiles import medians, scalar_medians
@@ -30,7 +30,7 @@ def clean_indicators(
 
     By default the columns are chosen by name after renaming: ``_score`` and
     ``_raw`` are coerced and blanked, ``_score`` is also clipped (T15). Pass the
-    lists to cover further columns.
+    lists to cover further columns. Columns that are doubles already are not parsed again.
     """
     named = df.withColumnsRenamed(renames).na.drop(subset=[key])
     if indicator_cols is None:
@@ -39,7 +39,8 @@ def clean_indicators(
         score_cols = [c for c in named.columns if "_score" in c]
     picked = []
     for c in named.columns:
-        value = blank_from(to_number(c), SENTINEL) if c in indicator_cols else F.col(c)
+        typed = isinstance(named.schema[c].dataType, T.DoubleType)
+        value = blank_from(finite(c) if typed else to_number(c), SENTINEL) if c in indicator_cols else F.col(c)
         picked.append((clip(value, low, high) if c in score_cols else value).alias(c))
     return named.select(*picked)
 

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import missing_if_nan
 from ..session import materialise
-from .joins import spread_join
+from .joins import lookup_join, spread_join
 from .positions import running_totals
 
-ACCURACY = 50_000
+#: Size of a group's sketch. The answer is exact whatever it is; a larger one costs every task, a smaller one widens brackets.
+ACCURACY = 10_000
 TASK_ROWS = 2_000_000
 
 
@@ -79,13 +81,15 @@ def _search(
         bracket = [F.struct(*[_numbers(row[i][part]).alias(part) for part in ("low", "high")]) for i in ids]
 
     ranks = range(len(probs))
-    below = data.groupBy(*by).agg(*[
+    # the aggregate holds numbers only, so it hashes; bounds in its buffer would have it sort all rows
+    counts = data.groupBy(*by).agg(
+        *[F.count(f"_v{i}").alias(f"_n{i}") for i in ids],
+        *[F.count_if(F.col(f"_v{i}") < bracket[i]["low"][k]).alias(f"_l{i}_{k}") for i in ids for k in ranks])
+    below = lookup_join(counts, brackets, by, "inner") if by else counts
+    facts = below.select(*by, F.inline(F.array(*[
         F.struct(
-            F.lit(i).alias("_c"), F.count(f"_v{i}").alias("n"), F.any_value(bracket[i]["low"]).alias("low"),
-            F.any_value(bracket[i]["high"]).alias("high"),
-            F.array(*[F.count_if(F.col(f"_v{i}") < bracket[i]["low"][k]) for k in ranks]).alias("below"),
-        ).alias(f"_f{i}") for i in ids])
-    facts = below.select(*by, F.inline(F.array(*[F.col(f"_f{i}") for i in ids])))
+            F.lit(i).alias("_c"), F.col(f"_n{i}").alias("n"), bracket[i]["low"].alias("low"), bracket[i]["high"].alias("high"),
+            F.array(*[F.col(f"_l{i}_{k}") for k in ranks]).alias("below")) for i in ids])))
 
     def inside(v: Column, low: Column, high: Column) -> Column:
         hit = v.between(low[0], high[0])
@@ -93,10 +97,11 @@ def _search(
             hit = hit | v.between(low[k], high[k])
         return hit
 
+    hits = [inside(F.col(f"_v{i}"), bracket[i]["low"], bracket[i]["high"]) for i in ids]
     cells = F.array_compact(F.array(*[
-        F.when(inside(F.col(f"_v{i}"), bracket[i]["low"], bracket[i]["high"]),
-               F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v"))) for i in ids]))
-    kept = data.select(*by, F.inline(cells)).groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_rows"))
+        F.when(hits[i], F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v"))) for i in ids]))
+    # most rows have no value inside a bracket, and get no array
+    kept = data.filter(reduce(lambda a, b: a | b, hits)).select(*by, F.inline(cells)).groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_rows"))
     # for whole tables the facts are one row per column
     ranked = kept.join(facts if by else F.broadcast(facts), [*by, "_c"])
     inside_rows = max(accuracy // 2, 3 * slack * largest * len(probs))

@@ -58,10 +58,11 @@ def annual_indicators(
 
     ``raw`` carries the input order in ``ORDINAL``; the first value of a cell
     wins. Only variables that occur become columns. A country has one row per
-    year, so the gap fill's groups are small by construction.
+    year, so the gap fill's groups are small by construction. The typed rows are
+    stored once, so that classifying and pivoting do not parse the text again.
     """
     typed = raw.withColumns({"value": X.to_number("value"), "year": X.to_number("year")})
-    usable = typed.na.drop(subset=["value", "year"])
+    usable = materialise(typed.na.drop(subset=["value", "year"]).select("country", "year", "variable", "value", ORDINAL))
     if isinstance(keywords, DataFrame):  # a table of any size (S10)
         classified = first_keyword_of_table(usable, "variable", keywords, "clean_variable")
     else:

@@ -5,10 +5,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as X
+from panelwright.operators.clean import clean_indicators
 from panelwright.operators.positions import stratified_split
 from panelwright.operators.profile import box_summary
-from panelwright.operators.quantiles import medians
+from panelwright.operators.quantiles import _search, medians
 from panelwright.operators.series import fill_linear
+from panelwright.plans.consolidate import annual_indicators
 from panelwright.sources.tables import read_text_table
 
 
@@ -68,3 +70,32 @@ def test_csv_cells_with_line_breaks(spark, tmp_path):
     (tmp_path / "x.csv").write_text('a,b\n"one\ntwo",3\nfour,5\n')
     got = read_text_table(spark, "x", str(tmp_path / "x.csv"), multi_line=True).collect()
     assert [tuple(r) for r in got] == [("one\ntwo", "3"), ("four", "5")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_doubles_are_not_parsed_again(spark):
+    cells = [0.5, -3.0, 7.25, 9998.5, 9999.0, 1e300, float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([("A", x, None if x is None else str(x)) for x in cells], "k string, a_score double, b_score string")
+    got = clean_indicators(rows, {}, "k")
+    assert [r["a_score"] for r in got.collect()] == [0.5, 0.0, 5.0, 5.0, None, None, None, None, None, None]
+    assert [r["b_score"] for r in got.collect()] == [r["a_score"] for r in got.collect()]
+    assert "RLIKE" not in _plan(got.select("a_score"))
+
+
+def test_annual_text_is_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("variable,country,year,value\nLow x,N1,2001,4\nlow,N1,2001,5\nhigh,N1,2002,x\nhigh,N2,2002,7\n")
+    raw = read_text_table(spark, "annual", str(tmp_path / "a.csv"), ordinal=True)
+    codes = spark.createDataFrame([("N1", "C1"), ("N2", "C2")], "name string, code string")
+    got = annual_indicators(raw, codes, [("high", "h"), ("low", "l")])
+    assert "FileScan csv" not in _plan(got)
+    assert sorted((r["country_code"], r["year"], r["h"], r["l"]) for r in got.collect()) == [("C1", 2001, None, 4.0), ("C2", 2002, 7.0, None)]
+
+
+def test_quantile_passes_do_not_sort_the_rows(spark):
+    data = spark.range(3000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS v")
+    found = _search(data, ["v"], [0.5], ["g"], 100, 0.04)
+    assert "SortAggregate" not in _plan(found)
+    assert sorted((r["g"], r["n"], r["q"][0]) for r in found.collect()) == [(0, 1000, 1498.5), (1, 1000, 1499.5), (2, 1000, 1500.5)]
