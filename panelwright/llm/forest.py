@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 from .arrow import give_back, map_texts
 from .components import components
 
@@ -400,19 +400,28 @@ def classes(
     """``(id, th, n, component, root)`` of every row: hash of the text, set size, the least id reachable by links, and the
     component's least node, null for the empty set."""
     spark = docs.sparkSession
-    signed = materialise(sign(docs, id_col, text_col, size))
-    nodes = signed.where("node is not null").select("node", "signature").dropDuplicates(["node"])
-    nodes = materialise(nodes)
+    # signatures are most of what is stored: they lie there once, and until the trees are built
+    whole = materialise(sign(docs, id_col, text_col, size))
+    nodes = materialise(whole.where("node is not null").select("node", "signature").dropDuplicates(["node"]))
+    signed = materialise(whole.select("id", "th", "n", "node"))
+    discard(whole)
+    repeated = not signed.groupBy("id", "th").agg(F.count("*").alias("k")).where("k > 1").isEmpty()
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
 
     def candidates(nodes: DataFrame, trees: range) -> DataFrame:
-        return materialise(neighbours(materialise(tree_rows(nodes, trees)), partitions, nearest=0 in trees))
+        return materialise(neighbours(tree_rows(nodes, trees), partitions, nearest=0 in trees))
 
     def pairs(found: DataFrame, what: int) -> DataFrame:
         return materialise(found.where(F.col("what") == what).select("a", "b").distinct())
 
+    def sets_for(pairs: DataFrame) -> DataFrame:
+        return full_sets(docs, signed, pairs, size, id_col, text_col, repeated)
+
     def confirmed(found: DataFrame) -> DataFrame:
-        return materialise(compare(found, full_sets(docs, signed, found, size, id_col, text_col)))
+        sets = sets_for(found)
+        done = materialise(compare(found, sets))
+        discard(sets)
+        return done
 
     # the nearest neighbours of a few trees connect most of every group; then all within reach are looked at, but only
     # for what joins different groups
@@ -420,6 +429,7 @@ def classes(
     rooted = materialise(components(first.where(at_least(percent)).select("a", "b")))
     placed = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found = candidates(placed, range(FIRST, TREES))
+    discard(nodes)
     rest = confirmed(pairs(found, 0))
     rooted = materialise(components(rooted.select("node", "root").union(rest.where(at_least(percent)).select("a", "b"))))
     # seemingly connected ones that are not
@@ -429,14 +439,16 @@ def classes(
     rooted = materialise(components(rooted.select("node", "root").union(late.where(at_least(percent)).select("a", "b"))))
     # what reach may have hidden in dense regions
     dense = dense_nodes(found.where("what = 2"), rooted)
-    sets = full_sets(docs, signed, dense.select(F.col("node").alias("a"), F.col("node").alias("b")), size, id_col, text_col)
+    sets = sets_for(dense.select(F.col("node").alias("a"), F.col("node").alias("b")))
     dense_links = compare(dense_pairs(sets, rooted, percent), sets).where(at_least(percent)).select("a", "b")
     rooted = materialise(components(rooted.select("node", "root").union(dense_links)))
+    discard(sets)
     near = materialise(first.union(rest).union(late).where(~at_least(percent) & at_least(percent - NEARLY)).select("a", "b"))
     asks = materialise(questions(near, rooted))
     both = asks.select("node").union(rooted.join(asks.select("root").distinct(), "root", "left_semi").select("node")).distinct()
-    sets = full_sets(docs, signed, both.select(F.col("node").alias("a"), F.col("node").alias("b")), size, id_col, text_col)
+    sets = sets_for(both.select(F.col("node").alias("a"), F.col("node").alias("b")))
     more = materialise(open_links(asks, rooted, sets, percent))
+    discard(sets)
     rooted = materialise(components(rooted.select("node", "root").union(more)))
     members = signed.select("id", "th", "n", "node").join(rooted, "node", "left").select(
         "id", "th", "n", F.coalesce("root", "node").alias("root"))
@@ -444,8 +456,13 @@ def classes(
     return members.join(least, "root", "left").select("id", "th", "n", F.coalesce("least", "id").alias("component"), "root")
 
 
-def full_sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """``(node, shingles)``: the full set of every node in ``pairs(a, b)``, from one document of each."""
+def full_sets(
+    docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str, repeated: bool,
+) -> DataFrame:
+    """``(node, shingles)``: the full set of every node in ``pairs(a, b)``, from one document of each.
+
+    Only where rows are ``repeated``, id and text, may a node have several, and sets have to be shuffled to keep one.
+    """
     asked = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct()).distinct()
     chosen = signed.where("node is not null").join(asked, "node").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("d"))
@@ -465,7 +482,8 @@ def full_sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, i
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)]
         return work
 
-    return materialise(map_texts(wanted, [], "text", "node binary, shingles array<bigint>", make).dropDuplicates(["node"]))
+    sets = map_texts(wanted, [], "text", "node binary, shingles array<bigint>", make)
+    return materialise(sets.dropDuplicates(["node"]) if repeated else sets)
 
 
 def deduplicate(

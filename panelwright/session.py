@@ -65,6 +65,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Remove tables that ``materialise`` has stored and that nothing reads any more.
+
+    Whatever was made of them must be stored itself by then.
+    """
+    for df in stored:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            assert run_folder(spark).rpartition("/")[2] in folder.split("/"), folder
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove what this application has stored below the shared folder; tables read from there are gone then."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))

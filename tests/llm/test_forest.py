@@ -1,10 +1,12 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from panelwright.llm import forest as X
 from panelwright.llm.components import components
+from panelwright.session import run_folder
 from tests.llm import awkward
 
 
@@ -115,6 +117,17 @@ def test_deduplicate_keeps_different_texts_of_one_id(spark):
         (r["doc_id"], r["text"]) for r in X.deduplicate(awkward.documents(spark)).collect()}
 
 
+def test_signatures_and_sets_are_not_kept(spark):
+    folder = Path(run_folder(spark))
+    before = set(folder.glob("*/table"))
+    rows = [(i, f"{x} common words of all texts that differ {i % 7}") for i, x in enumerate("abcdefgh" * 5)]
+    docs = spark.createDataFrame(rows + [(40, None), (41, "")], "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in X.classes(docs, 2).collect()}
+    assert got == {r[0]: r[2] for r in brute([*rows, (40, None), (41, "")], 2, 80)}
+    names = [set(spark.read.parquet(str(p)).columns) for p in set(folder.glob("*/table")) - before]
+    assert names and not any({"signature", "key", "shingles"} & n for n in names)
+
+
 def test_words_are_hashed_alike_in_blocks(monkeypatch):
     text = awkward.prose(random.Random(1), 3000) + " " + "y" * 5000
     whole = X.sets_of([text, "", "a b"], 2)
