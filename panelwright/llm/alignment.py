@@ -323,7 +323,7 @@ def align(
         block, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             whole = [t or "" for t in batch.column(1).to_pylist()]
-            for part in runs_of(whole, AT_ONCE):
+            for part in runs_of(map(len, whole), AT_ONCE):
                 chars = sum(map(len, whole[part]))
                 if size and size + chars > BLOCK:
                     block, size = block + 1, 0
@@ -354,7 +354,7 @@ def links(
         a, b, _ = make()
         for batch in batches:
             whole = [t or "" for t in batch.column(1).to_pylist()]
-            for part in runs_of(whole, AT_ONCE):
+            for part in runs_of(map(len, whole), AT_ONCE):
                 x = Aligned(a, b, whole[part])
                 owner = np.repeat(np.arange(x.texts), x.n_a)
                 ids = batch.column(0).slice(part.start, x.texts)

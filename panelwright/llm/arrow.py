@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,25 +21,32 @@ Maker = Callable[[], Callable[[list[str]], list]]
 AT_ONCE = 1_000_000
 
 
-def runs_of(texts: list[str], most: int = AT_ONCE) -> Iterator[slice]:
-    """Slices of consecutive texts with at most ``most`` characters, or one longer text."""
-    begin = total = 0
-    for i, text in enumerate(texts):
-        if total and total + len(text) > most:
+#: glibc's number of a setting, and the bytes from which an array has pages of its own, which go back once it is freed; left
+#: to itself the bound grows to 32 MB, and what is freed below it stays with the process.
+MMAP_THRESHOLD, MAPPED = -3, 1 << 18
+
+
+def runs_of(sizes: Iterable[int], most: int = AT_ONCE) -> Iterator[slice]:
+    """Slices of consecutive texts, given by their lengths, with at most ``most`` characters, or one longer text."""
+    begin = total = end = 0
+    for i, size in enumerate(sizes):
+        if total and total + size > most:
             yield slice(begin, i)
             begin, total = i, 0
-        total += len(text)
-    if begin < len(texts):
-        yield slice(begin, len(texts))
+        total += size
+        end = i + 1
+    if begin < end:
+        yield slice(begin, end)
 
 
 def give_back() -> None:
     """Hand memory that this worker process has kept from earlier tasks back to the system, and keep less from now on."""
     pa.default_memory_pool().release_unused()
     pa.set_memory_pool(pa.system_memory_pool())
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
+    system = ctypes.CDLL(None)
+    if hasattr(system, "malloc_trim") and hasattr(system, "mallopt"):
+        system.mallopt(MMAP_THRESHOLD, MAPPED)
+        system.malloc_trim(0)
 
 
 def map_texts(
@@ -60,10 +68,10 @@ def map_texts(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            for part in runs_of(texts, at_once):
+            # only the texts of a run become Python's
+            for part in runs_of(pc.fill_null(pc.utf8_length(batch.column(place)), 0).to_pylist(), at_once):
                 old = batch.slice(part.start, part.stop - part.start)
-                out = work(texts[part])
+                out = work([t or "" for t in old.column(place).to_pylist()])
                 columns = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(out, kinds)]
                 yield pa.RecordBatch.from_arrays([*old.columns[:k], *columns], names=names)
 

@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame
 from .arrow import give_back, map_texts
 
 SPACE = "▁"
-MEMORY, LONG = 300_000, 64
+MEMORY, LONG = 200_000, 64
 #: Entries of the table that remembers which neighbours are possible (a power of two).
 PAIRS = 1 << 20
 #: Distinct cuts are indexed in blocks of about this many characters.
-BLOCK = 300_000
+BLOCK = 200_000
 #: Texts encoded at once, in characters: many, as they share parts.
-AT_ONCE = 3_000_000
+AT_ONCE = 1_500_000
 RUNS = re.compile(" *[^ ]+| +")
 
 
@@ -86,7 +86,7 @@ class Pieces:
     pair_rank: np.ndarray
     usable: np.ndarray
     parts: str
-    runs: dict[int, list[int]] = field(default_factory=dict)
+    runs: dict[int, bytes] = field(default_factory=dict)
 
     @classmethod
     def of(cls, model_file: str) -> Pieces:
@@ -117,7 +117,7 @@ class Pieces:
         parts = ".+"
         if signs and letters:
             group = lambda cs: "[" + "".join(map(re.escape, cs)) + "]"
-            parts = f"{SPACE}?{group(letters)}+(?={group(signs)})|.+"
+            parts = f" ?{group(letters)}+(?={group(signs)})|.+"
         chars = sorted({c for p in others for c in p} | {p for p in score if len(p) == 1})
         others.sort(key=lambda p: -score[p])
         symbols = chars + others
@@ -163,8 +163,9 @@ class Encoder:
     def __init__(self, pieces: Pieces):
         self.p = pieces
         self.part = re.compile(pieces.parts, re.DOTALL).findall
-        self.known: dict[str, bytes] = {}  # identifiers, four bytes each
-        self.part_ids: dict[str, list[int]] = {}
+        # identifiers, four bytes each; spaces stay spaces in the keys, which halves those of ASCII letters
+        self.known: dict[str, bytes] = {}
+        self.part_ids: dict[str, bytes] = {}
         self.pair_key = np.full(PAIRS, -1, dtype=np.int64)
         self.pair_ok = np.zeros(PAIRS, dtype=bool)
         self.unknown = len(pieces.symbols)  # a character that no piece has
@@ -172,6 +173,7 @@ class Encoder:
         self.code = np.full(0x110000, n_chars, dtype=np.int32)
         for c, i in pieces.char_of.items():
             self.code[ord(c)] = i
+        self.code[ord(" ")] = pieces.char_of[SPACE]
         # characters are packed as code + 1, several to a 63-bit key; 0 stands for the end of a cut
         self.bits = int(n_chars + 1).bit_length()
         self.per_key = 63 // self.bits
@@ -275,8 +277,8 @@ class Encoder:
             low = np.where(up, mid + 1, low)
             high = np.where(open_ & ~up, mid, high)
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        """Symbols of cuts that start with one space sign or none."""
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Identifiers of cuts that start with one space or none."""
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
         codes = self.code[points].astype(np.int64)
@@ -320,23 +322,23 @@ class Encoder:
         places = np.concatenate([x[2] for x in steps])
         order = np.argsort(places, kind="stable")
         owners, found, places = owners[order], found[order], places[order]
-        ids = np.where(found < self.unknown, self.p.ids[np.minimum(found, self.unknown - 1)], -1).tolist()
-        odd = set()  # words with characters that are spelt in bytes
-        for k in np.flatnonzero(found == self.unknown).tolist() + np.flatnonzero(
-                (found < self.unknown) & (self.p.ids[np.minimum(found, self.unknown - 1)] < 0)).tolist():
-            ids[k] = [self.p.byte_ids[x] for x in chr(points[places[k]]).encode()]
-            odd.add(int(owners[k]))
-        ends = np.searchsorted(owners, np.arange(len(words)), side="right").tolist()
-        out = [ids[a:b] for a, b in zip([0, *ends], ends)]
-        for w in odd:
-            out[w] = list(chain.from_iterable(x if isinstance(x, list) else (x,) for x in out[w]))
-        return out
-
-    def _run(self, n: int) -> list[int]:
+        ids = np.where(found < self.unknown, self.p.ids[np.minimum(found, self.unknown - 1)], -1).astype("<i4")
+        odd = np.flatnonzero(ids < 0).tolist()  # characters that are spelt in bytes
+        if odd:
+            spelt = [chr(points[places[k]]).encode() for k in odd]
+            times = np.ones(len(ids), dtype=np.int64)
+            times[odd] = list(map(len, spelt))
+            ids, owners = np.repeat(ids, times), np.repeat(owners, times)
+            ids[ids < 0] = [self.p.byte_ids[x] for x in b"".join(spelt)]
+        ends = (4 * np.searchsorted(owners, np.arange(len(words)), side="right")).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _run(self, n: int) -> bytes:
         """Identifiers of ``n`` spaces that nothing else merges with."""
         if n not in self.p.runs:
             number = {SPACE * k: i for i, name in enumerate(self.p.names) if (k := len(name)) and name == SPACE * k}
-            made = [number[x] for x in merge_all([SPACE] * n, self.p.score)]
+            made = np.array([number[x] for x in merge_all([SPACE] * n, self.p.score)], dtype="<i4").tobytes()
             if n > 1000:
                 return made
             self.p.runs[n] = made
@@ -352,20 +354,20 @@ class Encoder:
                 self.part_ids.update(zip(block, self._encode_words(block)))
                 block, size = [], 0
 
-    def _learn(self, cuts: list[str]) -> dict[str, list[int]]:
+    def _learn(self, cuts: list[str]) -> dict[str, bytes]:
         """Identifiers of distinct cuts, each given without its first space."""
         spaces = [1 + len(c) - len(c.lstrip(" ")) for c in cuts]
-        parts = [self.part(SPACE + c[m - 1:]) for c, m in zip(cuts, spaces)]
+        parts = [self.part(" " + c[m - 1:]) for c, m in zip(cuts, spaces)]
         needed = set(chain.from_iterable(parts))
         if len(self.part_ids) + len(needed) > MEMORY:
             self.part_ids = {p: ids for p in needed if (ids := self.part_ids.get(p)) is not None}
         self._encode_parts([p for p in needed if p not in self.part_ids])
-        alone = int(self.p.ids[self.p.char_of[SPACE]])
+        alone = self.p.ids[[self.p.char_of[SPACE]]].astype("<i4").tobytes()
         out = {}
         for c, m, ps in zip(cuts, spaces, parts):
-            ids = self.part_ids[ps[0]] if len(ps) == 1 else list(chain.from_iterable(map(self.part_ids.__getitem__, ps)))
+            ids = self.part_ids[ps[0]] if len(ps) == 1 else b"".join(map(self.part_ids.__getitem__, ps))
             if m > 1:  # spaces merge last: with the sign before the word if that has stayed alone
-                ids = self._run(m) + ids[1:] if ids[0] == alone else self._run(m - 1) + ids
+                ids = self._run(m) + ids[4:] if ids[:4] == alone else self._run(m - 1) + ids
             out[c] = ids
         for p in needed:
             if len(p) > LONG:
@@ -388,7 +390,7 @@ class Encoder:
         known = self.known
         missing = set(chain.from_iterable(cuts)).difference(known)
         if missing:
-            fresh = {c: np.array(ids, dtype="<i4").tobytes() for c, ids in self._learn(list(missing)).items()}
+            fresh = self._learn(list(missing))
             if len(known) + len(fresh) > MEMORY:
                 rest = {c: known[c] for cs in cuts for c in cs if c in known}
                 known.clear()

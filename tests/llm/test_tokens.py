@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 import unicodedata
 
 import numpy as np
@@ -7,7 +10,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from panelwright.llm import bpe_counts, pieces, word_bpe
+from panelwright.llm import arrow, bpe_counts, pieces, word_bpe
 from tests.llm import awkward
 
 LETTERS = [*" \n\t\x1c\x85 aabcdeT'sré漢字😀１²٣0123.,!?_-\x00\x7f́ǅ▁", "<|endoftext|>", "<|endof", "'ll", "the ",
@@ -86,6 +89,38 @@ def test_every_neighbour_rule_by_merging(model):
         assert ok == (pieces.merge_all(list(a + b), model.score) == [a, b]), (a, b)
 
 
+GROWN = """
+import random, sys
+import public_tokenizers as P
+from panelwright.llm import arrow, pieces
+
+def kb(what):
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith(what))
+
+arrow.give_back()
+encoder, rng = pieces.Encoder(pieces.Pieces.of(P.path("piece_bpe_32k.model"))), random.Random(5)
+word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(3, 8))) + rng.choice(["", "", ",", "."])
+start = kb("VmRSS")
+for _ in range(4):
+    encoder.packed([" ".join(word() for _ in range(500)) for _ in range(pieces.AT_ONCE // 3300)])
+print((kb("VmHWM") - start) >> 10)
+"""
+
+
+def test_pieces_stay_small_over_many_new_words():
+    """MB that a worker process grows by: its memory of words, and what a run of texts needs meanwhile."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", GROWN], cwd=root, capture_output=True, text=True, timeout=300, check=True)
+    assert int(done.stdout) < 200
+
+
+def test_runs_have_all_texts():
+    for sizes in ([], [0], [0, 0], [5, 0, 3, 9, 30, 0, 1], [30], [0, 30, 0]):
+        runs = list(arrow.runs_of(iter(sizes), 10))
+        assert [i for r in runs for i in range(r.start, r.stop)] == list(range(len(sizes)))
+        assert all(sum(sizes[r]) <= 10 or sum(map(bool, sizes[r])) == 1 for r in runs)
+
+
 def test_pieces_of_a_table(spark):
     docs = awkward.documents(spark)
     path = P.path("piece_bpe_32k.model")
