@@ -21,11 +21,6 @@ Maker = Callable[[], Callable[[list[str]], list]]
 AT_ONCE = 1_000_000
 
 
-#: glibc's number of a setting, and the bytes from which an array has pages of its own, which go back once it is freed; left
-#: to itself the bound grows to 32 MB, and what is freed below it stays with the process.
-MMAP_THRESHOLD, MAPPED = -3, 1 << 18
-
-
 def runs_of(sizes: Iterable[int], most: int = AT_ONCE) -> Iterator[slice]:
     """Slices of consecutive texts, given by their lengths, with at most ``most`` characters, or one longer text."""
     begin = total = end = 0
@@ -43,10 +38,9 @@ def give_back() -> None:
     """Hand memory that this worker process has kept from earlier tasks back to the system, and keep less from now on."""
     pa.default_memory_pool().release_unused()
     pa.set_memory_pool(pa.system_memory_pool())
-    system = ctypes.CDLL(None)
-    if hasattr(system, "malloc_trim") and hasattr(system, "mallopt"):
-        system.mallopt(MMAP_THRESHOLD, MAPPED)
-        system.malloc_trim(0)
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def map_texts(

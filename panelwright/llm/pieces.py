@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame
 from .arrow import give_back, map_texts
 
 SPACE = "▁"
-MEMORY, LONG = 200_000, 64
+MEMORY, LONG = 150_000, 64
 #: Entries of the table that remembers which neighbours are possible (a power of two).
 PAIRS = 1 << 20
 #: Distinct cuts are indexed in blocks of about this many characters.
-BLOCK = 200_000
+BLOCK = 100_000
 #: Texts encoded at once, in characters: many, as they share parts.
-AT_ONCE = 1_500_000
+AT_ONCE = 1_000_000
 RUNS = re.compile(" *[^ ]+| +")
 
 
