@@ -51,6 +51,8 @@ NEARLY = 10
 #: Values that the nodes of a dense region share, and buckets that shingles are counted in to tell the rare ones.
 SHARED, BUCKETS = 3, 1 << 18
 BROADCAST_BYTES = 32 << 20
+#: Elements and sets of a block, where nodes ask a group; a pair listed costs as much as so many of a matrix product.
+BLOCK, BLOCK_SETS, PRODUCT = 1 << 19, 1 << 10, 100
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 TERMS = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2)
@@ -319,14 +321,87 @@ def questions(failed: DataFrame, rooted: DataFrame) -> DataFrame:
                        F.when(a_asks, F.col("rb")).otherwise(F.col("ra")).alias("root")).distinct()
 
 
+def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of one's sets shares with each of two's.
+
+    Elements of many sets on both sides are counted by matrix products, the others by listing the pairs they are in.
+    """
+    rows = lambda sets: np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    both = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    out = np.zeros((len(one), len(two)), dtype=np.int32)
+    if not len(both):
+        return out
+
+    def places(sets):
+        flat, row = np.concatenate(sets), rows(sets)
+        at = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        hit = both[at] == flat
+        order = np.argsort(at[hit], kind="stable")
+        return at[hit][order], row[hit][order]
+
+    (x, p), (y, q) = places(one), places(two)
+    k, m = np.bincount(x, minlength=len(both)), np.bincount(y, minlength=len(both))
+    many = k * m * PRODUCT > out.size
+    where = np.flatnonzero(many)
+    for begin in range(0, len(where), AT_ONCE >> 9):
+        part = where[begin:begin + (AT_ONCE >> 9)]
+        column = np.full(len(both), -1)
+        column[part] = np.arange(len(part))
+        left, right = np.zeros((len(one), len(part)), np.float32), np.zeros((len(two), len(part)), np.float32)
+        for full, at, row in ((left, column[x], p), (right, column[y], q)):
+            full[row[at >= 0], at[at >= 0]] = 1
+        out += (left @ right.T).astype(np.int32)
+    start = np.cumsum(m) - m
+    few = ~many[x]
+    x, p = x[few], p[few]
+    ends = np.cumsum(m[x])
+    begin = 0
+    while begin < len(x):  # runs of about AT_ONCE pairs
+        done = ends[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, done + AT_ONCE, side="right")))
+        times = m[x[begin:stop]]
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        met = np.repeat(p[begin:stop], times) * len(two) + q[np.repeat(start[x[begin:stop]], times) + inside]
+        out += np.bincount(met, minlength=out.size).reshape(out.shape).astype(np.int32)
+        begin = stop
+    return out
+
+
 def open_links(asks: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` between a node that asks and the members of the group it asks."""
-    asked = asks.join(sets, "node").select("root", F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    members = rooted.join(sets, "node").select("root", F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    n, m = F.size("sa"), F.size("sb")
-    both = members.join(asked, "root").where((n * 100 >= m * percent) & (m * 100 >= n * percent))
-    counted = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (n + m).alias("t"))
-    return counted.withColumn("u", F.col("t") - F.col("i")).where(at_least(percent)).select("a", "b")
+    """Links ``(a, b)`` between a node that asks and a member of the group it asks, at least one where there is any.
+
+    A group is connected already, so one member is as good as all. Those who ask and the members are cut into blocks of
+    bounded size; all blocks of the one meet all of the other, wherever there is room, so no group is one task's.
+    """
+    n = F.size("shingles")
+    asked = asks.join(sets, "node").select("root", "node", "shingles")
+    members = rooted.join(asks.select("root").distinct(), "root", "left_semi").join(sets, "node").select("root", "node", "shingles")
+    ways = lambda rows, name: rows.groupBy("root").agg(F.greatest(
+        F.ceil(F.sum(n.cast("long")) / BLOCK), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias(name))
+    grid = small(materialise(ways(asked, "wx").join(ways(members, "wy"), "root")), 32)
+    own = lambda way: F.pmod(F.xxhash64("node"), F.col(way)).cast("int")
+    every = lambda way: F.explode(F.sequence(F.lit(0), F.col(way) - 1))
+    cells = asked.join(grid, "root").select("root", own("wx").alias("x"), every("wy").alias("y"), F.lit(True).alias("asks"), "node", "shingles").union(
+        members.join(grid, "root").select("root", every("wx").alias("x"), own("wy").alias("y"), F.lit(False).alias("asks"), "node", "shingles"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        give_back()
+        asking = table.column("asks").to_numpy()
+        node = table.column("node").to_pylist()
+        flat = [x.values.to_numpy(zero_copy_only=False) for x in table.column("shingles")]
+        one, two = np.flatnonzero(asking), np.flatnonzero(~asking)
+        found: list[list] = [[], []]
+        if len(one) and len(two):
+            sets = [[flat[i] for i in side] for side in (one, two)]
+            shared = common(*sets).astype(np.int64)
+            total = np.add.outer(*[np.array([len(x) for x in side]) for side in sets])
+            linked = shared * 100 >= (total - shared) * percent
+            for i in np.flatnonzero(linked.any(axis=1)):
+                found[0].append(node[one[i]])
+                found[1].append(node[two[linked[i].argmax()]])
+        return pa.table({"a": pa.array(found[0], pa.binary()), "b": pa.array(found[1], pa.binary())})
+
+    return cells.groupBy("root", "x", "y").applyInArrow(meet, "a binary, b binary")
 
 
 def dense_nodes(marks: DataFrame, rooted: DataFrame) -> DataFrame:

@@ -88,6 +88,35 @@ def test_links_in_a_dense_region(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("product", [0, 100, 1 << 40])
+def test_common_elements_listed_and_multiplied(monkeypatch, product):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(X, "PRODUCT", product)
+    monkeypatch.setattr(X, "AT_ONCE", 2000)
+    for wide in (60, 4000):
+        one, two = ([np.unique(rng.integers(0, wide, rng.integers(1, 50))) for _ in range(k)] for k in (8, 11))
+        assert X.common(one, two).tolist() == [[len(np.intersect1d(a, b)) for b in two] for a in one]
+
+
+def test_a_large_group_is_asked_in_blocks(spark, monkeypatch):
+    """A member's and an asker's set met in a join on the group alone, in one task: a row for every linked pair."""
+    rng = np.random.default_rng(5)
+    core = rng.integers(0, 1 << 62, 120)
+    share = [0.02] * 90 + list(np.linspace(0.02, 0.2, 40))
+    sets = [np.unique(np.where(rng.random(120) < f, rng.integers(0, 1 << 62, 120), core)) for f in share]
+    name = [i.to_bytes(2, "big") for i in range(130)]
+    rooted = spark.createDataFrame([(n, b"r") for n in name[:90]], "node binary, root binary")
+    asks = spark.createDataFrame([(n, b"r") for n in name[90:]], "node binary, root binary")
+    table = spark.createDataFrame([(n, s.tolist()) for n, s in zip(name, sets)], "node binary, shingles array<bigint>")
+    linked = lambda a, b: 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))
+    want = {n for n, s in zip(name[90:], sets[90:]) if any(linked(s, m) for m in sets[:90])}
+    assert 5 < len(want) < 40
+    monkeypatch.setattr(X, "BLOCK", 120 * 30)
+    found = [(bytes(r["a"]), bytes(r["b"])) for r in X.open_links(asks, rooted, table, 80).collect()]
+    assert {a for a, _ in found} == want and len(found) <= 4 * len(want)
+    assert all(linked(sets[name.index(a)], sets[name.index(b)]) and name.index(b) < 90 for a, b in found)
+
+
 def test_deduplicate_keeps_one_of_each_group(spark):
     docs = awkward.documents(spark)
     kept = X.deduplicate(docs, size=5)
