@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..session import materialise
+from .cells import ROWS, CellBooster, CellForest, cells_of
 from .features import READY, assembler, bounded_sample, median_stage, scale_stage, seeded_order, standard_scale
 from .positions import contiguous_folds, stratified_folds, with_positions
 from .trees import first_trees
@@ -58,6 +59,13 @@ def dealt(rows: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
     return materialise(rows.repartition(parts, *key))
 
 
+def as_columns(rows: DataFrame, keep: Sequence[str], width: int) -> tuple[DataFrame, list[str]]:
+    """Stored rows with ``keep`` and a column for each of the vector's values, and the names of these."""
+    names = [f"_x{i}" for i in range(width)]
+    flat = rows.select(*keep, vector_to_array("features").alias("_x"))
+    return materialise(flat.select(*keep, *[F.get("_x", i).alias(c) for i, c in enumerate(names)])), names
+
+
 def fit_classifier(
     train: DataFrame,
     features: Sequence[str],
@@ -78,26 +86,50 @@ def fit_classifier(
     indexer = label_indexer(train, label)
     impute = median_stage(train if fit_medians_on is None else fit_medians_on, features)
     prepare = Pipeline(stages=[impute, assembler(features)]).fit(train)
-    ready = dealt(indexer.transform(prepare.transform(train)).select(*key, label, "label", "features"), train.count(), key)
+    prepared = indexer.transform(prepare.transform(train)).select(*key, *([label] if label != "label" else []), "label", "features")
 
-    def estimator(values: dict):
+    def estimator(values: dict, splits: list | None = None):
+        weights = {} if splits is None else {"weightCol": ROWS}
         if kind == "forest":
-            return RandomForestClassifier(seed=SEED, featuresCol="features", labelCol="label", **values)
+            made = (RandomForestClassifier if splits is None else CellForest)(
+                seed=SEED, featuresCol="features", labelCol="label", **weights, **values)
+            return made if splits is None else made.on(splits)
         if kind == "boosted":
             # the booster is two-class; one model per class (T10), side by side, as the jobs of one are many and short
-            booster = GBTClassifier(seed=SEED, **BOOST_SAMPLING, **values)
-            return OneVsRest(classifier=booster, labelCol="label", parallelism=parallelism)
+            booster = (GBTClassifier if splits is None else CellBooster)(seed=SEED, **BOOST_SAMPLING, **weights, **values)
+            return OneVsRest(classifier=booster if splits is None else booster.on(splits), labelCol="label", parallelism=parallelism, **weights)
         raise ValueError(f"unknown classifier {kind!r}")
 
     values = params or (FOREST_DEFAULT if kind == "forest" else BOOST_DEFAULT)
+    fold = (lambda rows: stratified_folds(rows, label, key, folds, SEED)) if grid else None
+    if kind == "boosted" and not grid:
+        ready, splits = learner_rows(prepared, train, len(features), [], key, None)
+    else:
+        ready, splits = dealt(prepared, train.count(), key), None
+        ready = materialise(fold(ready)) if fold else ready
+    make = lambda v: estimator(v, splits)
     if grid:
-        folded = materialise(stratified_folds(ready, label, key, folds, SEED))
-        values = _search(folded, grid, "numTrees" if kind == "forest" else "maxIter", estimator, folds, parallelism, True)
-    model = estimator(values).fit(ready)
+        values = _search(ready, grid, "numTrees" if kind == "forest" else "maxIter", make, folds, parallelism, True)
+    model = make(values).fit(ready)
     decode = IndexToString(inputCol="prediction", outputCol="predicted", labels=list(indexer.labels))
     return PipelineModel(stages=[*prepare.stages, model, decode])
 
 
+def learner_rows(prepared: DataFrame, train: DataFrame, width: int, keep: Sequence[str], key: Sequence[str], fold) -> tuple[DataFrame, list | None]:
+    """What a tree learner is fitted on: cells and the thresholds of their bins where they are few, else all rows.
+
+    ``fold`` adds the column of that name to rows with ``keep``, for a search.
+    """
+    plain, names = as_columns(prepared, [*keep, "label"] if fold else ["label"], width)
+    found = cells_of(plain, names, ["label"])
+    if found and fold:
+        found = cells_of(materialise(fold(plain)), names, ["fold", "label"])
+    if found:
+        return materialise(found[0]), found[1]
+    ready = dealt(prepared, train.count(), key)
+    return (materialise(fold(ready)) if fold else ready), None
+
+
 def _search(folded: DataFrame, grid: dict[str, list], size: str, estimator, folds: int, parallelism: int, classes: bool) -> dict:
     """The grid point with the best mean score over the folds in column ``fold``, the first of equals.
 
