@@ -104,3 +104,11 @@ def test_learner_gets_cells_where_they_are_few(rows, monkeypatch):
     monkeypatch.setattr(S, "MOST", 50)
     ready, splits = M.learner_rows(df, rows, 2, ["k", "label_"], ["k"], None)
     assert splits is None and ready.count() == 3000 and S.ROWS not in ready.columns
+
+
+@pytest.mark.parametrize("most", [1 << 16, 0])
+def test_searches_take_the_same_point_by_cells_and_by_rows(rows, monkeypatch, most):
+    monkeypatch.setattr(S, "MOST", most)
+    model = M.fit_classifier(rows.withColumn("class", F.col("class").cast("string")), ["a", "b", "c"], "class", ["k"], "forest",
+                             grid={"numTrees": [4], "maxDepth": [1, 6]}, folds=2)
+    assert model.stages[-2].getOrDefault("maxDepth") == 6
