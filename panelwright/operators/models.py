@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..session import materialise
-from .cells import ROWS, CellBooster, CellForest, cells_of
+from .cells import ROWS, CellBooster, CellBoosterRegressor, CellForest, cells_of
 from .features import READY, assembler, bounded_sample, median_stage, scale_stage, seeded_order, standard_scale
 from .positions import contiguous_folds, stratified_folds, with_positions
 from .trees import first_trees
@@ -216,21 +216,28 @@ def fit_regressor(
     """Scale, assemble, fit; with a grid, search it over contiguous folds."""
     prepare = Pipeline(stages=[scale_stage(train, features), assembler(features)]).fit(train)
     labelled = prepare.transform(train).withColumn("label", F.col(target).cast("double"))
-    ready = dealt(labelled.select(*order, "label", "features"), train.count(), order)
-    rows, deviation, middle = _label_shape(ready)
-    folds = folds or regressor_folds(rows)
+    prepared = labelled.select(*order, "label", "features")
     if kind == "ridge":
+        ready = dealt(prepared, train.count(), order)
+        rows, deviation, middle = _label_shape(ready)
         alpha = (params or {}).get("alpha", RIDGE_DEFAULT)
         if grid:
-            folded = materialise(contiguous_folds(ready, order, folds))
+            folded = materialise(contiguous_folds(ready, order, folds or regressor_folds(rows)))
             alpha = _search_ridge(folded, grid["alpha"], len(features), middle)
         model = ridge(alpha, rows, deviation).fit(ready)
     elif kind == "boosted":
         values = params or BOOST_DEFAULT
-        boost = lambda v: GBTRegressor(seed=SEED, labelCol="label", **BOOST_SAMPLING, **v)
+        folds = (folds or regressor_folds(train.count())) if grid else None
+        fold = (lambda rows: contiguous_folds(rows, order, folds)) if grid else None
+        ready, splits = learner_rows(prepared, train, len(features), order, order, fold)
+
+        def boost(v: dict):
+            if splits is None:
+                return GBTRegressor(seed=SEED, labelCol="label", **BOOST_SAMPLING, **v)
+            return CellBoosterRegressor(seed=SEED, labelCol="label", weightCol=ROWS, **BOOST_SAMPLING, **v).on(splits)
+
         if grid:
-            folded = materialise(contiguous_folds(ready, order, folds))
-            values = _search(folded, grid, "maxIter", boost, folds, parallelism, False)
+            values = _search(ready, grid, "maxIter", boost, folds, parallelism, False)
         model = boost(values).fit(ready)
     else:
         raise ValueError(f"unknown regressor {kind!r}")

@@ -112,3 +112,5 @@ def test_searches_take_the_same_point_by_cells_and_by_rows(rows, monkeypatch, mo
     model = M.fit_classifier(rows.withColumn("class", F.col("class").cast("string")), ["a", "b", "c"], "class", ["k"], "forest",
                              grid={"numTrees": [4], "maxDepth": [1, 6]}, folds=2)
     assert model.stages[-2].getOrDefault("maxDepth") == 6
+    found = M.fit_regressor(rows, ["a", "b", "c"], "amount", ["k"], "boosted", grid={"maxIter": [1, 6], "maxDepth": [3], "stepSize": [0.3]}, folds=2)
+    assert found.stages[-1].getNumTrees == 6
