@@ -80,7 +80,8 @@ def thresholds(rows: DataFrame, columns: Sequence[str]) -> list[list[float]]:
 def cells_of(rows: DataFrame, columns: Sequence[str], groups: Sequence[str]) -> tuple[DataFrame, list[list[float]]] | None:
     """``(*groups, features, _rows)`` and the thresholds, or None where rows have more than ``MOST`` cells.
 
-    ``groups`` has the label, and the fold of a search. A cell's features stand for all values of its bins.
+    ``groups`` has the label, and the fold of a search, whose fits share the thresholds of all rows. A cell's features stand
+    for all values of its bins.
     """
     splits = thresholds(rows, columns)
     bins = [sum(((F.col(c) > F.lit(t)).cast("int") for t in own), F.lit(0)) for c, own in zip(columns, splits)]
@@ -89,7 +90,7 @@ def cells_of(rows: DataFrame, columns: Sequence[str], groups: Sequence[str]) ->
     about = binned.agg(F.approx_count_distinct(F.struct(*names)).alias("n")).first()["n"]
     if about > 1.2 * MOST:
         return None
-    cells = materialise(binned.groupBy(*names).agg(F.count(F.lit(1)).alias(ROWS)).coalesce(1))  # about MOST rows at most
+    cells = materialise(binned.groupBy(*names).agg(F.count(F.lit(1)).alias(ROWS)))
     if cells.count() > MOST:
         return None
     stands = [F.element_at(F.array(*[F.lit(float(t)) for t in [*own, own[-1] + abs(own[-1]) + 1 if own else 0.0]]), F.col(f"_b{i}") + 1)
